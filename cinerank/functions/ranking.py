@@ -27,3 +27,43 @@ def global_rank(df: DataFrame, hex_key: Column, ties: list[str], out: str = "ran
         .withColumn(out, F.col("_off") + F.row_number().over(within))
         .drop("_b", "_h", "_off")
     )
+
+
+def sorted_rank(df: DataFrame, order: list[Column | str], out: str = "rank") -> DataFrame:
+    """Add ``out`` = 1-based position in a total order, from a distributed sort.
+
+    ``orderBy`` range-partitions the rows (a hot key spreads over several
+    ranges because the order continues past it); the sorted result is
+    checkpointed to the shared checkpoint folder so that partition ids and
+    in-partition positions are fixed, then per-partition counts (one row per
+    partition) give offsets.
+    """
+    from cinerank.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    s = (
+        df.orderBy(*order)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
+    )
+    stats = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.select("_pid", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (
+        s.join(F.broadcast(offsets), "_pid")
+        .withColumn(out, F.col("_off") + F.col("_mid") - F.col("_m0") + 1)
+        .drop("_pid", "_mid", "_m0", "_off")
+    )
+
+
+def group_rank(df: DataFrame, group: str, order: list[Column | str], out: str = "rn") -> DataFrame:
+    """1-based position inside ``group`` by ``order`` without sorting a group in one task.
+
+    Equivalent to ``row_number() OVER (PARTITION BY group ORDER BY order)``,
+    but built on ``sorted_rank`` so that one huge group is split across
+    range partitions; the group's first position is a partial+final min.
+    """
+    g = sorted_rank(df, [F.col(group), *order], out="_g")
+    first = g.groupBy(group).agg(F.min("_g").alias("_g0"))
+    return g.join(first, group).withColumn(out, F.col("_g") - F.col("_g0") + 1).drop("_g", "_g0")

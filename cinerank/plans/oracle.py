@@ -196,3 +196,203 @@ JOIN (SELECT userId, row_number() OVER (ORDER BY md5(CAST(userId AS VARCHAR)), u
 JOIN (SELECT id, row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR)), id) - 1 AS item_idx
       FROM (SELECT DISTINCT id FROM items_joined) d) it ON c.movieId = it.id
 """)
+
+
+# ─── recall, negatives, features, metrics ────────────────────────────────
+
+
+def R6(x: str) -> str:
+    """Round to 6 digits; ``+ 0.0`` turns a rounded -0.0 into 0.0."""
+    return f"(round({x}, 6) + 0.0)"
+
+
+def _h32(expr: str) -> str:
+    return f"CAST(('0x' || substr(md5({expr}), 1, 8)) AS BIGINT)"
+
+
+ITEMS_META = """
+SELECT j.id, z.runtime_z, l.lang_idx, j.popularity, j.vote_average, j.vote_count
+FROM items_joined j JOIN items_rtz z ON j.id = z.id JOIN items_lang l ON l.id = j.id
+"""
+
+POP = """
+SELECT split, movieId, count(*) AS n_ratings,
+       row_number() OVER (PARTITION BY split ORDER BY count(*) DESC, movieId) AS prank
+FROM ratings_split GROUP BY split, movieId
+"""
+
+SEEN = "SELECT DISTINCT split, userId, movieId FROM ratings_split"
+
+CANDS = """
+SELECT split, userId, movieId, rank, CAST(n_ratings AS DOUBLE) AS score
+FROM (SELECT u.split, u.userId, p.movieId, p.n_ratings,
+             row_number() OVER (PARTITION BY u.split, u.userId ORDER BY p.prank) AS rank
+      FROM (SELECT DISTINCT split, userId FROM ratings_split) u JOIN pop p ON p.split = u.split
+      WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.split = u.split AND s.userId = u.userId AND s.movieId = p.movieId)) t
+WHERE rank <= 300
+"""
+
+POOL = """
+SELECT split, movieId,
+       row_number() OVER (PARTITION BY split ORDER BY md5(concat(CAST(movieId AS VARCHAR), '_42')), movieId) - 1 AS slot
+FROM (SELECT DISTINCT split, movieId FROM ratings_split) d
+"""
+
+PPRIME = """
+SELECT split, P, min(c) AS PP
+FROM (SELECT split, P, P + i AS c FROM (SELECT split, count(*) AS P FROM pool GROUP BY split) ps, range(0, 2000) r(i)) x
+WHERE c >= 2 AND NOT EXISTS (SELECT 1 FROM range(2, 3000) d(v) WHERE v * v <= x.c AND x.c % v = 0)
+GROUP BY split, P
+"""
+
+USERS_POS = """
+SELECT DISTINCT r.split, r.userId FROM ratings_split r
+WHERE r.rating >= 4 AND r.movieId IN (SELECT id FROM items_meta)
+"""
+
+SEEN_COUNT = "SELECT split, userId, count(*) AS m FROM seen GROUP BY split, userId"
+
+
+def _sampler(name: str, users: str, n: int, stream: str) -> list[tuple[str, str]]:
+    key = lambda tag: f"concat(CAST(u.userId AS VARCHAR), '_42_{stream}_{tag}')"
+    return [
+        (f"{name}_u", f"""
+SELECT u.split, u.userId, pp.PP,
+       {_h32(key('o'))} % pp.PP AS o,
+       1 + {_h32(key('s'))} % (pp.PP - 1) AS s,
+       least({n} + coalesce(sc.m, 0) + (pp.PP - pp.P), pp.PP) AS t_max
+FROM {users} u JOIN pprime pp ON u.split = pp.split
+LEFT JOIN seen_count sc ON sc.split = u.split AND sc.userId = u.userId"""),
+        (f"{name}_d", f"SELECT split, userId, t AS draw, (o + s * t) % PP AS slot FROM (SELECT *, unnest(range(0, t_max)) AS t FROM {name}_u) x"),
+        (name, f"""
+SELECT split, userId, movieId, draw
+FROM (SELECT d.split, d.userId, p.movieId, d.draw,
+             row_number() OVER (PARTITION BY d.split, d.userId ORDER BY d.draw) AS k
+      FROM {name}_d d JOIN pool p ON p.split = d.split AND p.slot = d.slot
+      WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.split = d.split AND s.userId = d.userId AND s.movieId = p.movieId)) t
+WHERE k <= {n}"""),
+    ]
+
+
+HARD_ALL = """
+SELECT split, userId, movieId, rk AS rank
+FROM (SELECT c.split, c.userId, c.movieId, row_number() OVER (PARTITION BY c.split, c.userId ORDER BY c.rank, c.movieId) AS rk
+      FROM cands c
+      WHERE c.movieId IN (SELECT id FROM items_meta)
+        AND NOT EXISTS (SELECT 1 FROM seen s WHERE s.split = c.split AND s.userId = c.userId AND s.movieId = c.movieId)) t
+WHERE rk <= 20
+"""
+
+HARD = """
+SELECT h.* FROM hard_all h JOIN users_pos u ON h.split = u.split AND h.userId = u.userId
+"""
+
+NEG0 = """
+SELECT split, userId, movieId FROM hard
+UNION ALL SELECT split, userId, movieId FROM easy WHERE movieId IN (SELECT id FROM items_meta)
+"""
+
+USERS_NO_NEG = """
+SELECT u.split, u.userId FROM users_pos u
+WHERE NOT EXISTS (SELECT 1 FROM neg0 n WHERE n.split = u.split AND n.userId = u.userId)
+"""
+
+FEATURES = """
+SELECT r.split, r.userId, r.movieId, 1 AS label, m.runtime_z, m.lang_idx, m.popularity,
+       m.vote_average AS vote_avg, m.vote_count AS vote_cnt
+FROM ratings_split r JOIN items_meta m ON r.movieId = m.id
+WHERE r.rating >= 4
+  AND EXISTS (SELECT 1 FROM neg_all n JOIN items_meta m2 ON n.movieId = m2.id WHERE n.split = r.split AND n.userId = r.userId)
+UNION ALL
+SELECT n.split, n.userId, n.movieId, 0 AS label, m.runtime_z, m.lang_idx, m.popularity,
+       m.vote_average AS vote_avg, m.vote_count AS vote_cnt
+FROM neg_all n JOIN items_meta m ON n.movieId = m.id
+"""
+
+LOADED = """
+SELECT f.* FROM features f
+JOIN (SELECT split, userId FROM features GROUP BY split, userId HAVING sum(label) > 0 AND sum(label) < count(*)) g
+  ON f.split = g.split AND f.userId = g.userId
+"""
+
+CHAIN2 = [
+    ("items_meta", ITEMS_META),
+    ("pop", POP),
+    ("seen", SEEN),
+    ("cands", CANDS),
+    ("pool", POOL),
+    ("pprime", PPRIME),
+    ("users_pos", USERS_POS),
+    ("seen_count", SEEN_COUNT),
+    ("hard_all", HARD_ALL),
+    ("hard", HARD),
+    *_sampler("easy", "users_pos", 10, "easy"),
+    ("neg0", NEG0),
+    ("users_no_neg", USERS_NO_NEG),
+    *_sampler("fallback", "users_no_neg", 1, "fallback"),
+    ("neg_all", "SELECT split, userId, movieId FROM neg0 UNION ALL SELECT split, userId, movieId FROM fallback"),
+    ("features", FEATURES),
+    ("loaded", LOADED),
+]
+
+
+def _q2(body: str, extra: list[tuple[str, str]] | None = None) -> str:
+    return with_ctes(BASE + CHAIN2 + (extra or []), body)
+
+
+def _idcg(n: str) -> str:
+    return f"CASE WHEN {n} > 0 THEN list_sum(list_transform(range(1, CAST({n} AS BIGINT) + 1), lambda i: 1.0 / log2(i + 1))) ELSE 0.0 END"
+
+
+ORACLE["seen_mask"] = _q2("SELECT split, userId, movieId, rank FROM cands")
+ORACLE["hard_negatives"] = _q2("SELECT split, userId, movieId, rank FROM hard_all")
+ORACLE["easy_negatives"] = _q2("SELECT split, userId, movieId, draw FROM easy")
+ORACLE["fallback_negatives"] = _q2("SELECT split, userId, movieId, draw FROM fb_all", _sampler("fb_all", "users_pos", 1, "fallback"))
+ORACLE["feature_rows"] = _q2(f"""
+SELECT split, userId, movieId, label, {R6('runtime_z')} AS runtime_z, lang_idx, popularity, vote_avg, vote_cnt FROM features
+""")
+ORACLE["group_sizes"] = _q2("""
+SELECT split, userId, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_pos FROM features
+GROUP BY split, userId HAVING sum(label) > 0 AND sum(label) < count(*)
+""")
+
+_METRIC_CTES = [
+    ("rk", "SELECT split, userId, movieId, label, row_number() OVER (PARTITION BY split, userId ORDER BY popularity DESC, movieId) AS rn FROM loaded"),
+    ("tp", "SELECT *, sum(label) OVER (PARTITION BY split, userId ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hits FROM rk WHERE rn <= 10"),
+    ("nm", """SELECT split, userId, sum(CASE WHEN label = 1 THEN hits / rn ELSE 0 END) AS ap_num,
+                     sum(label / log2(rn + 1)) AS dcg, sum(label) AS top_hits FROM tp GROUP BY split, userId"""),
+    ("st", "SELECT split, userId, sum(label) AS n_pos FROM loaded GROUP BY split, userId"),
+    ("pu", f"""SELECT st.split, st.userId,
+                      CASE WHEN st.n_pos > 0 AND nm.top_hits > 0 THEN nm.ap_num / least(st.n_pos, 10) ELSE 0.0 END AS ap,
+                      CASE WHEN {_idcg('least(st.n_pos, 10)')} > 0 THEN nm.dcg / {_idcg('least(st.n_pos, 10)')} ELSE 0.0 END AS ndcg
+               FROM st JOIN nm ON st.split = nm.split AND st.userId = nm.userId"""),
+]
+ORACLE["map_ndcg"] = _q2(f"""
+SELECT split, 10 AS k, {R6('avg(ap)')} AS map_at_k, {R6('avg(ndcg)')} AS ndcg_at_k, count(*) AS n_users FROM pu GROUP BY split
+""", _METRIC_CTES)
+
+_LAMBDA_CTES = [
+    ("lr", "SELECT userId, movieId, label, vote_avg / 10 AS score FROM loaded WHERE split = 'train'"),
+    ("lk", "SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, movieId) AS rn FROM lr"),
+    ("ls", f"""SELECT userId, 1.0 / ({_idcg('least(sum(label), 30)')}) AS inv_idcg, max(score) <> min(score) AS spread
+               FROM lk GROUP BY userId"""),
+    ("lp", """SELECT h.userId, h.rn AS rn_h, o.rn, h.label > o.label AS h_high,
+                     CASE WHEN h.label > o.label THEN h.score - o.score ELSE o.score - h.score END AS ds,
+                     abs(1.0 / log2(h.rn + 1) - 1.0 / log2(o.rn + 1)) * ls.inv_idcg AS d0, ls.spread
+              FROM lk h JOIN lk o ON h.userId = o.userId AND o.rn > h.rn AND o.label <> h.label
+              JOIN ls ON ls.userId = h.userId
+              WHERE h.rn <= 30"""),
+    ("lq", "SELECT *, CASE WHEN spread THEN d0 / (0.01 + abs(ds)) ELSE d0 END AS dn, 1.0 / (1.0 + exp(ds)) AS rho FROM lp"),
+    ("lm", "SELECT userId, rn_h, rn, h_high, dn * rho AS lam, dn * rho * (1.0 - rho) AS hs FROM lq"),
+    ("lc", """SELECT userId, rn_h AS rn, CASE WHEN h_high THEN -lam ELSE lam END AS g, hs AS h FROM lm
+              UNION ALL SELECT userId, rn, CASE WHEN h_high THEN lam ELSE -lam END AS g, hs AS h FROM lm"""),
+    ("lt", "SELECT userId, 2.0 * sum(lam) AS S FROM lm GROUP BY userId"),
+    ("lg", """SELECT c.userId, c.rn,
+                     sum(c.g) * CASE WHEN t.S > 0 THEN log2(1 + t.S) / t.S ELSE 1.0 END AS grad,
+                     sum(c.h) * CASE WHEN t.S > 0 THEN log2(1 + t.S) / t.S ELSE 1.0 END AS hess
+              FROM lc c JOIN lt t ON c.userId = t.userId GROUP BY c.userId, c.rn, t.S"""),
+]
+ORACLE["lambda_gradients"] = _q2(f"""
+SELECT lk.userId, lk.movieId, lk.label, lk.rn, {R6('coalesce(lg.grad, 0.0)')} AS grad, {R6('coalesce(lg.hess, 0.0)')} AS hess
+FROM lk LEFT JOIN lg ON lk.userId = lg.userId AND lk.rn = lg.rn
+""", _LAMBDA_CTES)

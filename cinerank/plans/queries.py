@@ -143,3 +143,89 @@ def confidence_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return conf.join(users, "userId").join(item_idx, "movieId").select(
         "userId", "movieId", "user_idx", "item_idx", r6("confidence").alias("confidence")
     )
+
+
+# ─── recall, negatives, features, metrics ────────────────────────────────
+
+from cinerank.operators import features as feat  # noqa: E402
+from cinerank.operators import lambdarank, metrics, negatives, recall  # noqa: E402
+
+
+@register("seen_mask")
+def seen_mask(spark: SparkSession, sf: str) -> DataFrame:
+    return chain.per_split(lambda w: chain.candidates(spark, sf, w).select("userId", "movieId", "rank"), spark, sf)
+
+
+@register("hard_negatives")
+def hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    def one(w):
+        r = chain.split_ratings(spark, sf, w)
+        ids = chain.item_meta(spark, sf).select("id")
+        return negatives.hard_negatives(chain.candidates(spark, sf, w), recall.seen_pairs(r), ids)
+
+    return chain.per_split(one, spark, sf)
+
+
+def _users_with_pos(spark: SparkSession, sf: str, w: str) -> DataFrame:
+    r = chain.split_ratings(spark, sf, w)
+    ids = chain.item_meta(spark, sf).select(F.col("id").alias("movieId"))
+    return r.filter(F.col("rating") >= feat.POS_THRESH).join(ids, "movieId", "left_semi").select("userId").distinct()
+
+
+@register("easy_negatives")
+def easy_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    def one(w):
+        r = chain.split_ratings(spark, sf, w)
+        return negatives.easy_negatives(_users_with_pos(spark, sf, w), recall.seen_pairs(r), r)
+
+    return chain.per_split(one, spark, sf)
+
+
+@register("fallback_negatives")
+def fallback_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """The one-draw fallback as it runs when hard_neg = easy_neg = 0 (every user lacks negatives)."""
+
+    def one(w):
+        r = chain.split_ratings(spark, sf, w)
+        users = _users_with_pos(spark, sf, w)
+        none = users.limit(0)
+        return negatives.fallback_negatives(users, none, recall.seen_pairs(r), r)
+
+    return chain.per_split(one, spark, sf)
+
+
+def _feature_out(df: DataFrame) -> DataFrame:
+    return df.select(
+        "split", "userId", "movieId", "label", r6("runtime_z").alias("runtime_z"), "lang_idx",
+        "popularity", "vote_avg", "vote_cnt",
+    )
+
+
+@register("feature_rows")
+def feature_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _feature_out(chain.per_split(lambda w: chain.features(spark, sf, w), spark, sf))
+
+
+@register("group_sizes")
+def group_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return chain.per_split(lambda w: feat.both_class_users(chain.features(spark, sf, w)), spark, sf)
+
+
+@register("map_ndcg")
+def map_ndcg(spark: SparkSession, sf: str) -> DataFrame:
+    """MAP@10 / NDCG@10 of the popularity ranker on each split's both-class users."""
+
+    def one(w):
+        rows = feat.load_split(chain.features(spark, sf, w)).withColumn("pred", F.col("popularity"))
+        return metrics.map_ndcg(rows, k=metrics.K)
+
+    out = chain.per_split(one, spark, sf)
+    return out.select("split", "k", r6("map_at_k").alias("map_at_k"), r6("ndcg_at_k").alias("ndcg_at_k"), "n_users")
+
+
+@register("lambda_gradients")
+def lambda_gradients(spark: SparkSession, sf: str) -> DataFrame:
+    """One round of LambdaRank gradients on the train rows, current score = vote_avg / 10."""
+    rows = feat.load_split(chain.features(spark, sf, "train")).withColumn("score", F.col("vote_avg") / 10)
+    g = lambdarank.gradients(lambdarank.ranked_rows(rows.select("userId", "movieId", "label", "score")))
+    return g.select("userId", "movieId", "label", "rn", r6("grad").alias("grad"), r6("hess").alias("hess"))
