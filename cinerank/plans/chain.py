@@ -43,13 +43,17 @@ def items_processed(spark: SparkSession, sf: str) -> DataFrame:
 def item_meta(spark: SparkSession, sf: str) -> DataFrame:
     """The item columns the ranker uses (everything except the tag text)."""
 
+    return items_base(spark, sf).select("id", "runtime_z", "lang_idx", "popularity", "vote_average", "vote_count")
+
+
+def items_base(spark: SparkSession, sf: str) -> DataFrame:
+    """Joined items with parsed lists, year, runtime z-score and language index (materialised)."""
+
     def build():
-        j = items_joined(spark, sf)
-        j = catalog.runtime_z(j)
-        j = catalog.with_language_index(j, catalog.language_order(j))
-        return j.select("id", "runtime_z", "lang_idx", "popularity", "vote_average", "vote_count")
+        j = catalog.runtime_z(catalog.parse_lists(items_joined(spark, sf)))
+        return catalog.with_language_index(j, catalog.language_order(j))
 
-    return stage("item_meta", spark, sf, build)
+    return stage("items_base", spark, sf, build)
 
 
 def ratings_mapped(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,3 +104,40 @@ def per_split(fn, spark: SparkSession, sf: str) -> DataFrame:
     """Union of ``fn(which)`` over both splits with a leading ``split`` column."""
     parts = [fn(w).select(F.lit(w).alias("split"), "*") for w in SPLITS]
     return parts[0].unionByName(parts[1])
+
+
+def item_vector_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """((id, lang_idx, runtime_z, year), lang_order) for the hybrid vectors."""
+    j = items_base(spark, sf)
+    return j.select("id", "lang_idx", "runtime_z", "year"), catalog.language_order(j)
+
+
+def item_tag_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    """The driver's embedding table as the items' dense tag block (vec_id = id - offset)."""
+    e = fixtures.embeddings(spark, sf)
+    return e.select((F.col("id") + F.lit(fixtures.ITEM_ID_OFFSET)).alias("id"), "features")
+
+
+def hybrid(spark: SparkSession, sf: str) -> DataFrame:
+    from cinerank.operators.vectors import hybrid_vectors
+
+    def build():
+        items, order = item_vector_inputs(spark, sf)
+        n_lang = order.select(F.count(F.lit(1)).cast("int")).scalar()
+        return hybrid_vectors(items, item_tag_embeddings(spark, sf), n_lang)
+
+    return stage("hybrid", spark, sf, build)
+
+
+def seed_neighbours(spark: SparkSession, sf: str, which: str, top: int = 300) -> DataFrame:
+    """VEC10 + VEC6 + JN18: neighbours of each user's first recalled item, computed once per distinct seed."""
+    from cinerank.operators.knn import knn
+
+    def build():
+        seeds = candidates(spark, sf, which).filter(F.col("rank") == 1).select("userId", F.col("movieId").alias("seed"))
+        vec = hybrid(spark, sf)
+        q = vec.join(seeds.select(F.col("seed").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("qid"), "features")
+        nb = knn(q, vec.select(F.col("id").alias("iid"), "features"), top, "cosine")
+        return seeds.join(nb, seeds["seed"] == nb["qid"]).select("userId", F.col("iid").alias("movieId"), "rank", "score")
+
+    return stage(f"seeds_{which}_{top}", spark, sf, build)

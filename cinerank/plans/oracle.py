@@ -396,3 +396,100 @@ ORACLE["lambda_gradients"] = _q2(f"""
 SELECT lk.userId, lk.movieId, lk.label, lk.rn, {R6('coalesce(lg.grad, 0.0)')} AS grad, {R6('coalesce(lg.hess, 0.0)')} AS hess
 FROM lk LEFT JOIN lg ON lk.userId = lg.userId AND lk.rn = lg.rn
 """, _LAMBDA_CTES)
+
+
+# ─── vectors, kNN and list blending ──────────────────────────────────────
+
+
+def _normed(v: str) -> str:
+    nrm = f"sqrt(list_sum(list_transform({v}, lambda x: x * x)))"
+    return f"list_transform({v}, lambda x: x / CASE WHEN {nrm} = 0 THEN 1.0 ELSE {nrm} END)"
+
+
+EMB_N = f"SELECT vec_id AS id, {_normed('CAST(embedding AS DOUBLE[])')} AS v FROM embeddings"
+EMB_RAW = "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings"
+
+ORACLE["knn_cosine"] = _q(f"""
+SELECT qid, iid, rank, {R6('score')} AS score
+FROM (SELECT a.id AS qid, b.id AS iid, list_dot_product(a.v, b.v) AS score,
+             row_number() OVER (PARTITION BY a.id ORDER BY round(list_dot_product(a.v, b.v), 9) DESC, b.id) AS rank
+      FROM en a, en b) t
+WHERE rank <= 300
+""", [("en", EMB_N)])
+
+ORACLE["knn_l2"] = _q(f"""
+SELECT qid, iid, rank, {R6('score')} AS score
+FROM (SELECT a.id AS qid, b.id AS iid, list_distance(a.v, b.v) AS score,
+             row_number() OVER (PARTITION BY a.id ORDER BY round(list_distance(a.v, b.v), 9), b.id) AS rank
+      FROM er a, er b) t
+WHERE rank <= 300
+""", [("er", EMB_RAW)])
+
+HV_CTES = [
+    ("hv_in", """SELECT j.id, l.lang_idx, z.runtime_z, p.year,
+                        CAST(greatest(floor(coalesce(p.year, 0) / 10), 0) AS INTEGER) AS yb
+                 FROM items_joined j JOIN items_lang l ON l.id = j.id JOIN items_rtz z ON z.id = j.id
+                 JOIN items_parsed p ON p.id = j.id"""),
+    ("hv_dims", """SELECT (SELECT max(len(embedding)) FROM embeddings) AS d, (SELECT count(*) FROM lang_order) AS nl,
+                          (SELECT max(yb) + 1 FROM hv_in) AS nb"""),
+    ("hv_raw", """SELECT h.id,
+                  list_concat(list_concat(list_concat(
+                      coalesce(CAST(e.embedding AS DOUBLE[]), list_transform(range(k.d), lambda i: 0.0)),
+                      list_transform(range(k.nl), lambda i: CASE WHEN i = h.lang_idx THEN 1.0 ELSE 0.0 END)),
+                      [CAST(coalesce(h.runtime_z, 0.0) AS DOUBLE)]),
+                      list_transform(range(k.nb), lambda i: CASE WHEN i = h.yb THEN 1.0 ELSE 0.0 END)) AS v
+                  FROM hv_in h CROSS JOIN hv_dims k LEFT JOIN embeddings e ON e.vec_id = h.id - 100000"""),
+    ("hv", f"SELECT id, {_normed('v')} AS v FROM hv_raw"),
+]
+
+ORACLE["hybrid_vectors"] = _q2(f"""
+SELECT id, dim, {R6('value')} AS value
+FROM (SELECT id, unnest(range(len(v))) AS dim, unnest(v) AS value FROM hv) t
+WHERE value <> 0
+""", HV_CTES)
+
+SEED_CTES = HV_CTES + [
+    ("seeds", "SELECT split, userId, movieId AS seed FROM cands WHERE rank = 1"),
+    ("nb", """SELECT qid, iid, rank, score
+              FROM (SELECT s.seed AS qid, h.id AS iid, list_dot_product(hs.v, h.v) AS score,
+                           row_number() OVER (PARTITION BY s.seed ORDER BY round(list_dot_product(hs.v, h.v), 9) DESC, h.id) AS rank
+                    FROM (SELECT DISTINCT seed FROM seeds) s JOIN hv hs ON hs.id = s.seed CROSS JOIN hv h) t
+              WHERE rank <= 300"""),
+    ("ct", "SELECT s.split, s.userId, nb.iid AS movieId, nb.rank, nb.score FROM seeds s JOIN nb ON s.seed = nb.qid"),
+    ("mr", """SELECT split, userId, movieId, rank AS r, 0 AS src FROM cands
+              UNION ALL
+              SELECT c.split, c.userId, c.movieId, c.rank AS r, 1 AS src FROM ct c
+              WHERE EXISTS (SELECT 1 FROM cands m WHERE m.split = c.split AND m.userId = c.userId)"""),
+]
+
+ORACLE["seed_neighbours"] = _q2(f"SELECT split, userId, movieId, rank, {R6('score')} AS score FROM ct", SEED_CTES)
+
+ORACLE["merge_union"] = _q2("""
+SELECT split, userId, movieId, pos FROM (
+  SELECT split, userId, movieId, row_number() OVER (PARTITION BY split, userId ORDER BY k) AS pos
+  FROM (SELECT split, userId, movieId, min(src * 1000000 + r) AS k FROM mr GROUP BY split, userId, movieId) a) b
+WHERE pos <= 300
+""", SEED_CTES)
+
+ORACLE["merge_interleave"] = _q2("""
+SELECT split, userId, movieId, pos FROM (
+  SELECT split, userId, movieId, row_number() OVER (PARTITION BY split, userId ORDER BY k) AS pos
+  FROM (SELECT mr.split, mr.userId, mr.movieId, min(2 * (mr.r - 1) + mr.src) AS k
+        FROM mr JOIN (SELECT split, userId, least(max(r) FILTER (WHERE src = 0), max(r) FILTER (WHERE src = 1)) AS m
+                      FROM mr GROUP BY split, userId) l ON mr.split = l.split AND mr.userId = l.userId
+        WHERE mr.r <= l.m
+        GROUP BY mr.split, mr.userId, mr.movieId) a) b
+WHERE pos <= 300
+""", SEED_CTES)
+
+ORACLE["merge_weighted"] = _q2("""
+SELECT split, userId, movieId, pos FROM (
+  SELECT split, userId, movieId,
+         row_number() OVER (PARTITION BY split, userId ORDER BY score DESC, mf_r ASC NULLS LAST, ct_r ASC) AS pos
+  FROM (SELECT mr.split, mr.userId, mr.movieId, sum(0.5 * (l.len - mr.r + 1)) AS score,
+               min(CASE WHEN mr.src = 0 THEN mr.r END) AS mf_r, min(CASE WHEN mr.src = 1 THEN mr.r END) AS ct_r
+        FROM mr JOIN (SELECT split, userId, src, max(r) AS len FROM mr GROUP BY split, userId, src) l
+          ON mr.split = l.split AND mr.userId = l.userId AND mr.src = l.src
+        GROUP BY mr.split, mr.userId, mr.movieId) a) b
+WHERE pos <= 300
+""", SEED_CTES)

@@ -229,3 +229,52 @@ def lambda_gradients(spark: SparkSession, sf: str) -> DataFrame:
     rows = feat.load_split(chain.features(spark, sf, "train")).withColumn("score", F.col("vote_avg") / 10)
     g = lambdarank.gradients(lambdarank.ranked_rows(rows.select("userId", "movieId", "label", "score")))
     return g.select("userId", "movieId", "label", "rn", r6("grad").alias("grad"), r6("hess").alias("hess"))
+
+
+# ─── vectors, kNN and list blending ──────────────────────────────────────
+
+from cinerank.operators import knn as knn_ops  # noqa: E402
+from cinerank.operators import vectors  # noqa: E402
+
+
+def _emb(spark: SparkSession, sf: str) -> DataFrame:
+    return fixtures.embeddings(spark, sf)
+
+
+@register("knn_cosine")
+def knn_cosine(spark: SparkSession, sf: str) -> DataFrame:
+    e = _emb(spark, sf)
+    nb = knn_ops.knn(e.select(F.col("id").alias("qid"), "features"), e.select(F.col("id").alias("iid"), "features"), recall.CONTENT_TOP, "cosine")
+    return nb.select("qid", "iid", "rank", r6("score").alias("score"))
+
+
+@register("knn_l2")
+def knn_l2(spark: SparkSession, sf: str) -> DataFrame:
+    e = _emb(spark, sf)
+    nb = knn_ops.knn(e.select(F.col("id").alias("qid"), "features"), e.select(F.col("id").alias("iid"), "features"), recall.CONTENT_TOP, "l2")
+    return nb.select("qid", "iid", "rank", r6("score").alias("score"))
+
+
+@register("hybrid_vectors")
+def hybrid_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.unpivot_nonzero(chain.hybrid(spark, sf)).select("id", "dim", r6("value").alias("value"))
+
+
+@register("seed_neighbours")
+def seed_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    out = chain.per_split(lambda w: chain.seed_neighbours(spark, sf, w), spark, sf)
+    return out.select("split", "userId", "movieId", "rank", r6("score").alias("score"))
+
+
+def _merge(how: str):
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        def one(w):
+            return recall.merge_lists(chain.candidates(spark, sf, w), chain.seed_neighbours(spark, sf, w), how)
+
+        return chain.per_split(one, spark, sf)
+
+    return q
+
+
+for _how in recall.MERGES:
+    register(f"merge_{_how}")(_merge(_how))
