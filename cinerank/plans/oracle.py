@@ -493,3 +493,20 @@ SELECT split, userId, movieId, pos FROM (
         GROUP BY mr.split, mr.userId, mr.movieId) a) b
 WHERE pos <= 300
 """, SEED_CTES)
+
+
+# ─── text ────────────────────────────────────────────────────────────────
+
+TFIDF_CTES = [
+    ("tk", f"SELECT doc_id, list_filter(regexp_extract_all(lower(coalesce(text, '')), '{WORD2}'), lambda t: NOT list_contains({STOP}, t)) AS u FROM documents"),
+    ("tg", """SELECT doc_id, list_concat(u, list_transform(range(1, len(u)), lambda i: u[i] || ' ' || u[i + 1])) AS g FROM tk"""),
+    ("tt", "SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(g) AS term FROM tg) x GROUP BY doc_id, term"),
+    ("tv", """SELECT term, count(*) AS df, sum(tf) AS tf_total FROM tt GROUP BY term HAVING count(*) >= 3
+              ORDER BY tf_total DESC, term LIMIT 20000"""),
+    ("tw", """SELECT t.doc_id, t.term, t.tf * (ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + v.df)) + 1.0) AS w
+              FROM tt t JOIN tv v ON t.term = v.term"""),
+]
+ORACLE["tfidf_weights"] = _q(f"""
+SELECT doc_id, term, {R6('w / CASE WHEN nrm = 0 THEN 1.0 ELSE nrm END')} AS weight
+FROM (SELECT doc_id, term, w, sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS nrm FROM tw) x
+""", TFIDF_CTES)

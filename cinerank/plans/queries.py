@@ -278,3 +278,24 @@ def _merge(how: str):
 
 for _how in recall.MERGES:
     register(f"merge_{_how}")(_merge(_how))
+
+
+# ─── text ────────────────────────────────────────────────────────────────
+
+from cinerank.operators import text as text_ops  # noqa: E402
+
+
+@register("tfidf_weights")
+def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
+    w, _ = text_ops.tfidf(fixtures.documents(spark, sf))
+    return w.select("doc_id", "term", r6("weight").alias("weight"))
+
+
+@register("svd_vectors")
+def svd_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows-only: one SVD-reduced vector per document (U·Σ of the TF-IDF matrix)."""
+    w, vocab = text_ops.tfidf(fixtures.documents(spark, sf))
+    w = chain.stage("tfidf", spark, sf, lambda: w)
+    n_terms = vocab.count()
+    vec, _ = text_ops.svd(w, n_terms)
+    return vec.select("doc_id", F.size("features").alias("dim"), r6(F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x)).alias("sq_norm"))
