@@ -141,3 +141,44 @@ def seed_neighbours(spark: SparkSession, sf: str, which: str, top: int = 300) ->
         return seeds.join(nb, seeds["seed"] == nb["qid"]).select("userId", F.col("iid").alias("movieId"), "rank", "score")
 
     return stage(f"seeds_{which}_{top}", spark, sf, build)
+
+
+def als(spark: SparkSession, sf: str, **kw):
+    """Trained ALS on the pruned, summed confidences; returns (user_factors, item_factors) by id."""
+    from cinerank.operators import als as als_ops
+
+    key = ("als", sf, id(spark.sparkContext), tuple(sorted(kw.items())))
+    if key not in _STAGES:
+        items = items_joined(spark, sf).select("id")
+        pruned = interactions.prune_sparse(ratings_mapped(spark, sf), items)
+        conf = stage("confidences", spark, sf, lambda: interactions.confidences(pruned))
+        model, users, its = als_ops.train(conf, **kw)
+        uf, itf = als_ops.factors_by_id(model, users, its)
+        _STAGES[key] = (uf.checkpoint(eager=True), itf.checkpoint(eager=True))
+    return _STAGES[key]
+
+
+def als_candidates(spark: SparkSession, sf: str, which: str, **kw) -> DataFrame:
+    from cinerank.operators import als as als_ops
+
+    def build():
+        uf, itf = als(spark, sf, **kw)
+        r = split_ratings(spark, sf, which)
+        from cinerank.operators.recall import seen_pairs
+
+        return als_ops.recall(uf, itf, items_joined(spark, sf).select("id"), r.select("userId"), seen_pairs(r))
+
+    return stage(f"als_cands_{which}", spark, sf, build)
+
+
+def ranker(spark: SparkSession, sf: str, trees: int = 10):
+    """Trained LambdaMART on the popularity-candidate feature rows; returns (ensemble, log)."""
+    from cinerank.operators import features as feat
+    from cinerank.operators import ranker as rk
+
+    key = ("ranker", sf, id(spark.sparkContext), trees)
+    if key not in _STAGES:
+        tr = feat.load_split(features(spark, sf, "train"))
+        va = feat.load_split(features(spark, sf, "valid"))
+        _STAGES[key] = rk.train(tr, va, trees=trees)
+    return _STAGES[key]

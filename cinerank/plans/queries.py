@@ -299,3 +299,50 @@ def svd_vectors(spark: SparkSession, sf: str) -> DataFrame:
     n_terms = vocab.count()
     vec, _ = text_ops.svd(w, n_terms)
     return vec.select("doc_id", F.size("features").alias("dim"), r6(F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x)).alias("sq_norm"))
+
+
+# ─── matrix factorisation ────────────────────────────────────────────────
+
+
+@register("als_factors")
+def als_factors(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows-only: one row per trained user and item factor (128 floats)."""
+    uf, itf = chain.als(spark, sf)
+    u = uf.select(F.lit("user").alias("kind"), F.col("userId").alias("id"), F.size("features").alias("dim"))
+    i = itf.select(F.lit("item").alias("kind"), F.col("movieId").alias("id"), F.size("features").alias("dim"))
+    return u.unionByName(i)
+
+
+@register("als_recall")
+def als_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows-only: top-300 unseen items per user of each split by cosine of ALS factors."""
+    out = chain.per_split(lambda w: chain.als_candidates(spark, sf, w), spark, sf)
+    return out.select("split", "userId", "movieId", "rank", r6("score").alias("score"))
+
+
+# ─── ranker ──────────────────────────────────────────────────────────────
+
+from cinerank.operators import ranker as ranker_ops  # noqa: E402
+
+RANKER_ROUNDS = 10  # driver-check budget; the job default is 500 with early stopping
+
+
+@register("train_ranker")
+def train_ranker(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows-only: per-round train / valid NDCG@10 of the LambdaMART ensemble."""
+    _ens, log = chain.ranker(spark, sf, RANKER_ROUNDS)
+    rows = [(r, round(t, 6), round(v, 6)) for r, t, v in log]
+    return spark.createDataFrame(rows, "round int, train_ndcg double, valid_ndcg double")
+
+
+@register("score_ranker")
+def score_ranker(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows-only: save, reload and apply the ensemble to the valid rows; MAP@10 / NDCG@10."""
+    ens, _log = chain.ranker(spark, sf, RANKER_ROUNDS)
+    path = ranker_ops.model_path(spark)
+    ens.save(path)
+    loaded = ranker_ops.Ensemble.load(path)
+    va = ranker_ops.prepare(feat.load_split(chain.features(spark, sf, "valid")))
+    pred = loaded.predict(va)
+    m = metrics.map_ndcg(pred, k=metrics.K)
+    return m.select("k", r6("map_at_k").alias("map_at_k"), r6("ndcg_at_k").alias("ndcg_at_k"), "n_users")
