@@ -19,14 +19,20 @@ Euclidean distance and reports the distance.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinerank.functions.vectors import l2_normalize
 
+# The functions shipped to executors are pickled by value, so workers do not
+# need this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 METRICS = ("cosine", "ip", "l2")
 # Ranking precision — scores are ranked after rounding to this
 # many decimals so that summation-order noise cannot reorder exact ties.

@@ -89,15 +89,17 @@ def candidates(spark: SparkSession, sf: str, which: str) -> DataFrame:
     return stage(f"candidates_{which}", spark, sf, lambda: popular_unseen(split_ratings(spark, sf, which)))
 
 
-def features(spark: SparkSession, sf: str, which: str, **kw) -> DataFrame:
+def features(spark: SparkSession, sf: str, which: str, source: str = "pop", **kw) -> DataFrame:
+    """Feature rows of one split; hard negatives come from the popularity or the ALS recall lists."""
     from cinerank.operators.features import feature_rows
 
     def build():
         r = split_ratings(spark, sf, which)
-        return feature_rows(r, candidates(spark, sf, which), item_meta(spark, sf), **kw)
+        cands = candidates(spark, sf, which) if source == "pop" else als_candidates(spark, sf, which)
+        return feature_rows(r, cands, item_meta(spark, sf), **kw)
 
     tag = "_".join(f"{k}={v}" for k, v in sorted(kw.items()))
-    return stage(f"features_{which}_{tag}", spark, sf, build)
+    return stage(f"features_{source}_{which}_{tag}", spark, sf, build)
 
 
 def per_split(fn, spark: SparkSession, sf: str) -> DataFrame:
@@ -171,14 +173,14 @@ def als_candidates(spark: SparkSession, sf: str, which: str, **kw) -> DataFrame:
     return stage(f"als_cands_{which}", spark, sf, build)
 
 
-def ranker(spark: SparkSession, sf: str, trees: int = 10):
-    """Trained LambdaMART on the popularity-candidate feature rows; returns (ensemble, log)."""
+def ranker(spark: SparkSession, sf: str, trees: int = 10, source: str = "pop"):
+    """Trained LambdaMART on one candidate source's feature rows; returns (ensemble, log)."""
     from cinerank.operators import features as feat
     from cinerank.operators import ranker as rk
 
-    key = ("ranker", sf, id(spark.sparkContext), trees)
+    key = ("ranker", sf, id(spark.sparkContext), trees, source)
     if key not in _STAGES:
-        tr = feat.load_split(features(spark, sf, "train"))
-        va = feat.load_split(features(spark, sf, "valid"))
+        tr = feat.load_split(features(spark, sf, "train", source))
+        va = feat.load_split(features(spark, sf, "valid", source))
         _STAGES[key] = rk.train(tr, va, trees=trees)
     return _STAGES[key]

@@ -346,3 +346,18 @@ def score_ranker(spark: SparkSession, sf: str) -> DataFrame:
     pred = loaded.predict(va)
     m = metrics.map_ndcg(pred, k=metrics.K)
     return m.select("k", r6("map_at_k").alias("map_at_k"), r6("ndcg_at_k").alias("ndcg_at_k"), "n_users")
+
+
+@register("recommend_topk")
+def recommend_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows-only, the whole chain: ALS recall (300 unseen items per validation user) → item
+    features → LambdaMART trained on ALS-based feature rows → top 10 per user by score."""
+    from pyspark.sql import Window
+
+    ens, _log = chain.ranker(spark, sf, RANKER_ROUNDS, source="als")
+    cands = chain.als_candidates(spark, sf, "valid").select("userId", "movieId")
+    rows = feat._with_meta(cands, chain.item_meta(spark, sf), 0)
+    pred = ens.predict(ranker_ops.prepare(rows))
+    w = Window.partitionBy("userId").orderBy(F.desc("pred"), F.asc("movieId"))
+    top = pred.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= metrics.K)
+    return top.select("userId", "movieId", "rank", r6("pred").alias("score"))
