@@ -331,7 +331,7 @@ RANKER_ROUNDS = 10  # driver-check budget; the job default is 500 with early sto
 def train_ranker(spark: SparkSession, sf: str) -> DataFrame:
     """Rows-only: per-round train / valid NDCG@10 of the LambdaMART ensemble."""
     _ens, log = chain.ranker(spark, sf, RANKER_ROUNDS)
-    rows = [(r, round(t, 6), round(v, 6)) for r, t, v in log]
+    rows = [(r, None if t is None else round(t, 6), round(v, 6)) for r, t, v in log]
     return spark.createDataFrame(rows, "round int, train_ndcg double, valid_ndcg double")
 
 
