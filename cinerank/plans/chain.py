@@ -43,7 +43,13 @@ def items_processed(spark: SparkSession, sf: str) -> DataFrame:
 def item_meta(spark: SparkSession, sf: str) -> DataFrame:
     """The item columns the ranker uses (everything except the tag text)."""
 
-    return items_base(spark, sf).select("id", "runtime_z", "lang_idx", "popularity", "vote_average", "vote_count")
+    def build():
+        # no nested-list parsing here: the ranker needs only scalar metadata
+        j = catalog.runtime_z(items_joined(spark, sf).select("id", "runtime", "original_language", "popularity", "vote_average", "vote_count"))
+        j = catalog.with_language_index(j, catalog.language_order(j))
+        return j.select("id", "runtime_z", "lang_idx", "popularity", "vote_average", "vote_count")
+
+    return stage("item_meta", spark, sf, build)
 
 
 def items_base(spark: SparkSession, sf: str) -> DataFrame:
