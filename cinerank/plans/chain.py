@@ -24,7 +24,7 @@ def reset() -> None:
 def stage(name: str, spark: SparkSession, sf: str, build) -> DataFrame:
     """Materialise a stage output once per session: a reliable checkpoint in the
     shared checkpoint folder, which also cuts the lineage of later stages."""
-    key = (name, sf, id(spark.sparkContext))
+    key = (name, sf, spark.sparkContext.applicationId)
     if key not in _STAGES:
         checkpoint_dir(spark)
         _STAGES[key] = build().checkpoint(eager=True)
@@ -155,7 +155,7 @@ def als(spark: SparkSession, sf: str, **kw):
     """Trained ALS on the pruned, summed confidences; returns (user_factors, item_factors) by id."""
     from cinerank.operators import als as als_ops
 
-    key = ("als", sf, id(spark.sparkContext), tuple(sorted(kw.items())))
+    key = ("als", sf, spark.sparkContext.applicationId, tuple(sorted(kw.items())))
     if key not in _STAGES:
         items = items_joined(spark, sf).select("id")
         pruned = interactions.prune_sparse(ratings_mapped(spark, sf), items)
@@ -184,7 +184,7 @@ def ranker(spark: SparkSession, sf: str, trees: int = 10, source: str = "pop"):
     from cinerank.operators import features as feat
     from cinerank.operators import ranker as rk
 
-    key = ("ranker", sf, id(spark.sparkContext), trees, source)
+    key = ("ranker", sf, spark.sparkContext.applicationId, trees, source)
     if key not in _STAGES:
         tr = feat.load_split(features(spark, sf, "train", source))
         va = feat.load_split(features(spark, sf, "valid", source))
