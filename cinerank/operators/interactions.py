@@ -29,11 +29,12 @@ def map_ratings(ratings: DataFrame, links: DataFrame, item_ids: DataFrame) -> Da
     lk = links.select("movieId", "tmdbId").na.drop("any").select(
         F.col("movieId").cast("long").alias("movieId"), F.col("tmdbId").cast("long").alias("tmdbId")
     )
+    when = [c for c in ("rated_at", "timestamp") if c in ratings.columns]
     mapped = ratings.join(lk, "movieId", "inner").select(
-        "userId", F.col("tmdbId").alias("movieId"), "rating", "rated_at"
+        "userId", F.col("tmdbId").alias("movieId"), "rating", *when
     )
     ids = item_ids.select(F.col("id").alias("movieId")).distinct()
-    return mapped.join(ids, "movieId", "left_semi").select("userId", "movieId", "rating", "rated_at")
+    return mapped.join(ids, "movieId", "left_semi").select("userId", "movieId", "rating", *when)
 
 
 def split_users(ratings: DataFrame, valid_frac: float = VALID_FRAC, seed: int = SEED) -> DataFrame:

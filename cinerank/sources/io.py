@@ -37,3 +37,38 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("userId", F.posexplode("candidates").alias("pos", "movieId")).select(
         "userId", "movieId", (F.col("pos") + 1).alias("rank")
     )
+
+
+def _csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Quoted fields may hold commas, quotes and newlines (nested lists as text)."""
+    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    if schema is not None:
+        r = r.schema(schema).option("enforceSchema", False)
+    return r.csv(path)
+
+
+def read_items_csv(spark: SparkSession, path: str) -> DataFrame:
+    """SRC1: item metadata with an explicit schema (columns matched by header name)."""
+    from cinerank.sources.schemas import ITEMS
+
+    return _csv(spark, path, ITEMS)
+
+
+def read_credits_csv(spark: SparkSession, path: str) -> DataFrame:
+    """SRC2: credits; the ``cast`` column is exposed as ``cast_list``."""
+    from cinerank.sources.schemas import CREDITS
+
+    return _csv(spark, path, CREDITS).withColumnRenamed("cast", "cast_list")
+
+
+def read_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
+    """SRC3: userId, movieId, rating, timestamp (epoch seconds)."""
+    from cinerank.sources.schemas import RATINGS
+
+    return _csv(spark, path, RATINGS)
+
+
+def read_links_csv(spark: SparkSession, path: str) -> DataFrame:
+    """SRC4: only movieId and tmdbId are read (tmdbId may be empty)."""
+    df = _csv(spark, path)
+    return df.select(F.col("movieId").cast("long").alias("movieId"), F.col("tmdbId").cast("double").alias("tmdbId"))
