@@ -57,7 +57,7 @@ def nested_list_parse(spark: SparkSession, sf: str) -> DataFrame:
         F.size("cast_names").alias("n_cast"),
         joined("directors").alias("directors_str"),
         "country_iso",
-        "year",
+        F.col("year").cast("long").alias("year"),
     )
 
 
@@ -94,7 +94,7 @@ def runtime_zscore(spark: SparkSession, sf: str) -> DataFrame:
 @register("release_year_bucket")
 def release_year_bucket(spark: SparkSession, sf: str) -> DataFrame:
     p = catalog.parse_lists(chain.items_joined(spark, sf))
-    return catalog.year_bucket(p).select("id", "year", "year_bucket", "n_bucket")
+    return catalog.year_bucket(p).select("id", F.col("year").cast("long").alias("year"), "year_bucket", "n_bucket")
 
 
 @register("dedup_items")
@@ -153,7 +153,7 @@ from cinerank.operators import lambdarank, metrics, negatives, recall  # noqa: E
 
 @register("seen_mask")
 def seen_mask(spark: SparkSession, sf: str) -> DataFrame:
-    return chain.per_split(lambda w: chain.candidates(spark, sf, w).select("userId", "movieId", "rank"), spark, sf)
+    return chain.per_split(lambda w: chain.candidates(spark, sf, w).select("userId", "movieId", F.col("rank").cast("long").alias("rank")), spark, sf)
 
 
 @register("hard_negatives")
@@ -161,7 +161,8 @@ def hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     def one(w):
         r = chain.split_ratings(spark, sf, w)
         ids = chain.item_meta(spark, sf).select("id")
-        return negatives.hard_negatives(chain.candidates(spark, sf, w), recall.seen_pairs(r), ids)
+        hard = negatives.hard_negatives(chain.candidates(spark, sf, w), recall.seen_pairs(r), ids)
+        return hard.select("userId", "movieId", F.col("rank").cast("long").alias("rank"))
 
     return chain.per_split(one, spark, sf)
 
@@ -245,31 +246,32 @@ def _emb(spark: SparkSession, sf: str) -> DataFrame:
 def knn_cosine(spark: SparkSession, sf: str) -> DataFrame:
     e = _emb(spark, sf)
     nb = knn_ops.knn(e.select(F.col("id").alias("qid"), "features"), e.select(F.col("id").alias("iid"), "features"), recall.CONTENT_TOP, "cosine")
-    return nb.select("qid", "iid", "rank", r6("score").alias("score"))
+    return nb.select("qid", "iid", F.col("rank").cast("long").alias("rank"), r6("score").alias("score"))
 
 
 @register("knn_l2")
 def knn_l2(spark: SparkSession, sf: str) -> DataFrame:
     e = _emb(spark, sf)
     nb = knn_ops.knn(e.select(F.col("id").alias("qid"), "features"), e.select(F.col("id").alias("iid"), "features"), recall.CONTENT_TOP, "l2")
-    return nb.select("qid", "iid", "rank", r6("score").alias("score"))
+    return nb.select("qid", "iid", F.col("rank").cast("long").alias("rank"), r6("score").alias("score"))
 
 
 @register("hybrid_vectors")
 def hybrid_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return vectors.unpivot_nonzero(chain.hybrid(spark, sf)).select("id", "dim", r6("value").alias("value"))
+    return vectors.unpivot_nonzero(chain.hybrid(spark, sf)).select("id", F.col("dim").cast("long").alias("dim"), r6("value").alias("value"))
 
 
 @register("seed_neighbours")
 def seed_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     out = chain.per_split(lambda w: chain.seed_neighbours(spark, sf, w), spark, sf)
-    return out.select("split", "userId", "movieId", "rank", r6("score").alias("score"))
+    return out.select("split", "userId", "movieId", F.col("rank").cast("long").alias("rank"), r6("score").alias("score"))
 
 
 def _merge(how: str):
     def q(spark: SparkSession, sf: str) -> DataFrame:
         def one(w):
-            return recall.merge_lists(chain.candidates(spark, sf, w), chain.seed_neighbours(spark, sf, w), how)
+            m = recall.merge_lists(chain.candidates(spark, sf, w), chain.seed_neighbours(spark, sf, w), how)
+            return m.select("userId", "movieId", F.col("pos").cast("long").alias("pos"))
 
         return chain.per_split(one, spark, sf)
 
