@@ -126,18 +126,27 @@ def build_features(spark: SparkSession, out: str, which: str, candidates: str, o
     return rows
 
 
+def _report(m: DataFrame, metrics_table: str | None, job: str) -> DataFrame:
+    """SNK13: append the one-row metrics to a metrics table when a path is given."""
+    if metrics_table:
+        m.withColumn("job", F.lit(job)).withColumn("at", F.current_timestamp()).write.mode("append").parquet(metrics_table)
+    return m
+
+
 def train(spark: SparkSession, train_rows: str, valid_rows: str, model: str, trees: int = 500, lr: float = 0.05,
-          ndcg_k: int = 10) -> DataFrame:
+          ndcg_k: int = 10, metrics_table: str | None = None) -> DataFrame:
     """Job 6: LambdaMART with early stopping; saves the model; returns MAP@k / NDCG@k on valid."""
     tr = features.load_split(spark.read.parquet(train_rows))
     va = features.load_split(spark.read.parquet(valid_rows))
+    if not features.group_sizes_consistent(tr):  # AGG14
+        raise AssertionError("group size mismatch")
     ens, _log = ranker.train(tr, va, trees=trees, lr=lr, k=ndcg_k)
     ens.save(model)
-    return metrics.map_ndcg(ens.predict(ranker.prepare(va)), k=ndcg_k)
+    return _report(metrics.map_ndcg(ens.predict(ranker.prepare(va)), k=ndcg_k), metrics_table, "train")
 
 
-def evaluate(spark: SparkSession, rows: str, model: str, k: int = 10) -> DataFrame:
+def evaluate(spark: SparkSession, rows: str, model: str, k: int = 10, metrics_table: str | None = None) -> DataFrame:
     """Job 7: reload the ranker, score the rows of both-class users, MAP@k / NDCG@k."""
     ens = ranker.Ensemble.load(model)
     va = features.load_split(spark.read.parquet(rows))
-    return metrics.map_ndcg(ens.predict(ranker.prepare(va)), k=k)
+    return _report(metrics.map_ndcg(ens.predict(ranker.prepare(va)), k=k), metrics_table, "evaluate")

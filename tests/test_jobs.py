@@ -27,8 +27,10 @@ def test_jobs_end_to_end(spark, tmp_path):
     for s in jobs.SETS:
         jobs.recall_job(spark, out, s, str(tmp_path / f"cands_{s}"), top_r=30, content_top=30, merge="weighted")
         jobs.build_features(spark, out, s, str(tmp_path / f"cands_{s}"), str(tmp_path / f"rows_{s}"), hard_neg=5, easy_neg=3)
-    m = jobs.train(spark, str(tmp_path / "rows_train"), str(tmp_path / "rows_valid"), str(tmp_path / "model"), trees=2).first()
-    e = jobs.evaluate(spark, str(tmp_path / "rows_valid"), str(tmp_path / "model")).first()
+    m = jobs.train(spark, str(tmp_path / "rows_train"), str(tmp_path / "rows_valid"), str(tmp_path / "model"), trees=2,
+                   metrics_table=str(tmp_path / "metrics")).first()
+    e = jobs.evaluate(spark, str(tmp_path / "rows_valid"), str(tmp_path / "model"), metrics_table=str(tmp_path / "metrics")).first()
+    assert spark.read.parquet(str(tmp_path / "metrics")).count() == 2
     assert 0.0 <= e["ndcg_at_k"] <= 1.0 and 0.0 <= e["map_at_k"] <= 1.0
     assert abs(m["ndcg_at_k"] - e["ndcg_at_k"]) < 1e-9
     cands = io.read_candidates(spark, str(tmp_path / "cands_valid"))

@@ -211,3 +211,19 @@ def test_null_path_sentinels(spark, tmp_path):
         assert features.write_rows(df, p) is False
     assert features.write_rows(df, str(tmp_path / "out")) is True
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_group_sizes_consistent(spark):
+    rows = spark.createDataFrame([(1, 10, 1), (1, 11, 0), (2, 12, 1)], "userId long, movieId long, label int")
+    assert features.group_sizes_consistent(rows)
+
+
+def test_tfidf_transform_matches_fit_on_same_corpus(spark):
+    from cinerank.operators import text
+
+    docs = fixtures.documents(spark, SF)
+    w, vocab = text.tfidf(docs)
+    again = text.tfidf_transform(docs, vocab, docs.count())
+    a = {(r.doc_id, r.term): round(r.weight, 12) for r in w.collect()}
+    b = {(r.doc_id, r.term): round(r.weight, 12) for r in again.collect()}
+    assert a == b
