@@ -40,10 +40,3 @@ def english_stop_words() -> tuple[str, ...]:
 def sql_string_list(values) -> str:
     """A SQL list literal ``['a', 'b']`` (DuckDB syntax) of ``values``."""
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
-
-
-def bigrams(toks: Column) -> Column:
-    """Adjacent-pair n-grams 'a b' in order; empty for fewer than two tokens."""
-    nxt = F.slice(toks, 2, F.greatest(F.size(toks), F.lit(1)))
-    pairs = F.zip_with(toks, nxt, lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b)))
-    return F.filter(pairs, lambda x: x.isNotNull())
