@@ -92,7 +92,7 @@ def knn(
     k: int,
     metric: str = "cosine",
     exclude: DataFrame | None = None,
-    q_block: int = 4096,
+    q_block: int = 2048,
     i_block: int = 8192,
 ) -> DataFrame:
     """Top-``k`` items per query.
@@ -102,6 +102,9 @@ def knn(
     exclude: optional (qid, iid) pairs never returned (seen masking, JN12)
     returns (qid, iid, rank, score): rank 1..k by score descending (cosine/ip)
              or distance ascending (l2), ties by iid.
+
+    A task holds one q_block × i_block score matrix and its ranking copy
+    (2 × 2048 × 8192 doubles ≈ 256 MB by default).
     """
     metric = metric.lower()
     if metric not in METRICS:
