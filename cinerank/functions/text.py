@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import functools
-import glob
-import os
-import zipfile
+import importlib.resources
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,18 +21,14 @@ def tokens(text: Column, pattern: str = WORD) -> Column:
 
 @functools.lru_cache(maxsize=1)
 def english_stop_words() -> tuple[str, ...]:
-    """Spark ML's default English stop-word list, read from the installed jar.
+    """The default English stop words of Spark ML's ``StopWordsRemover``.
 
-    ``StopWordsRemover`` uses the same resource on the JVM side; reading it
-    here lets the SQL oracle use the identical list without a running JVM.
+    Kept as a text resource of this package so that neither the job nor the SQL
+    oracle needs the JVM or a particular jar layout; a test compares it with
+    ``StopWordsRemover.loadDefaultStopWords("english")``.
     """
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    jars = [j for j in jars if "local" not in os.path.basename(j)]
-    with zipfile.ZipFile(sorted(jars)[0]) as z:
-        raw = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-    return tuple(w.strip() for w in raw.splitlines() if w.strip())
+    raw = importlib.resources.files(__package__).joinpath("stop_words_english.txt").read_text("utf-8")
+    return tuple(w for w in raw.splitlines() if w)
 
 
 def sql_string_list(values) -> str:

@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from tests.conftest import SF
 from tools.oracle_check import duck, rows_of
 
-ORACLE = E.oracle_sql()
+from cinerank.plans.oracle import ORACLE
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -19,7 +19,9 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(E.queries()) - set(ORACLE)
+    from cinerank.plans.queries import REGISTRY
+
+    rows_only = set(REGISTRY) - set(ORACLE)
     assert rows_only <= {"svd_vectors", "als_factors", "als_recall", "train_ranker", "score_ranker", "recommend_topk"}
 
 
