@@ -3,17 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cinerank.llm import op2_quality as op2
+from cinerank.llm import op5_toxicity as op5
+from cinerank.llm import op7_line_dedup as op7
 from cinerank.llm import op8_ngram_join as op8
+from cinerank.llm import op9_sharding as op9
 from cinerank.llm.common import table
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op2.score(docs, op2.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op5.score(docs, op5.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op7.drop_shared_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.ngram_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op9.ring_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=16)
+    return digest9(out)
+
+
+def digest9(out: DataFrame) -> DataFrame:
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
+    "op5_toxicity": op5_toxicity,
+    "op7_line_dedup": op7_line_dedup,
     "op8_ngram_join": op8_ngram_join,
+    "op9_sharding": op9_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_line_dedup": op7.ORACLE,
+}
