@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinerank.llm import op2_quality as op2
+from cinerank.llm import op3_mixing as op3
 from cinerank.llm import op5_toxicity as op5
+from cinerank.llm import op6_decontam as op6
 from cinerank.llm import op7_line_dedup as op7
 from cinerank.llm import op8_ngram_join as op8
 from cinerank.llm import op9_sharding as op9
@@ -18,6 +20,16 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2.score(docs, op2.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op3.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return out.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op6.contaminated(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return op5.score(docs, op5.train(docs, table(spark, sf_dir, "labels")))
@@ -43,7 +55,9 @@ def digest9(out: DataFrame) -> DataFrame:
 
 QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_mix_sources": op3_mix_sources,
     "op5_toxicity": op5_toxicity,
+    "op6_decontaminate": op6_decontaminate,
     "op7_line_dedup": op7_line_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_sharding": op9_sharding,
