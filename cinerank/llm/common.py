@@ -31,7 +31,7 @@ __all__ = ["table", "written", "small_enough", "maybe_broadcast", "held_out", "W
 #: stated row width stay under this many bytes; otherwise the plan shuffles.
 BROADCAST_BYTES = 32 << 20
 #: Text bytes handled at once inside a task (a single longer text still goes whole).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

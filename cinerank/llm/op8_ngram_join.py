@@ -1,9 +1,10 @@
 """N-gram Jaccard join by multiple-global-order filtering, and its duplicate classes.
 
 Two documents link when the Jaccard similarity of their word-shingle sets is at
-least a threshold (an exact integer test).  Under *any* global token order, two
-such sets share a token among their first ``n - ceil(t n) + 1`` tokens, so a
-candidate must share prefix tokens under each of several orders.
+least a threshold ``t`` (an exact integer test).  Under *any* global token order, two
+such sets of ``m`` and ``m'`` tokens share at least ``1 + min(e, e')`` of their
+first ``m - ceil(t m) + 1 + e`` tokens, whatever ``e >= 0`` each of them adds, so
+a candidate must share that many prefix tokens under each of several orders.
 
 1. One pass hashes every whole text to its distinct shingles and emits only the
    set size and a digest of the set.  Documents with equal sets are one *class*
@@ -16,13 +17,14 @@ candidate must share prefix tokens under each of several orders.
    classes are first compared with one pivot only (m - 1 pairs, not m^2).
    Common tokens, which only near-copy groups have in a prefix, are grouped by a
    map-side-combined aggregate and a join that adaptive execution may split.
-4. Pairs must also meet in the prefixes under two further orders (read from a
-   column-pruned table before any whole set is read); survivors are verified
-   with the exact intersection of the whole sets.
+4. Pairs with enough shared prefix tokens must also meet in the prefixes under
+   two further orders; what passes all filters is verified with the exact
+   intersection of the whole sets, which are read for those classes alone.
 5. Verified links are contracted to components.  A second turn compares, per
-   token, classes of different components with another, token-specific pivot;
-   the last turn compares every remaining pair of classes that share a prefix
-   token and are in different components.  A pair left out is thus always one
+   token, classes of different components with another, token-specific pivot.
+   These two turns only save work (a pair that they drop comes again).  The last
+   turn takes every pair of classes of different components that share a prefix
+   token and puts it through the filters.  A pair left out is thus always one
    whose ends are already connected: no component can change, and no cap exists.
 
 Defined results: null text equals empty text (size 0, its own component, linked
@@ -50,7 +52,7 @@ from cinerank.llm.components import components
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Shingles counted together inside a task before shared ones are emitted.
-CHUNK_SHINGLES = 2_000_000
+CHUNK_SHINGLES = 1_000_000
 #: A shingle is common when its chunk counts (of 2 or more) sum to this many
 #: classes; at most COMMON_MAX of them (8 bytes each) are sent to the tasks.
 COMMON_DF = 40
@@ -73,17 +75,29 @@ def _class_of(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little") >> 1
 
 
+def _extra(m: int, pct: int) -> int:
+    """Prefix tokens beyond the least; the same rule in SQL is in ``_needed``."""
+    return min(m // 16, (pct * m + 99) // 100 - 1)
+
+
 def _prefix_size(m: int, pct: int) -> int:
-    return m - (pct * m + 99) // 100 + 1
+    return m - (pct * m + 99) // 100 + 1 + _extra(m, pct)
+
+
+def _needed(na: str, nb: str, pct: int) -> str:
+    """Prefix tokens that a linked pair of these set sizes must share."""
+    return f"1 + least(least({na}, {nb}) div 16, ({pct}L * least({na}, {nb}) + 99) div 100 - 1)"
 
 
-def _order(s: np.ndarray, common: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The set in global order k (common tokens last), and which are common."""
+def _prefix(s: np.ndarray, common: np.ndarray, k: int, pct: int) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix of a set under global order k (common tokens last), and which of it are common."""
+    p = _prefix_size(len(s), pct)
+    key = mix64(s + np.uint64(2 * k + 1)) >> np.uint64(1)
     is_common = np.zeros(len(s), dtype=bool)
     if len(common):
-        at = np.searchsorted(common, s)
-        is_common = common[np.minimum(at, len(common) - 1)] == s
-    by = np.lexsort((mix64(s + np.uint64(2 * k + 1)), is_common))
+        is_common = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
+        key |= is_common.astype(np.uint64) << np.uint64(63)
+    by = np.argpartition(key, p - 1)[:p] if p < len(s) else np.arange(len(s))
     return s[by], is_common[by]
 
 
@@ -149,9 +163,9 @@ def _postings(n: int, pct: int, common):
             seen.add(c)
             if len(seen) > 200_000:
                 seen.clear()
-            tok, com = _order(s, common.value, 0)
-            p = _prefix_size(m, pct)
-            acc.append((tok[:p].view(np.int64), np.full(p, c, np.int64), np.full(p, m, np.int32), com[:p]))
+            tok, com = _prefix(s, common.value, 0, pct)
+            p = len(tok)
+            acc.append((tok.view(np.int64), np.full(p, c, np.int64), np.full(p, m, np.int32), com))
             held += p
             if held >= 200_000:
                 yield flush()
@@ -170,8 +184,7 @@ def _whole(n: int, pct: int, common):
         def column(j):
             parts = [a[j] for a in acc]
             offs = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-            flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-            return pa.ListArray.from_arrays(pa.array(offs), pa.array(flat.view(np.int64)))
+            return pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(parts)))
 
         def flush():
             nonlocal acc, held
@@ -185,10 +198,10 @@ def _whole(n: int, pct: int, common):
             if c in seen:
                 continue
             seen.add(c)
-            p = _prefix_size(len(s), pct)
-            acc.append((c, s, *[_order(s, common.value, k)[0][:p] for k in range(1, EXTRA_ORDERS + 1)]))
+            # a further prefix is kept as 32-bit hashes: a collision only lets a pair through to the exact test
+            acc.append((c, s.view(np.int64), *[_prefix(s, common.value, k, pct)[0].astype(np.uint32).view(np.int32) for k in range(1, EXTRA_ORDERS + 1)]))
             held += len(s)
-            if held >= 200_000:
+            if held >= 100_000:
                 yield flush()
         if acc:
             yield flush()
@@ -201,23 +214,51 @@ def _fits(pct: int) -> str:
     return f"100L * least(na, nb) >= {pct}L * greatest(na, nb)"
 
 
-def _pairs(df: DataFrame) -> DataFrame:
-    """Distinct unordered pairs from columns (a, na, b, nb)."""
-    return df.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _pairs(met: DataFrame, pct: int) -> DataFrame:
+    """Distinct unordered pairs from rows (a, na, b, nb), one for each shared prefix token, that
+    share enough of them and are of sizes that can link."""
+    p = met.where("a <> b").where(_fits(pct))
+    p = p.selectExpr("least(a, b) AS x", "greatest(a, b) AS y", f"{_needed('na', 'nb', pct)} AS least_shared")
+    return p.groupBy("x", "y", "least_shared").agg(F.count(F.lit(1)).alias("k")).where("k >= least_shared").selectExpr("x AS a", "y AS b")
 
 
 def _verify(pairs: DataFrame, whole: DataFrame, pct: int) -> DataFrame:
-    """The pairs that pass every further order's prefix filter, then the exact test on whole sets."""
-    orders = [f"p{k}" for k in range(1, EXTRA_ORDERS + 1)]
-    side = lambda c, cols: whole.select(F.col("cid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
-    near = pairs.join(side("a", orders), "a").join(side("b", orders), "b")
-    for p in orders:
+    """The pairs that meet under every further order and pass the exact test on whole sets."""
+    cols = ["tokens", *[f"p{k}" for k in range(1, EXTRA_ORDERS + 1)]]
+    side = lambda c: whole.select(F.col("cid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
+    near = pairs.join(side("a"), "a").join(side("b"), "b")
+    for p in cols[1:]:
         near = near.where(F.arrays_overlap(f"{p}_a", f"{p}_b"))
-    near = near.select("a", "b").join(side("a", ["tokens"]), "a").join(side("b", ["tokens"]), "b")
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
     return near.where(100 * both >= pct * (F.size("tokens_a") + F.size("tokens_b") - both)).select("a", "b")
 
 
+class _Sets:
+    """Whole sets of the classes asked for so far, each read from its texts once."""
+
+    def __init__(self, docs: DataFrame, members: DataFrame, n: int, pct: int, common):
+        self.n, self.pct, self.common, self.have = n, pct, common, None
+        self.key = F.coalesce("doc_id", F.lit(-(2**63)))
+        self.docs = docs.withColumn("doc_key", self.key)
+        self.first = members.groupBy("cid").agg(F.min(self.key).alias("doc_key"))
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        want = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
+        if self.have is not None:
+            want = want.join(self.have.select("cid"), "cid", "left_anti")
+        keys = written(want.join(self.first, "cid").select("doc_key").distinct(), "wanted")
+        some = self.docs.join(maybe_broadcast(keys, 16), "doc_key", "left_semi").select("doc_id", "text")
+        schema = "cid long, tokens array<long>, " + ", ".join(f"p{k} array<int>" for k in range(1, EXTRA_ORDERS + 1))
+        new = written(some.mapInArrow(_whole(self.n, self.pct, self.common), schema), "whole")
+        if self.have is not None:
+            new = new.join(self.have.select("cid"), "cid", "left_anti")
+        # a class has one first document, so only repeated ids can bring a class twice
+        if new.groupBy("cid").count().where("count > 1").limit(1).count():
+            new = written(new.dropDuplicates(["cid"]), "whole")
+        self.have = new if self.have is None else self.have.union(new)
+        return self.have
+
+
 def classes_and_links(docs: DataFrame, n: int = 5, pct: int = 80) -> tuple[DataFrame, DataFrame]:
     """(members, links): ``members`` has (doc_id, size, cid) for every row, ``links`` (a, b) verified
     class pairs that connect exactly the components of the full similarity join."""
@@ -231,50 +272,36 @@ def classes_and_links(docs: DataFrame, n: int = 5, pct: int = 80) -> tuple[DataF
     top = df.orderBy(F.desc("df"), "token").limit(COMMON_MAX).select("token").toPandas()["token"].to_numpy(np.int64)
     common = spark.sparkContext.broadcast(np.sort(top.view(np.uint64)))
 
-    post = d.mapInArrow(_postings(n, pct, common), "token long, cid long, size int, is_common boolean")
-    post = written(post, "post")
+    post = written(d.mapInArrow(_postings(n, pct, common), "token long, cid long, size int, is_common boolean"), "post")
     # rare tokens: one shuffle, the token's classes meet in one small window; a
     # token is kept when two classes have it, with its smallest class as pivot
-    rare = post.where("NOT is_common")
-    ext = lambda f, c: f"{f}({c}) OVER (PARTITION BY token)"
-    rare = rare.select("token", "cid", "size", F.expr(ext("min", "cid")).alias("lo"), F.expr(ext("max", "cid")).alias("hi")).where("lo <> hi")
+    ends = "struct(min(struct(cid, size)) {0} AS lo, max(cid) {0} AS hi)"
+    rare = post.where("NOT is_common").selectExpr("token", "cid", "size", ends.format("OVER (PARTITION BY token)") + " AS e")
     # common tokens: map-side combined, then a join that may be split
     often = post.where("is_common")
-    ends = often.groupBy("token").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo <> hi")
-    often = often.join(ends, "token").select("token", "cid", "size", "lo", "hi")
-    met = written(rare.union(often).select("token", "cid", "size", "lo"), "met")
-    sizes = members.select("cid", "size").distinct()
-
-    one = _pairs(met.select(F.col("cid").alias("a"), F.col("lo").alias("b")))
-    two_sizes = lambda p: p.join(sizes.select(F.col("cid").alias("a"), F.col("size").alias("na")), "a").join(sizes.select(F.col("cid").alias("b"), F.col("size").alias("nb")), "b").where(_fits(pct)).select("a", "b")
-
-    # whole sets of every class that shares a prefix token with another
-    cand = met.select("cid").distinct()
-    first = members.groupBy("cid").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("doc_key"))
-    wanted = written(cand.join(first, "cid"), "wanted")
-    keys = wanted.select("doc_key").distinct()
-    some = d.withColumn("doc_key", F.coalesce("doc_id", F.lit(-(2**63)))).join(maybe_broadcast(keys, 16), "doc_key", "left_semi")
-    whole = some.select("doc_id", "text").mapInArrow(_whole(n, pct, common), "cid long, tokens array<long>, " + ", ".join(f"p{k} array<long>" for k in range(1, EXTRA_ORDERS + 1)))
-    # a repeated id can bring in rows of other classes, and copies one class more than once
-    whole = whole.join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
-    whole = written(whole, "whole")
-
-    links = written(_verify(two_sizes(one), whole, pct), "links")
-    done = one
-    for last in (False, True):
-        comp = components(links)
-        lab = met.join(comp.withColumnRenamed("node", "cid"), "cid", "left").select("token", "cid", "size", F.coalesce("root", "cid").alias("comp"))
-        open_ = lab.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct(F.xxhash64("cid", "token").alias("h"), F.col("cid"), F.col("size"), F.col("comp"))).alias("pv")).where("c0 <> c1")
-        if last:
-            lab = lab.join(open_.select("token"), "token", "left_semi")
-            x, y = lab.select("token", F.col("cid").alias("a"), F.col("size").alias("na"), F.col("comp").alias("ca")), lab.select("token", F.col("cid").alias("b"), F.col("size").alias("nb"), F.col("comp").alias("cb"))
-            more = x.join(y, "token").where("a < b AND ca <> cb").where(_fits(pct))
+    often = often.join(often.groupBy("token").agg(F.expr(ends.format("")).alias("e")), "token").select("token", "cid", "size", "e")
+    met = rare.union(often).where("e.lo.cid <> e.hi")
+    met = written(met.selectExpr("token", "cid", "size", "e.lo.cid AS pivot", "e.lo.size AS pivot_size"), "met")
+
+    sets, links = _Sets(d, members, n, pct, common), None
+    for turn in range(3):
+        if turn == 0:
+            more = met.selectExpr("cid AS a", "size AS na", "pivot AS b", "pivot_size AS nb")
         else:
-            more = lab.join(open_.select("token", F.col("pv.cid").alias("b"), F.col("pv.size").alias("nb"), F.col("pv.comp").alias("cb")), "token").where("comp <> cb")
-            more = more.select(F.col("cid").alias("a"), F.col("size").alias("na"), "b", "nb").where(_fits(pct))
-        more = written(_pairs(more).join(done, ["a", "b"], "left_anti"), "more")
-        links = written(links.union(_verify(more, whole, pct)), "links")
-        done = done.union(more)
+            comp = components(links).withColumnRenamed("node", "cid")
+            lab = met.select("token", "cid", "size").distinct().join(maybe_broadcast(comp, 24), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
+            pick = F.min(F.struct(F.xxhash64("cid", "token").alias("h"), "cid", "size", "comp")).alias("pv")
+            open_ = lab.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), pick).where("c0 <> c1")
+            if turn == 1:
+                more = lab.join(open_.selectExpr("token", "pv.cid AS b", "pv.size AS nb", "pv.comp AS cb"), "token")
+                more = more.where("comp <> cb").selectExpr("cid AS a", "size AS na", "b", "nb")
+            else:
+                lab = lab.join(open_.select("token"), "token", "left_semi")
+                other = lab.selectExpr("token", "cid AS b", "size AS nb", "comp AS cb")
+                more = lab.join(other, "token").where("cid < b AND comp <> cb").selectExpr("cid AS a", "size AS na", "b", "nb")
+        more = written(_pairs(more, pct), "pairs")
+        found = _verify(more, sets.of(more), pct)
+        links = written(found if links is None else links.union(found), "links")
     return members, links
 
 
