@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cinerank.llm import op2_quality as op2
 from cinerank.llm import op3_mixing as op3
+from cinerank.llm import op4_ann as op4
 from cinerank.llm import op5_toxicity as op5
 from cinerank.llm import op6_decontam as op6
 from cinerank.llm import op7_line_dedup as op7
@@ -25,6 +26,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 20 == 0)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return op6.contaminated(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")
@@ -56,6 +61,7 @@ def digest9(out: DataFrame) -> DataFrame:
 QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_mix_sources": op3_mix_sources,
+    "op4_ann_search": op4_ann_search,
     "op5_toxicity": op5_toxicity,
     "op6_decontaminate": op6_decontaminate,
     "op7_line_dedup": op7_line_dedup,
