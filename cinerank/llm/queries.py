@@ -13,6 +13,7 @@ from cinerank.llm import op6_decontam as op6
 from cinerank.llm import op7_line_dedup as op7
 from cinerank.llm import op8_ngram_join as op8
 from cinerank.llm import op9_sharding as op9
+from cinerank.llm import op10_html as op10
 from cinerank.llm.common import table
 
 
@@ -54,6 +55,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest9(out)
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op10.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def digest9(out: DataFrame) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
@@ -67,6 +73,7 @@ QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_sharding": op9_sharding,
+    "op10_html_extract": op10_html_extract,
 }
 
 ORACLE_SQL: dict[str, str] = {
