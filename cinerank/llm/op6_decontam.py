@@ -137,7 +137,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 8, min_literal:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates."""
-    bad = contaminated(docs, benchmark, **params).select(F.col("doc_id").alias("id_"), F.col("text_hash").alias("th_")).distinct()
+    bad = contaminated(docs, benchmark, **params).select(F.col("doc_id").alias("_llm_id"), F.col("text_hash").alias("_llm_text")).distinct()
     bad = written(bad, "contaminated")
     th = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.join(maybe_broadcast(bad, 40), F.col("doc_id").eqNullSafe(F.col("id_")) & (th == F.col("th_")), "left_anti")
+    return docs.join(maybe_broadcast(bad, 40), F.col("doc_id").eqNullSafe(F.col("_llm_id")) & (th == F.col("_llm_text")), "left_anti")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinerank.llm import op1_substring as op1
 from cinerank.llm import op2_quality as op2
 from cinerank.llm import op3_mixing as op3
 from cinerank.llm import op4_ann as op4
@@ -17,6 +18,10 @@ from cinerank.llm import op10_html as op10
 from cinerank.llm.common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1.repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return op2.score(docs, op2.train(docs, table(spark, sf_dir, "labels")))
@@ -65,6 +70,7 @@ def digest9(out: DataFrame) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_mix_sources": op3_mix_sources,
     "op4_ann_search": op4_ann_search,
