@@ -16,13 +16,30 @@ def _empty() -> Column:
     return F.array().cast("array<string>")
 
 
+# A quoted string of either kind, and a mark that occurs in no text.
+_STRING = r"""('(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+")"""
+_MARK = "\ue000"
+# Python-literal forms outside strings and their JSON spelling.
+_LITERALS = ((r"\bNone\b", "null"), (r"\bTrue\b", "true"), (r"\bFalse\b", "false"), (r"\(", "["), (r"\)", "]"), (r",(?=\s*[\]}])", ""))
+
+
+def _outside_strings(text: Column, pattern: str, to: str) -> Column:
+    """Replace ``pattern`` by ``to`` outside quoted strings.
+
+    Every string and every match gets a mark behind it (a match is dropped, a
+    string kept); a mark behind a quote is then removed, the others become ``to``.
+    """
+    marked = F.regexp_replace(text, f"{_STRING}|{pattern}", "$1" + _MARK)
+    return F.replace(F.regexp_replace(marked, f"([\"']){_MARK}", "$1"), F.lit(_MARK), F.lit(to))
+
+
 def object_list(text: Column) -> Column:
     """``array<string>`` of the raw JSON text of each object element; never null."""
-    fixed = F.regexp_replace(text, r":\s*None\b", ": null")
-    fixed = F.regexp_replace(fixed, r":\s*True\b", ": true")
-    fixed = F.regexp_replace(fixed, r":\s*False\b", ": false")
-    parsed = F.from_json(fixed, "array<string>", {"allowSingleQuotes": "true"})
-    objs = F.filter(parsed, lambda x: x.startswith("{"))
+    fixed = F.replace(text, F.lit(_MARK), F.lit(""))
+    for pattern, to in _LITERALS:
+        fixed = _outside_strings(fixed, pattern, to)
+    parsed = F.from_json(fixed, "array<string>", {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})
+    objs = F.filter(parsed, lambda x: x.isNotNull() & x.startswith("{"))
     return F.coalesce(objs, _empty())
 
 

@@ -53,13 +53,6 @@ def popular_unseen(ratings: DataFrame, top_r: int = TOP_R) -> DataFrame:
     )
 
 
-def mask_seen(cands: DataFrame, seen: DataFrame, top_r: int = TOP_R) -> DataFrame:
-    """JN12 + TOP2: drop seen items from ranked (userId, movieId, rank) lists, re-rank, keep top_r."""
-    kept = cands.join(seen, ["userId", "movieId"], "left_anti")
-    w = Window.partitionBy("userId").orderBy("rank", "movieId")
-    return kept.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_r)
-
-
 def merge_lists(mf: DataFrame, ct: DataFrame, how: str = "union", w_mf: float = 0.5, w_ct: float = 0.5, top_r: int = TOP_R) -> DataFrame:
     """SET1-3 in row form.  ``mf`` and ``ct`` are (userId, movieId, rank) with rank 1..len.
 
@@ -73,7 +66,7 @@ def merge_lists(mf: DataFrame, ct: DataFrame, how: str = "union", w_mf: float =
     are bounded.  Output: (userId, movieId, pos) with pos 1..<= top_r.
     """
     if how not in MERGES:
-        raise ValueError(f"merge strategy not recognised: {how!r}")
+        raise ValueError(f"how must be one of {MERGES}, got {how!r}")
     # a user without an MF list gets no candidates at all (SET9)
     ct = ct.join(mf.select("userId").distinct(), "userId", "left_semi")
     a = mf.select("userId", "movieId", F.col("rank").alias("r"), F.lit(0).alias("src"))

@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from cinerank.sources.schemas import CREDITS, ITEMS, LINKS, RATINGS
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -20,10 +23,6 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def write_candidates(cands: DataFrame, path: str) -> None:
     """SNK10: one row per user with the ranked ``array<long>`` candidate list."""
     lists = cands.groupBy("userId").agg(
@@ -39,36 +38,35 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Quoted fields may hold commas, quotes and newlines (nested lists as text)."""
-    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    if schema is not None:
-        r = r.schema(schema).option("enforceSchema", False)
-    return r.csv(path)
+def _csv(spark: SparkSession, path: str, schema: StructType, optional: tuple[str, ...] = (), nested: bool = False) -> DataFrame:
+    """Columns of ``schema`` picked by header name and cast; the file may hold others, in any order.
 
+    ``optional`` columns that the header lacks are null.  ``nested`` files have quoted fields with
+    line ends (lists as text), which only a whole-file read can parse; others stay splittable.
+    """
+    r = spark.read.option("header", True).option("escape", '"').option("multiLine", nested)
+    df = r.csv(path)
+    missing = [f.name for f in schema if f.name not in df.columns and f.name not in optional]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {missing}")
+    return df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
 
-def read_items_csv(spark: SparkSession, path: str) -> DataFrame:
-    """SRC1: item metadata with an explicit schema (columns matched by header name)."""
-    from cinerank.sources.schemas import ITEMS
 
-    return _csv(spark, path, ITEMS)
+def read_items_csv(spark: SparkSession, path: str) -> DataFrame:
+    """SRC1: item metadata; one of the two title columns may be missing."""
+    return _csv(spark, path, ITEMS, optional=("title", "original_title"), nested=True)
 
 
 def read_credits_csv(spark: SparkSession, path: str) -> DataFrame:
     """SRC2: credits; the ``cast`` column is exposed as ``cast_list``."""
-    from cinerank.sources.schemas import CREDITS
-
-    return _csv(spark, path, CREDITS).withColumnRenamed("cast", "cast_list")
+    return _csv(spark, path, CREDITS, nested=True).withColumnRenamed("cast", "cast_list")
 
 
 def read_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
     """SRC3: userId, movieId, rating, timestamp (epoch seconds)."""
-    from cinerank.sources.schemas import RATINGS
-
-    return _csv(spark, path, RATINGS)
+    return _csv(spark, path, RATINGS, optional=("timestamp",))
 
 
 def read_links_csv(spark: SparkSession, path: str) -> DataFrame:
     """SRC4: only movieId and tmdbId are read (tmdbId may be empty)."""
-    df = _csv(spark, path)
-    return df.select(F.col("movieId").cast("long").alias("movieId"), F.col("tmdbId").cast("double").alias("tmdbId"))
+    return _csv(spark, path, LINKS)

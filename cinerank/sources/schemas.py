@@ -31,3 +31,8 @@ RATINGS = StructType([
     StructField("rating", DoubleType()),
     StructField("timestamp", LongType()),
 ])
+
+LINKS = StructType([
+    StructField("movieId", LongType()),
+    StructField("tmdbId", DoubleType()),
+])
