@@ -89,6 +89,8 @@ def df_cut(df: DataFrame, lemma_col: str = "lemmas", out: str = "clean_tags", cu
     / cut.  It travels as one scalar-subquery array, and the row-wise filter
     keeps order and repeats without regrouping the tokens.
     """
+    if not 0 < cut <= 1:
+        raise ValueError("cut must be within (0, 1]: it bounds the dropped set")
     n_rows = df.select(F.count(F.lit(1))).scalar()
     doc_freq = (
         df.select(F.explode(F.array_distinct(F.col(lemma_col))).alias("tok"))
@@ -108,11 +110,11 @@ def df_cut(df: DataFrame, lemma_col: str = "lemmas", out: str = "clean_tags", cu
 def runtime_z(df: DataFrame, out: str = "runtime_z") -> DataFrame:
     """SCL10-11 + AGG3: population z-score of runtime; 0 and null are missing and stay null."""
     rt = F.nullif(F.coalesce(F.col("runtime"), F.lit(0.0)), F.lit(0.0))
-    stats = df.select(rt.alias("rt"))
-    mu = stats.select(F.avg("rt")).scalar()
-    sd = stats.select(F.stddev_pop("rt")).scalar()
+    # one aggregate row, so that the mean and the deviation cost one pass
+    stat = df.select(rt.alias("rt")).select(F.struct(F.avg("rt").alias("mu"), F.stddev_pop("rt").alias("sd"))).scalar()
+    sd = stat["sd"]
     scale = F.when((sd.isNull()) | (sd == 0), F.lit(1.0)).otherwise(sd)
-    return df.withColumn(out, (rt - mu) / scale)
+    return df.withColumn(out, (rt - stat["mu"]) / scale)
 
 
 def language_order(df: DataFrame) -> DataFrame:
@@ -157,6 +159,16 @@ def first_per_key(df: DataFrame, key: str, order_col: str, keep: list[str]) -> D
     return agg.select(key, *[F.col(f"_first.{c}").alias(c) for c in [order_col, *keep]], "n_copies")
 
 
+def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
+    """DST2 at the source: of rows with the same ``key`` the smallest (by the other columns) stays.
+
+    Same columns and order as ``df``; a map-side-combined ``min(struct)``.
+    """
+    rest = [c for c in df.columns if c != key]
+    agg = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+    return agg.select(key, "_row.*").select(*df.columns)
+
+
 def items_processed(items: DataFrame, credits: DataFrame, cast_n: int = CAST_N, cut: float = DF_CUT):
     """The prepare job's item table (PRJ3) and language order.
 

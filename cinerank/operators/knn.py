@@ -41,46 +41,59 @@ RANK_DECIMALS = 9
 _OUT = "qid long, iid long, score double"
 
 
+#: Queries scored at once inside a task: a chunk × item block matrix is the memory peak.
+Q_CHUNK = 256
+
+
+def _exact(metric: str, q: np.ndarray, items: np.ndarray) -> np.ndarray:
+    """Scores of one query row by row: equal item vectors score equally wherever they stand."""
+    if metric == "l2":
+        d = items - q[None, :]
+        return np.sqrt((d * d).sum(axis=1))
+    return (items * q[None, :]).sum(axis=1)
+
+
 def _block_topk(k: int, metric: str):
+    """Top ``k`` of one query block × item block: candidates by matrix product with a margin above its
+    rounding error, then exact scores of the candidates and the final order."""
+    sign = -1.0 if metric == "l2" else 1.0
+
     def fn(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         q = left[left["kind"] == 0]
         if len(q) == 0 or len(right) == 0:
             return pd.DataFrame({"qid": [], "iid": [], "score": []})
-        Q = np.stack(q["features"].to_numpy()).astype(np.float64)
         items = right.sort_values("iid", kind="stable")
         I = np.stack(items["features"].to_numpy()).astype(np.float64)
         iid = items["iid"].to_numpy(np.int64)
         qid = q["qid"].to_numpy(np.int64)
-        if metric == "l2":
-            d2 = (Q * Q).sum(1)[:, None] + (I * I).sum(1)[None, :] - 2.0 * (Q @ I.T)
-            dist = np.sqrt(np.maximum(d2, 0.0))
-            rank_key = -np.round(dist, RANK_DECIMALS)
-            value = dist
-        else:
-            value = Q @ I.T
-            rank_key = np.round(value, RANK_DECIMALS)
+        vecs = q["features"].to_numpy()
+        i2 = (I * I).sum(1)
         m = left[left["kind"] == 1]
-        if len(m):
-            qpos = pd.Index(qid).get_indexer(m["qid"].to_numpy(np.int64))
-            ipos = pd.Index(iid).get_indexer(m["iid"].to_numpy(np.int64))
-            ok = (qpos >= 0) & (ipos >= 0)
-            rank_key[qpos[ok], ipos[ok]] = -np.inf
-        kk = min(k, I.shape[0])
+        qpos = pd.Index(qid).get_indexer_for(m["qid"].to_numpy(np.int64)) if len(m) else np.zeros(0, int)
+        ipos = pd.Index(iid).get_indexer_for(m["iid"].to_numpy(np.int64)) if len(m) else np.zeros(0, int)
+        ok = (qpos >= 0) & (ipos >= 0)
+        qpos, ipos = qpos[ok], ipos[ok]
+        kk = min(k, len(iid))
         out_q, out_i, out_s = [], [], []
-        for r in range(Q.shape[0]):
-            row = rank_key[r]
-            if kk < row.size:
-                cut = np.partition(row, row.size - kk)[row.size - kk]
-                cand = np.nonzero(row >= cut)[0]
-            else:
-                cand = np.arange(row.size)
-            cand = cand[np.isfinite(row[cand])]
-            # order: score descending, then item id ascending (iid is sorted)
-            order = np.lexsort((cand, -row[cand]))[:kk]
-            sel = cand[order]
-            out_q.append(np.full(sel.size, qid[r], np.int64))
-            out_i.append(iid[sel])
-            out_s.append(value[r, sel])
+        for at in range(0, len(qid), Q_CHUNK):
+            Q = np.stack(vecs[at : at + Q_CHUNK]).astype(np.float64)
+            q2 = (Q * Q).sum(1)
+            rough = Q @ I.T
+            if metric == "l2":
+                rough = 2.0 * rough - q2[:, None] - i2[None, :]
+            here = (qpos >= at) & (qpos < at + len(Q))
+            rough[qpos[here] - at, ipos[here]] = -np.inf
+            slack = 1e-9 * (1.0 + q2 + float(i2.max()))
+            for r in range(len(Q)):
+                row = rough[r]
+                cut = np.partition(row, len(row) - kk)[len(row) - kk] - slack[r]
+                cand = np.flatnonzero((row >= cut) & np.isfinite(row))
+                score = _exact(metric, Q[r], I[cand])
+                # score order, then item id (iid is sorted)
+                order = np.lexsort((cand, -sign * np.round(score, RANK_DECIMALS)))[:kk]
+                out_q.append(np.full(len(order), qid[at + r], np.int64))
+                out_i.append(iid[cand[order]])
+                out_s.append(score[order])
         return pd.DataFrame({"qid": np.concatenate(out_q), "iid": np.concatenate(out_i), "score": np.concatenate(out_s)})
 
     return fn
@@ -92,7 +105,7 @@ def knn(
     k: int,
     metric: str = "cosine",
     exclude: DataFrame | None = None,
-    q_block: int = 2048,
+    q_block: int = 32_768,
     i_block: int = 8192,
 ) -> DataFrame:
     """Top-``k`` items per query.
@@ -103,19 +116,26 @@ def knn(
     returns (qid, iid, rank, score): rank 1..k by score descending (cosine/ip)
              or distance ascending (l2), ties by iid.
 
-    A task holds one q_block × i_block score matrix and its ranking copy
-    (2 × 2048 × 8192 doubles ≈ 256 MB by default).
+    Items are copied once per query block and queries once per item block, so
+    blocks are as large as a task's memory allows: it holds the two blocks'
+    vectors and one ``Q_CHUNK`` × ``i_block`` score matrix (16 MB by default).
+    With few rows the blocks shrink until every core has a block pair.  An item
+    id that occurs more than once counts once, with its smallest vector.
     """
     metric = metric.lower()
     if metric not in METRICS:
-        raise ValueError("metric must be one of {'cosine','ip','l2'}")
+        raise ValueError(f"unknown metric {metric!r}: use one of {', '.join(METRICS)}")
     if metric in ("cosine", "ip"):
         queries = queries.withColumn("features", l2_normalize(F.col("features")))
         items = items.withColumn("features", l2_normalize(F.col("features")))
     n_q = queries.count()
-    n_i = items.count()
-    nqb = max(1, math.ceil(n_q / q_block))
+    n_i, distinct = items.agg(F.count("iid"), F.count_distinct("iid")).first()
+    if distinct < n_i:
+        items = items.groupBy("iid").agg(F.min("features").alias("features"))
+        n_i = distinct
+    cores = queries.sparkSession.sparkContext.defaultParallelism
     nib = max(1, math.ceil(n_i / i_block))
+    nqb = max(1, math.ceil(n_q / q_block), min(math.ceil(2 * cores / nib), math.ceil(n_q / Q_CHUNK)))
 
     def blk(c, n):
         return F.pmod(F.xxhash64(c), F.lit(n)).cast("long")

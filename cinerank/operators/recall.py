@@ -15,6 +15,8 @@ from cinerank.operators.interactions import popularity
 TOP_R = 300
 CONTENT_TOP = 300
 MERGES = ("union", "interleave", "weighted")
+#: Copies of the popularity ranking in the rank join.
+SALTS = 16
 
 
 def seen_pairs(ratings: DataFrame) -> DataFrame:
@@ -44,7 +46,11 @@ def popular_unseen(ratings: DataFrame, top_r: int = TOP_R) -> DataFrame:
     slots = per_user.select(
         "userId", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(top_r) + F.col("m"), n_items))).alias("prank")
     )
-    cand = slots.join(ranking, "prank").join(seen, ["userId", "movieId"], "left_anti")
+    # every user asks for the first ranks: copy the ranking SALTS times so that a rank is not one hot key
+    salts = F.array(*[F.lit(i) for i in range(SALTS)])
+    slots = slots.withColumn("salt", F.pmod(F.xxhash64("userId"), F.lit(SALTS)).cast("int"))
+    cand = slots.join(ranking.withColumn("salt", F.explode(salts)), ["prank", "salt"]).drop("salt")
+    cand = cand.join(seen, ["userId", "movieId"], "left_anti")
     w = Window.partitionBy("userId").orderBy("prank")
     return (
         cand.withColumn("rank", F.row_number().over(w))
@@ -53,6 +59,18 @@ def popular_unseen(ratings: DataFrame, top_r: int = TOP_R) -> DataFrame:
     )
 
 
+def seed_lists(seeds: DataFrame, neighbours: DataFrame) -> DataFrame:
+    """JN18: (userId, seed) x (qid, iid, rank, score) -> (userId, movieId, rank, score).
+
+    Most users share a few popular seeds, so the neighbour lists (at most k rows
+    for each distinct seed) are copied SALTS times and the users spread over them.
+    """
+    salts = F.array(*[F.lit(i) for i in range(SALTS)])
+    s = seeds.withColumn("salt", F.pmod(F.xxhash64("userId"), F.lit(SALTS)).cast("int"))
+    nb = neighbours.withColumn("salt", F.explode(salts)).withColumnRenamed("qid", "seed")
+    return s.join(nb, ["seed", "salt"]).select("userId", F.col("iid").alias("movieId"), "rank", "score")
+
+
 def merge_lists(mf: DataFrame, ct: DataFrame, how: str = "union", w_mf: float = 0.5, w_ct: float = 0.5, top_r: int = TOP_R) -> DataFrame:
     """SET1-3 in row form.  ``mf`` and ``ct`` are (userId, movieId, rank) with rank 1..len.
 
@@ -77,6 +95,7 @@ def merge_lists(mf: DataFrame, ct: DataFrame, how: str = "union", w_mf: float =
     elif how == "interleave":
         la = mf.groupBy("userId").agg(F.max("rank").alias("la"))
         lb = ct.groupBy("userId").agg(F.max("rank").alias("lb"))
+        # a user without a content list has zero pairs, hence an empty merged list
         m = la.join(lb, "userId").select("userId", F.least("la", "lb").alias("m"))
         both = a.unionByName(b).join(m, "userId").filter(F.col("r") <= F.col("m"))
         seq = 2 * (F.col("r") - 1) + F.col("src")

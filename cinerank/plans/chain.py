@@ -140,13 +140,14 @@ def hybrid(spark: SparkSession, sf: str) -> DataFrame:
 def seed_neighbours(spark: SparkSession, sf: str, which: str, top: int = 300) -> DataFrame:
     """VEC10 + VEC6 + JN18: neighbours of each user's first recalled item, computed once per distinct seed."""
     from cinerank.operators.knn import knn
+    from cinerank.operators.recall import seed_lists
 
     def build():
         seeds = candidates(spark, sf, which).filter(F.col("rank") == 1).select("userId", F.col("movieId").alias("seed"))
         vec = hybrid(spark, sf)
         q = vec.join(seeds.select(F.col("seed").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("qid"), "features")
         nb = knn(q, vec.select(F.col("id").alias("iid"), "features"), top, "cosine")
-        return seeds.join(nb, seeds["seed"] == nb["qid"]).select("userId", F.col("iid").alias("movieId"), "rank", "score")
+        return seed_lists(seeds, nb)
 
     return stage(f"seeds_{which}_{top}", spark, sf, build)
 
@@ -176,7 +177,8 @@ def als_candidates(spark: SparkSession, sf: str, which: str, **kw) -> DataFrame:
 
         return als_ops.recall(uf, itf, items_joined(spark, sf).select("id"), r.select("userId"), seen_pairs(r))
 
-    return stage(f"als_cands_{which}", spark, sf, build)
+    tag = "_".join(f"{k}={v}" for k, v in sorted(kw.items()))
+    return stage(f"als_cands_{which}_{tag}", spark, sf, build)
 
 
 def ranker(spark: SparkSession, sf: str, trees: int = 10, source: str = "pop"):

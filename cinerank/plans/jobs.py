@@ -25,6 +25,8 @@ def _p(out: str, name: str) -> str:
 def prepare(spark: SparkSession, items: DataFrame, credits: DataFrame, ratings: DataFrame, links: DataFrame, out: str,
             cast_n: int = 5, df_cut: float = 0.50, valid_frac: float = 0.20, seed: int = 42) -> None:
     """Job 0: processed items, language order, mapped ratings, qualified train/valid split."""
+    # a repeated item or credit id counts once: its smallest row (DST2)
+    items, credits = catalog.one_row_per_key(items, "id"), catalog.one_row_per_key(credits, "movie_id")
     items_p, lang = catalog.items_processed(items, credits, cast_n, df_cut)
     io.write_table(items_p, _p(out, "items_processed"))
     io.write_table(lang, _p(out, "lang_order"))
@@ -64,23 +66,37 @@ def vectorize(spark: SparkSession, out: str, min_df: int = 3, max_features: int
     io.write_table(vocab, _p(out, "tfidf_vocab"))
     weights = weights.checkpoint(eager=True)
     n_terms = vocab.count()
-    if svd_dim > 0 and n_terms > 1:
-        tags, sing = text.svd(weights, n_terms, svd_dim, key="id")
+    if n_terms == 0:
+        raise ValueError(f"no term is in {min_df} documents or more")
+    if svd_dim > 0:
+        # k is cut to the rank inside; V and the corpus size let the artefacts vectorise new items (ML5)
+        tags, sing, comps = text.svd(weights, n_terms, svd_dim, key="id", return_components=True)
         io.write_table(spark.createDataFrame([(i, float(s)) for i, s in enumerate(sing)], "k int, singular_value double"),
                        _p(out, "svd_singular_values"))
+        io.write_table(comps, _p(out, "svd_components"))
     else:
         # svd_dim 0 keeps the TF-IDF block itself (at most max_features wide)
         tags = weights.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("term_idx", "weight"))).alias("m")).select(
-            "id", F.transform(F.sequence(F.lit(0), F.lit(max(n_terms, 1) - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0.0))).alias("features"))
+            "id", F.transform(F.sequence(F.lit(0), F.lit(n_terms - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0.0))).alias("features"))
+    io.write_table(spark.createDataFrame([(items.count(), n_terms, svd_dim)], "n_docs long, n_terms long, svd_dim int"), _p(out, "vectorizer"))
     n_lang = spark.read.parquet(_p(out, "lang_order")).count()
     hv = vectors.hybrid_vectors(items.select("id", "lang_idx", "runtime_z", "year"), tags, n_lang, add_year, l2)
     io.write_table(hv, _p(out, "item_vectors"))
 
 
+def vectorize_new(spark: SparkSession, out: str, docs: DataFrame, key: str = "id", text_col: str = "clean_tags") -> DataFrame:
+    """ML5: tag vectors of new documents from the saved vocabulary, corpus size and components alone."""
+    fit = spark.read.parquet(_p(out, "vectorizer")).first()
+    w = text.tfidf_transform(docs, spark.read.parquet(_p(out, "tfidf_vocab")), fit["n_docs"], key=key, text=text_col)
+    if not fit["svd_dim"]:
+        return w
+    return text.svd_transform(w, spark.read.parquet(_p(out, "svd_components")), key=key)
+
+
 def index(spark: SparkSession, out: str, metric: str = "cosine") -> None:
     """Job 3: the content 'index' is the vector table, L2-normalised for cosine/ip."""
     if metric not in knn.METRICS:
-        raise ValueError("metric must be one of {'cosine','ip','l2'}")
+        raise ValueError(f"unknown metric {metric!r}: use one of {', '.join(knn.METRICS)}")
     hv = spark.read.parquet(_p(out, "item_vectors"))
     if metric in ("cosine", "ip"):
         from cinerank.functions.vectors import l2_normalize
@@ -94,7 +110,7 @@ def recall_job(spark: SparkSession, out: str, which: str, output: str, top_r: in
                user: int | None = None) -> None:
     """Job 4: MF recall with seen masking, optionally blended with the seed item's content neighbours."""
     if merge not in recall.MERGES:
-        raise ValueError(f"merge strategy not recognised: {merge!r}")
+        raise ValueError(f"merge must be one of {recall.MERGES}, got {merge!r}")
     seen_r = split_ratings(spark, out, which)
     targets = seen_r.select("userId").distinct()
     if user is not None:
@@ -110,9 +126,9 @@ def recall_job(spark: SparkSession, out: str, which: str, output: str, top_r: in
         seeds = mf.filter(F.col("rank") == 1).select("userId", F.col("movieId").alias("seed"))
         q = idx.join(seeds.select(F.col("seed").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("qid"), "features")
         nb = knn.knn(q, idx.select(F.col("id").alias("iid"), "features"), content_top, metric)
-        ct = seeds.join(nb, seeds["seed"] == nb["qid"]).select("userId", F.col("iid").alias("movieId"), "rank")
+        ct = recall.seed_lists(seeds, nb).select("userId", "movieId", "rank")
         cands = recall.merge_lists(cands, ct, merge, weight_mf, weight_ct, top_r).withColumnRenamed("pos", "rank")
-    io.write_candidates(cands, output)
+    io.write_candidates(cands, output, users=mf.select("userId"))
 
 
 def build_features(spark: SparkSession, out: str, which: str, candidates: str, output: str | None, hard_neg: int = 20,
@@ -139,7 +155,7 @@ def train(spark: SparkSession, train_rows: str, valid_rows: str, model: str, tre
     tr = features.load_split(spark.read.parquet(train_rows))
     va = features.load_split(spark.read.parquet(valid_rows))
     if not features.group_sizes_consistent(tr):  # AGG14
-        raise AssertionError("group size mismatch")
+        raise ValueError("the train rows of some user changed between counting and reading")
     ens, _log = ranker.train(tr, va, trees=trees, lr=lr, k=ndcg_k)
     ens.save(model)
     return _report(metrics.map_ndcg(ens.predict(ranker.prepare(va)), k=ndcg_k), metrics_table, "train")

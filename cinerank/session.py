@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -20,6 +21,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CINERANK_DRIVER_MEMORY", "16g"))
         .getOrCreate()
@@ -48,3 +50,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="cinerank-ckpt-", dir="/tmp")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()
+
+
+def drop_unused_checkpoints(spark: SparkSession) -> None:
+    """Let Spark delete the files of checkpoints that nothing refers to any more.
+
+    Works with ``spark.cleaner.referenceTracking.cleanCheckpoints`` (set it on a
+    cluster too): the cleaner acts when the driver collects its garbage, which
+    an iterative job with small driver state would rarely do by itself.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

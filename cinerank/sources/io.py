@@ -23,11 +23,14 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
-def write_candidates(cands: DataFrame, path: str) -> None:
-    """SNK10: one row per user with the ranked ``array<long>`` candidate list."""
+def write_candidates(cands: DataFrame, path: str, users: DataFrame | None = None) -> None:
+    """SNK10: one row per user with the ranked ``array<long>`` candidate list; ``users`` (userId)
+    without a candidate get an empty list."""
     lists = cands.groupBy("userId").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "movieId"))), lambda s: s["movieId"]).alias("candidates")
     )
+    if users is not None:
+        lists = users.select("userId").distinct().join(lists, "userId", "left").withColumn("candidates", F.coalesce("candidates", F.array().cast("array<long>")))
     write_table(lists, path)
 
 
