@@ -2,9 +2,10 @@
 
 Two documents link when the Jaccard similarity of their word-shingle sets is at
 least a threshold ``t`` (an exact integer test).  Under *any* global token order, two
-such sets of ``m`` and ``m'`` tokens share at least ``1 + min(e, e')`` of their
-first ``m - ceil(t m) + 1 + e`` tokens, whatever ``e >= 0`` each of them adds, so
-a candidate must share that many prefix tokens under each of several orders.
+such sets share at least ``1 + min(e, e')`` tokens of the smaller set's first
+``m - ceil(2t/(1+t) m) + 1 + e`` (its inner prefix) and the larger set's first
+``m' - ceil(t m') + 1 + e'`` tokens (its prefix), whatever ``e >= 0`` each of
+them adds, so a candidate must share that many under each of several orders.
 
 1. One pass hashes every whole text to its distinct shingles and emits only the
    set size and a digest of the set.  Documents with equal sets are one *class*
@@ -77,28 +78,32 @@ def _class_of(s: np.ndarray) -> int:
 
 def _extra(m: int, pct: int) -> int:
     """Prefix tokens beyond the least; the same rule in SQL is in ``_needed``."""
-    return min(m // 16, (pct * m + 99) // 100 - 1)
+    return min(m // 32, (pct * m + 99) // 100 - 1)
 
 
-def _prefix_size(m: int, pct: int) -> int:
-    return m - (pct * m + 99) // 100 + 1 + _extra(m, pct)
+def _needed(m: str, pct: int) -> str:
+    """Prefix tokens that a linked pair must share when ``m`` is its smaller set size."""
+    return f"1 + least({m} div 32, ({pct}L * {m} + 99) div 100 - 1)"
 
 
-def _needed(na: str, nb: str, pct: int) -> str:
-    """Prefix tokens that a linked pair of these set sizes must share."""
-    return f"1 + least(least({na}, {nb}) div 16, ({pct}L * least({na}, {nb}) + 99) div 100 - 1)"
+def _prefix_sizes(m: int, pct: int) -> tuple[int, int]:
+    """(inner prefix, prefix): enough for a partner that is not smaller, and for any partner."""
+    e = 1 + _extra(m, pct)
+    return m - (2 * pct * m + 99 + pct) // (100 + pct) + e, m - (pct * m + 99) // 100 + e
 
 
-def _prefix(s: np.ndarray, common: np.ndarray, k: int, pct: int) -> tuple[np.ndarray, np.ndarray]:
-    """The prefix of a set under global order k (common tokens last), and which of it are common."""
-    p = _prefix_size(len(s), pct)
+def _prefix(s: np.ndarray, common: np.ndarray, k: int, pct: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The prefix of a set under global order k (common tokens last), which of it are common, and
+    how many of it, from the start, are the inner prefix."""
+    inner, p = _prefix_sizes(len(s), pct)
     key = mix64(s + np.uint64(2 * k + 1)) >> np.uint64(1)
     is_common = np.zeros(len(s), dtype=bool)
     if len(common):
         is_common = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
         key |= is_common.astype(np.uint64) << np.uint64(63)
     by = np.argpartition(key, p - 1)[:p] if p < len(s) else np.arange(len(s))
-    return s[by], is_common[by]
+    by = by[np.argsort(key[by])]
+    return s[by], is_common[by], inner
 
 
 def _scan(n: int):
@@ -141,7 +146,7 @@ def _scan(n: int):
 
 
 def _postings(n: int, pct: int, common):
-    """(token, class, size, is common) of the first order's prefixes, once per class and chunk."""
+    """(token, class, size, is common, is inner) of the first order's prefixes, once per class and chunk."""
 
     def run(batches):
         seen: set[int] = set()
@@ -149,9 +154,9 @@ def _postings(n: int, pct: int, common):
 
         def flush():
             nonlocal acc, held
-            cols = [np.concatenate([a[j] for a in acc]) if acc else np.zeros(0, d) for j, d in enumerate((np.int64, np.int64, np.int32, bool))]
+            cols = [np.concatenate([a[j] for a in acc]) if acc else np.zeros(0, d) for j, d in enumerate((np.int64, np.int64, np.int32, bool, bool))]
             acc, held = [], 0
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "cid", "size", "is_common"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "cid", "size", "is_common", "is_inner"])
 
         for _, s in _sets(batches, n):
             m = len(s)
@@ -163,9 +168,9 @@ def _postings(n: int, pct: int, common):
             seen.add(c)
             if len(seen) > 200_000:
                 seen.clear()
-            tok, com = _prefix(s, common.value, 0, pct)
+            tok, com, inner = _prefix(s, common.value, 0, pct)
             p = len(tok)
-            acc.append((tok.view(np.int64), np.full(p, c, np.int64), np.full(p, m, np.int32), com))
+            acc.append((tok.view(np.int64), np.full(p, c, np.int64), np.full(p, m, np.int32), com, np.arange(p) < inner))
             held += p
             if held >= 200_000:
                 yield flush()
@@ -209,23 +214,22 @@ def _whole(n: int, pct: int, common):
     return run
 
 
-def _fits(pct: int) -> str:
-    """Set sizes of a pair that could still reach the threshold."""
-    return f"100L * least(na, nb) >= {pct}L * greatest(na, nb)"
-
-
 def _pairs(met: DataFrame, pct: int) -> DataFrame:
-    """Distinct unordered pairs from rows (a, na, b, nb), one for each shared prefix token, that
-    share enough of them and are of sizes that can link."""
-    p = met.where("a <> b").where(_fits(pct))
-    p = p.selectExpr("least(a, b) AS x", "greatest(a, b) AS y", f"{_needed('na', 'nb', pct)} AS least_shared")
-    return p.groupBy("x", "y", "least_shared").agg(F.count(F.lit(1)).alias("k")).where("k >= least_shared").selectExpr("x AS a", "y AS b")
+    """Distinct pairs from rows (a, na, b, nb), one for each token that is in the inner prefix of ``a``,
+    the smaller by (size, class), and the prefix of ``b``: of sizes that can link, with enough such tokens."""
+    p = met.where(f"100L * na >= {pct}L * nb").groupBy("a", "b", "na").agg(F.count(F.lit(1)).alias("k"))
+    return p.where(f"k >= {_needed('na', pct)}").select("a", "b")
 
 
 def _verify(pairs: DataFrame, whole: DataFrame, pct: int) -> DataFrame:
     """The pairs that meet under every further order and pass the exact test on whole sets."""
     cols = ["tokens", *[f"p{k}" for k in range(1, EXTRA_ORDERS + 1)]]
-    side = lambda c: whole.select(F.col("cid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
+
+    def side(c: str) -> DataFrame:
+        ids = pairs.select(F.col(c).alias("cid")).distinct()
+        mine = whole.join(maybe_broadcast(ids, 16), "cid", "left_semi")
+        return mine.select(F.col("cid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
+
     near = pairs.join(side("a"), "a").join(side("b"), "b")
     for p in cols[1:]:
         near = near.where(F.arrays_overlap(f"{p}_a", f"{p}_b"))
@@ -272,33 +276,41 @@ def classes_and_links(docs: DataFrame, n: int = 5, pct: int = 80) -> tuple[DataF
     top = df.orderBy(F.desc("df"), "token").limit(COMMON_MAX).select("token").toPandas()["token"].to_numpy(np.int64)
     common = spark.sparkContext.broadcast(np.sort(top.view(np.uint64)))
 
-    post = written(d.mapInArrow(_postings(n, pct, common), "token long, cid long, size int, is_common boolean"), "post")
-    # rare tokens: one shuffle, the token's classes meet in one small window; a
-    # token is kept when two classes have it, with its smallest class as pivot
-    ends = "struct(min(struct(cid, size)) {0} AS lo, max(cid) {0} AS hi)"
-    rare = post.where("NOT is_common").selectExpr("token", "cid", "size", ends.format("OVER (PARTITION BY token)") + " AS e")
+    post = written(d.mapInArrow(_postings(n, pct, common), "token long, cid long, size int, is_common boolean, is_inner boolean"), "post")
+    # rare tokens: one shuffle, the token's classes meet in one small window; a token
+    # is kept when two classes have it, with the smallest class that has it in its
+    # inner prefix as pivot
+    ends = "struct(min(cid) {0} AS lo, max(cid) {0} AS hi, min(CASE WHEN is_inner THEN struct(size, cid) END) {0} AS pv)"
+    rare = post.where("NOT is_common").selectExpr("token", "cid", "size", "is_inner", ends.format("OVER (PARTITION BY token)") + " AS e")
     # common tokens: map-side combined, then a join that may be split
     often = post.where("is_common")
-    often = often.join(often.groupBy("token").agg(F.expr(ends.format("")).alias("e")), "token").select("token", "cid", "size", "e")
-    met = rare.union(often).where("e.lo.cid <> e.hi")
-    met = written(met.selectExpr("token", "cid", "size", "e.lo.cid AS pivot", "e.lo.size AS pivot_size"), "met")
+    often = often.join(often.groupBy("token").agg(F.expr(ends.format("")).alias("e")), "token").select("token", "cid", "size", "is_inner", "e")
+    met = rare.union(often).where("e.lo <> e.hi AND e.pv IS NOT NULL")
+    met = written(met.selectExpr("token", "cid", "size", "is_inner", "e.pv.cid AS pivot", "e.pv.size AS pivot_size").distinct(), "met")
 
     sets, links = _Sets(d, members, n, pct, common), None
+    after = "({0} < {1} OR ({0} = {1} AND {2} < {3}))"
     for turn in range(3):
         if turn == 0:
-            more = met.selectExpr("cid AS a", "size AS na", "pivot AS b", "pivot_size AS nb")
+            more = met.where(after.format("pivot_size", "size", "pivot", "cid")).selectExpr("pivot AS a", "pivot_size AS na", "cid AS b", "size AS nb")
         else:
             comp = components(links).withColumnRenamed("node", "cid")
-            lab = met.select("token", "cid", "size").distinct().join(maybe_broadcast(comp, 24), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
-            pick = F.min(F.struct(F.xxhash64("cid", "token").alias("h"), "cid", "size", "comp")).alias("pv")
-            open_ = lab.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), pick).where("c0 <> c1")
+            lab = met.drop("pivot", "pivot_size").join(maybe_broadcast(comp, 24), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
+            # tokens with two components or more, and each token's largest one
+            per = lab.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"), F.min(F.expr("CASE WHEN is_inner THEN struct(xxhash64(cid, token) AS h, cid, size) END")).alias("pv"))
+            open_ = per.groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("m", "comp")).alias("main"), F.min(F.expr("CASE WHEN pv IS NOT NULL THEN struct(pv.h AS h, pv.cid AS cid, pv.size AS size, comp) END")).alias("pv"))
+            open_ = written(open_.where("comps > 1").selectExpr("token", "main.comp AS main", "pv"), "open")
             if turn == 1:
-                more = lab.join(open_.selectExpr("token", "pv.cid AS b", "pv.size AS nb", "pv.comp AS cb"), "token")
-                more = more.where("comp <> cb").selectExpr("cid AS a", "size AS na", "b", "nb")
+                more = lab.join(open_.selectExpr("token", "pv.cid AS a", "pv.size AS na", "pv.comp AS ca"), "token").where("comp <> ca AND " + after.format("na", "size", "a", "cid"))
+                more = more.selectExpr("a", "na", "cid AS b", "size AS nb")
             else:
-                lab = lab.join(open_.select("token"), "token", "left_semi")
-                other = lab.selectExpr("token", "cid AS b", "size AS nb", "comp AS cb")
-                more = lab.join(other, "token").where("cid < b AND comp <> cb").selectExpr("cid AS a", "size AS na", "b", "nb")
+                # every pair of two components has an end outside the token's largest one
+                lab = lab.join(open_.select("token", "main"), "token")
+                out = lab.where("comp <> main").selectExpr("token", "cid AS x", "size AS nx", "is_inner AS ix", "comp AS cx")
+                more = lab.join(out, "token").where("cx <> comp AND (comp = main OR x < cid)")
+                smaller = F.expr(after.format("nx", "size", "x", "cid"))
+                more = more.where(F.when(smaller, F.col("ix")).otherwise(F.col("is_inner")))
+                more = more.select(*[F.when(smaller, F.col(p)).otherwise(F.col(q)).alias(c) for c, p, q in (("a", "x", "cid"), ("na", "nx", "size"), ("b", "cid", "x"), ("nb", "size", "nx"))])
         more = written(_pairs(more, pct), "pairs")
         found = _verify(more, sets.of(more), pct)
         links = written(found if links is None else links.union(found), "links")
