@@ -56,21 +56,21 @@ def tune_bands(pct: int, hashes: int, recall: float) -> tuple[int, int]:
 
 
 def _starts(h: np.ndarray, offs: np.ndarray, reach: int) -> np.ndarray:
-    """Words that open a paragraph: local minima of the word-pair hash, and each text's first word."""
+    """Words that open a paragraph: local minima of the word-pair hash, and each text's first word.
+
+    A window ends with its text, so the cut does not depend on the texts around it.
+    """
     n = len(h)
-    nxt = np.append(h[1:], np.uint64(0))
+    count = np.diff(offs)
+    pos = np.arange(n) - np.repeat(offs[:-1], count)
+    rest = np.repeat(count, count) - 1 - pos
+    nxt = np.where(rest > 0, np.append(h[1:], np.uint64(0)), np.uint64(0))
     key = mix64(h * _WORD_MUL[0] + nxt * _WORD_MUL[1])
-    far = np.uint64(0xFFFFFFFFFFFFFFFF)
     opens = np.ones(n, dtype=bool)
-    for k in range(1, reach + 1):
-        left = np.full(n, far)
-        left[k:] = key[:-k] if k < n else key[:0]
-        right = np.full(n, far)
-        right[: n - k] = key[k:] if k < n else key[:0]
-        opens &= (key < left) & (key <= right)
-    at = offs[:-1][np.diff(offs) > 0]
-    # a window may look past a text's end; that only moves the ends nearest to it
-    opens[at] = True
+    for k in range(1, min(reach, n - 1) + 1):
+        opens[k:] &= (key[k:] < key[:-k]) | (pos[k:] < k)
+        opens[:-k] &= (key[:-k] <= key[k:]) | (rest[:-k] < k)
+    opens[pos == 0] = True
     return np.flatnonzero(opens)
 
 
