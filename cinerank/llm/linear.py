@@ -25,20 +25,29 @@ class Adam:
         return self.rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.999**self.t)) + 1e-8)
 
 
-def fit_sparse_logistic(cols: np.ndarray, offs: np.ndarray, y: np.ndarray, scale: np.ndarray, l2: float, steps: int, rate: float) -> tuple[np.ndarray, float]:
-    """Weights (already times ``scale``) and intercept for rows of 0/1 features times ``scale``."""
+def fit_sparse_logistic(lists: list[np.ndarray], y: np.ndarray, scale: np.ndarray, l2: float, epochs: int, rate: float, batch: int = 512, seed: int = 3) -> tuple[np.ndarray, float]:
+    """Weights (already times ``scale``) and intercept for rows of 0/1 features times ``scale``.
+
+    ``lists`` has each row's feature numbers.  Batches bound the memory: only one
+    batch of rows is ever expanded.
+    """
     n, d = len(y), len(scale)
-    rows = np.repeat(np.arange(n), np.diff(offs))
-    vals = scale[cols]
     p0 = float(np.clip(y.mean(), 1e-4, 1 - 1e-4)) if n else 0.5
     w, b = np.zeros(d), np.log(p0 / (1 - p0))
-    opt = Adam(d + 1, rate)
-    for _ in range(steps if n else 0):
-        z = np.bincount(rows, weights=w[cols] * vals, minlength=n) + b
-        r = (sigmoid(z) - y) / n
-        g = np.bincount(cols, weights=r[rows] * vals, minlength=d) + l2 * w
-        s = opt.step(np.append(g, r.sum()))
-        w, b = w - s[:-1], b - s[-1]
+    opt, rng = Adam(d + 1, rate), np.random.default_rng(seed)
+    for turn in range(epochs if n else 0):
+        order = rng.permutation(n)
+        opt.rate = rate * (1 - turn / epochs)
+        for at in range(0, n, batch):
+            some = order[at : at + batch]
+            cols = np.concatenate([lists[i] for i in some])
+            rows = np.repeat(np.arange(len(some)), [len(lists[i]) for i in some])
+            vals = scale[cols]
+            z = np.bincount(rows, weights=w[cols] * vals, minlength=len(some)) + b
+            r = (sigmoid(z) - y[some]) / len(some)
+            g = np.bincount(cols, weights=r[rows] * vals, minlength=d) + l2 * w
+            s = opt.step(np.append(g, r.sum()))
+            w, b = w - s[:-1], b - s[-1]
     return w * scale, float(b)
 
 

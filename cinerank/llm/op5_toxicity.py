@@ -1,6 +1,6 @@
 """Toxicity scores: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Every whole text is lower-cased and its distinct character n-grams (3 to 5 code
+Every whole text is lower-cased and its distinct character n-grams (5, 7 and 9 code
 points, white space as one kind of blank) are hashed to ``2**bits`` buckets.
 One pass over the labelled sample counts, per bucket, the toxic and the clean
 documents that hold it; the smoothed log ratio of the two shares scales the
@@ -33,10 +33,12 @@ from cinerank.llm.linear import fit_sparse_logistic, sigmoid
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SIZES = (3, 4, 5)
+SIZES = (5, 7, 9)
 #: Code points hashed at once; longer texts go block by block, overlapping so that no n-gram is lost.
 BLOCK = 1 << 18
-_MUL = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
+#: Tasks that count the bounded sample's buckets.
+COUNT_TASKS = 6
+_MUL = mix64(np.arange(1, 129, dtype=np.uint64)) | np.uint64(1)
 _BLANK = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
 
 
@@ -113,7 +115,7 @@ class ToxicityModel:
         self.bits, self.features, self.w, self.b = bits, features, w, b
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_per_class: int = 8_000, max_features: int = 30_000, bits: int = 20, min_docs: int = 4) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_per_class: int = 6_000, max_features: int = 24_000, bits: int = 22, min_docs: int = 3) -> ToxicityModel:
     lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)")
     lab = lab.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y"))
     sizes = {r["y"]: r["n"] for r in lab.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -124,7 +126,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_per_clas
     n = {r["y"]: r["n"] for r in d.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return ToxicityModel(bits, np.zeros(0, np.int64), np.zeros(0), -8.0 if not n.get(1) and n.get(0) else 0.0)
-    tot = d.mapInArrow(_counts(bits), "bucket long, pos long, neg long").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where(F.col("pos") + F.col("neg") >= min_docs)
+    # few tasks: each sends one line for every bucket that it has seen, and the sample is bounded
+    tot = d.coalesce(COUNT_TASKS).mapInArrow(_counts(bits), "bucket long, pos long, neg long").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where(F.col("pos") + F.col("neg") >= min_docs)
     # the buckets whose class shares differ most, in standard errors
     ps, ns, both = F.col("pos") / F.lit(n[1]), F.col("neg") / F.lit(n[0]), (F.col("pos") + F.col("neg")) / F.lit(n[0] + n[1])
     z = F.abs(ps - ns) / F.sqrt(both * (1 - both) + 1e-9)
@@ -132,12 +135,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_per_clas
     feats = best["bucket"].to_numpy(np.int64)
     ratio = np.log((best["pos"].to_numpy() + 1.0) / (n[1] + 2.0)) - np.log((best["neg"].to_numpy() + 1.0) / (n[0] + 2.0))
     got = d.mapInArrow(_rows(bits, feats), "y int, x binary").toPandas()
+    got = got.sort_values(["y", "x"], kind="stable")  # the same fit whatever the rows' order
     lists = [np.frombuffer(v, dtype=np.int32) for v in got["x"]]
-    order = sorted(range(len(lists)), key=lambda i: (got["y"].iat[i], got["x"].iat[i]))  # the same fit whatever the rows' order
-    y = got["y"].to_numpy(np.float64)[order]
-    offs = np.concatenate([[0], np.cumsum([len(lists[i]) for i in order])])
-    cols = np.concatenate([lists[i] for i in order]) if order else np.zeros(0, np.int32)
-    w, b = fit_sparse_logistic(cols, offs, y, ratio, 1e-5, 120, 0.02)
+    w, b = fit_sparse_logistic(lists, got["y"].to_numpy(np.float64), ratio, 1e-4, 16, 0.02)
     b += np.log(sizes[1] / sizes[0]) - np.log(n[1] / n[0])
     return ToxicityModel(bits, feats, w, b)
 
