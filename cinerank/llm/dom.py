@@ -260,15 +260,18 @@ def article_roots(root: Node) -> list[Node]:
 
 
 def extract(roots: list[Node], template: set[int]) -> str:
-    """The roots' text without boilerplate and without the ``#`` nodes whose id is in ``template``."""
-    blocks, run = [], []
+    """The roots' text by blocks, without boilerplate and without the blocks all of whose ``#`` nodes
+    have their id in ``template`` (a constant word inside a varying block is content)."""
+    blocks, run, fresh = [], [], False
 
     def cut():
-        if run:
+        nonlocal fresh
+        if fresh:
             t = clean("".join(run))
             if t:
                 blocks.append(t)
-            run.clear()
+        run.clear()
+        fresh = False
 
     todo: list = list(reversed(roots))
     while todo:
@@ -276,12 +279,14 @@ def extract(roots: list[Node], template: set[int]) -> str:
         if n is None:
             cut()
         elif n.tag == TEXT:
-            if id(n) not in template:
-                run.append(n.text)
+            run.append(n.text)
+            fresh = fresh or (id(n) not in template and not n.text.isspace())
         elif not n.boiler or n in roots:
-            if n.tag in BLOCK:
+            if n.tag in BLOCK and n.tag != "br":
                 cut()
                 todo.append(None)
+            elif n.tag == "br":
+                run.append(" ")
             todo.extend(reversed(n.kids))
     cut()
     return " ".join(blocks)

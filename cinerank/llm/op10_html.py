@@ -6,10 +6,10 @@ the reference's by simple tree matching.  Text nodes of the reference that
 nearly all aligned pages repeat word for word are template; the counts are over
 all pages of the host, pre-aggregated inside each task, so a host that holds a
 third of all pages is a few partial rows.  Slots that vary are content.  In a
-second pass every page is aligned again, its template nodes are removed, and the
-varying slots of its article are its text; slots that vary as well but are by
-their element, role or class menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles or comments are left out.
+second pass every page is aligned again, the blocks made of template nodes alone
+are removed, and the varying slots of its article are its text; slots that vary as
+well but are by their element, role or class menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles or comments are left out.
 
 The references travel with the pages by a join on the host: broadcast only under
 a measured size, otherwise a shuffle that adaptive execution may split.

@@ -151,8 +151,8 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str
     spark = df.sparkSession
     v = _usable(df, id_col, vec_col).withColumn("h1", F.xxhash64("vec")).withColumn("h2", F.xxhash64(F.lit(1), "vec"))
     # one row per distinct vector, with the only ids of it that can be found
-    few = v.withColumn("rn", F.row_number().over(Window.partitionBy("h1", "h2").orderBy("id"))).where(F.col("rn") <= k + 1)
-    cand = few.groupBy("h1", "h2").agg(F.min_by("vec", "id").alias("vec"), F.slice(F.array_distinct(F.sort_array(F.collect_list("id"))), 1, k + 1).alias("ids"))
+    few = v.withColumn("rn", F.dense_rank().over(Window.partitionBy("h1", "h2").orderBy("id"))).where(F.col("rn") <= k + 1)
+    cand = few.groupBy("h1", "h2").agg(F.min_by("vec", "id").alias("vec"), F.sort_array(F.collect_set("id")).alias("ids"))
     cand = written(cand, "vectors")
     n, top = cand.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)))).first()
     queries = written(v.where(is_query).select("id", "h1", "h2").distinct(), "queries")
