@@ -253,7 +253,7 @@ WHERE r.rating >= 4 AND r.movieId IN (SELECT id FROM items_meta)
 SEEN_COUNT = "SELECT split, userId, count(*) AS m FROM seen GROUP BY split, userId"
 
 
-def _sampler(name: str, users: str, n: int, stream: str) -> list[tuple[str, str]]:
+def _sampler(name: str, users: str, n: int, stream: str, seen: str = "seen", seen_count: str = "seen_count") -> list[tuple[str, str]]:
     key = lambda tag: f"concat(CAST(u.userId AS VARCHAR), '_42_{stream}_{tag}')"
     return [
         (f"{name}_u", f"""
@@ -262,14 +262,14 @@ SELECT u.split, u.userId, pp.PP,
        1 + {_h32(key('s'))} % (pp.PP - 1) AS s,
        least({n} + coalesce(sc.m, 0) + (pp.PP - pp.P), pp.PP) AS t_max
 FROM {users} u JOIN pprime pp ON u.split = pp.split
-LEFT JOIN seen_count sc ON sc.split = u.split AND sc.userId = u.userId"""),
+LEFT JOIN {seen_count} sc ON sc.split = u.split AND sc.userId = u.userId"""),
         (f"{name}_d", f"SELECT split, userId, t AS draw, (o + s * t) % PP AS slot FROM (SELECT *, unnest(range(0, t_max)) AS t FROM {name}_u) x"),
         (name, f"""
 SELECT split, userId, movieId, draw
 FROM (SELECT d.split, d.userId, p.movieId, d.draw,
              row_number() OVER (PARTITION BY d.split, d.userId ORDER BY d.draw) AS k
       FROM {name}_d d JOIN pool p ON p.split = d.split AND p.slot = d.slot
-      WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.split = d.split AND s.userId = d.userId AND s.movieId = p.movieId)) t
+      WHERE NOT EXISTS (SELECT 1 FROM {seen} s WHERE s.split = d.split AND s.userId = d.userId AND s.movieId = p.movieId)) t
 WHERE k <= {n}"""),
     ]
 
@@ -344,6 +344,38 @@ def _idcg(n: str) -> str:
     return f"CASE WHEN {n} > 0 THEN list_sum(list_transform(range(1, CAST({n} AS BIGINT) + 1), lambda i: 1.0 / log2(i + 1))) ELSE 0.0 END"
 
 
+WALK, N_WEIGHTED = 20, 10
+_wkey = lambda tag: f"concat(CAST(u.userId AS VARCHAR), '_42_weighted_{tag}')"
+WEIGHTED = [
+    ("wslots", """
+SELECT split, movieId,
+       row_number() OVER (PARTITION BY split ORDER BY md5(concat(CAST(userId AS VARCHAR), '_', CAST(movieId AS VARCHAR), '_42')), userId, movieId) - 1 AS slot
+FROM ratings_split"""),
+    ("wprime", PPRIME.replace("FROM pool", "FROM wslots")),
+    ("wdraws", f"""
+SELECT u.split, u.userId, t AS draw, ({_h32(_wkey('o'))} % w.PP + (1 + {_h32(_wkey('s'))} % greatest(w.PP - 1, 1)) * t) % w.PP AS slot
+FROM users_pos u JOIN wprime w ON u.split = w.split, range(0, {WALK * N_WEIGHTED}) r(t) WHERE t < w.PP"""),
+    ("wgot", f"""
+SELECT split, userId, movieId, draw FROM (
+  SELECT split, userId, movieId, draw, row_number() OVER (PARTITION BY split, userId ORDER BY draw) AS k FROM (
+    SELECT d.split, d.userId, s.movieId, min(d.draw) AS draw FROM wdraws d JOIN wslots s ON s.split = d.split AND s.slot = d.slot
+    GROUP BY d.split, d.userId, s.movieId) m
+  WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.split = m.split AND s.userId = m.userId AND s.movieId = m.movieId)) t
+WHERE k <= {N_WEIGHTED}"""),
+    ("wlack", f"""
+SELECT u.split, u.userId, count(g.movieId) AS have FROM users_pos u LEFT JOIN wgot g ON g.split = u.split AND g.userId = u.userId
+GROUP BY u.split, u.userId HAVING count(g.movieId) < {N_WEIGHTED}"""),
+    ("wtaken", "SELECT split, userId, movieId FROM seen UNION ALL SELECT split, userId, movieId FROM wgot"),
+    ("wtaken_count", "SELECT split, userId, count(*) AS m FROM wtaken GROUP BY split, userId"),
+    *_sampler("wtop", "wlack", N_WEIGHTED, "topup", "wtaken", "wtaken_count"),
+]
+ORACLE["weighted_negatives"] = _q2(
+    f"""SELECT split, userId, movieId, draw FROM wgot UNION ALL
+SELECT split, userId, movieId, draw + {WALK * N_WEIGHTED} FROM (
+  SELECT t.*, l.have, row_number() OVER (PARTITION BY t.split, t.userId ORDER BY t.draw) AS k2
+  FROM wtop t JOIN wlack l ON l.split = t.split AND l.userId = t.userId) x WHERE k2 <= {N_WEIGHTED} - have""",
+    WEIGHTED,
+)
 ORACLE["seen_mask"] = _q2("SELECT split, userId, movieId, rank FROM cands")
 ORACLE["hard_negatives"] = _q2("SELECT split, userId, movieId, rank FROM hard_all")
 ORACLE["easy_negatives"] = _q2("SELECT split, userId, movieId, draw FROM easy")

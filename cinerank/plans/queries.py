@@ -182,6 +182,15 @@ def easy_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return chain.per_split(one, spark, sf)
 
 
+@register("weighted_negatives")
+def weighted_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    def one(w):
+        r = chain.split_ratings(spark, sf, w)
+        return negatives.weighted_negatives(_users_with_pos(spark, sf, w), recall.seen_pairs(r), r)
+
+    return chain.per_split(one, spark, sf)
+
+
 @register("fallback_negatives")
 def fallback_negatives(spark: SparkSession, sf: str) -> DataFrame:
     """The one-draw fallback as it runs when hard_neg = easy_neg = 0 (every user lacks negatives)."""
@@ -300,7 +309,7 @@ def svd_vectors(spark: SparkSession, sf: str) -> DataFrame:
     w = chain.stage("tfidf", spark, sf, lambda: w)
     n_terms = vocab.count()
     vec, _ = text_ops.svd(w, n_terms)
-    return vec.select("doc_id", F.size("features").alias("dim"), r6(F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x)).alias("sq_norm"))
+    return vec.select("doc_id", "features", F.size("features").alias("dim"), r6(F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x)).alias("sq_norm"))
 
 
 # ─── matrix factorisation ────────────────────────────────────────────────
@@ -308,10 +317,10 @@ def svd_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("als_factors")
 def als_factors(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows-only: one row per trained user and item factor (128 floats)."""
+    """Rows-only: every trained user and item factor with its 128 values."""
     uf, itf = chain.als(spark, sf)
-    u = uf.select(F.lit("user").alias("kind"), F.col("userId").alias("id"), F.size("features").alias("dim"))
-    i = itf.select(F.lit("item").alias("kind"), F.col("movieId").alias("id"), F.size("features").alias("dim"))
+    u = uf.select(F.lit("user").alias("kind"), F.col("userId").alias("id"), F.size("features").alias("dim"), F.col("features").cast("array<double>").alias("features"))
+    i = itf.select(F.lit("item").alias("kind"), F.col("movieId").alias("id"), F.size("features").alias("dim"), F.col("features").cast("array<double>").alias("features"))
     return u.unionByName(i)
 
 
