@@ -339,3 +339,29 @@ def keep_one(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
     lab = ngram_components(docs, n, pct)
     drop = lab.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(maybe_broadcast(drop, 16), "doc_id", "left_anti")
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                               WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w) u
+), n AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)
+), e AS (
+  SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l
+), reach(a, b) AS (
+  SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a
+), low AS (
+  SELECT a AS doc_id, least(a, min(b)) AS component_id FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(low.component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN low ON low.doc_id = d.doc_id
+"""

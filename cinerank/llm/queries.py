@@ -84,4 +84,5 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op7_line_dedup": op7.ORACLE,
+    "op8_ngram_join": op8.ORACLE,
 }

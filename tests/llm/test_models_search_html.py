@@ -195,7 +195,7 @@ def test_registered_names():
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op7_line_dedup"])
+@pytest.mark.parametrize("name", ["op7_line_dedup", "op8_ngram_join"])
 def test_query_equals_its_sql(spark, name):
     import __spark_entry__ as e
     from tools.oracle_check import duck, rows_of
