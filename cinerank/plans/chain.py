@@ -181,14 +181,14 @@ def als_candidates(spark: SparkSession, sf: str, which: str, **kw) -> DataFrame:
     return stage(f"als_cands_{which}_{tag}", spark, sf, build)
 
 
-def ranker(spark: SparkSession, sf: str, trees: int = 10, source: str = "pop"):
+def ranker(spark: SparkSession, sf: str, early_stop: int = 50, source: str = "pop"):
     """Trained LambdaMART on one candidate source's feature rows; returns (ensemble, log)."""
     from cinerank.operators import features as feat
     from cinerank.operators import ranker as rk
 
-    key = ("ranker", sf, spark.sparkContext.applicationId, trees, source)
+    key = ("ranker", sf, spark.sparkContext.applicationId, early_stop, source)
     if key not in _STAGES:
         tr = feat.load_split(features(spark, sf, "train", source))
         va = feat.load_split(features(spark, sf, "valid", source))
-        _STAGES[key] = rk.train(tr, va, trees=trees)
+        _STAGES[key] = rk.train(tr, va, early_stop=early_stop)
     return _STAGES[key]
