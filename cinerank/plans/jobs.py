@@ -132,20 +132,27 @@ def recall_job(spark: SparkSession, out: str, which: str, output: str, top_r: in
 
 
 def build_features(spark: SparkSession, out: str, which: str, candidates: str, output: str | None, hard_neg: int = 20,
-                   easy_neg: int = 10, pos_thresh: float = 4.0, seed: int = 42) -> DataFrame:
-    """Job 5: labelled feature rows for one split (a null-sentinel path means 'do not write')."""
+                   easy_neg: int = 10, pos_thresh: float = 4.0, seed: int = 42, counters: str | None = None) -> DataFrame:
+    """Job 5: labelled feature rows for one split (a null-sentinel path means 'do not write').
+
+    ``counters`` (a path) gets one more row: kept users, rows and positives of this split (AGG17).
+    """
     ratings = split_ratings(spark, out, which)
     cands = io.read_candidates(spark, candidates)
     meta = spark.read.parquet(_p(out, "items_processed"))
     rows = features.feature_rows(ratings, cands, meta, hard_neg, easy_neg, pos_thresh, seed)
-    features.write_rows(rows, output)
+    wrote = features.write_rows(rows, output)
+    if counters:
+        kept = (spark.read.parquet(output) if wrote else rows).agg(
+            F.count_distinct("userId").alias("n_users"), F.count(F.lit(1)).alias("n_rows"), F.sum("label").cast("long").alias("n_positive"))
+        kept.select(F.lit(which).alias("split"), "*").write.mode("append").parquet(counters)
     return rows
 
 
-def _report(m: DataFrame, metrics_table: str | None, job: str) -> DataFrame:
-    """SNK13: append the one-row metrics to a metrics table when a path is given."""
+def _report(m: DataFrame, metrics_table: str | None, job: str, n_rows: int) -> DataFrame:
+    """SNK13: append the one-row metrics (users included) and the scored rows' number to a metrics table."""
     if metrics_table:
-        m.withColumn("job", F.lit(job)).withColumn("at", F.current_timestamp()).write.mode("append").parquet(metrics_table)
+        m.withColumn("n_rows", F.lit(n_rows).cast("long")).withColumn("job", F.lit(job)).withColumn("at", F.current_timestamp()).write.mode("append").parquet(metrics_table)
     return m
 
 
@@ -158,11 +165,11 @@ def train(spark: SparkSession, train_rows: str, valid_rows: str, model: str, tre
         raise ValueError("the train rows of some user changed between counting and reading")
     ens, _log = ranker.train(tr, va, trees=trees, lr=lr, k=ndcg_k)
     ens.save(model)
-    return _report(metrics.map_ndcg(ens.predict(ranker.prepare(va)), k=ndcg_k), metrics_table, "train")
+    return _report(metrics.map_ndcg(ens.predict(ranker.prepare(va)), k=ndcg_k), metrics_table, "train", va.count())
 
 
 def evaluate(spark: SparkSession, rows: str, model: str, k: int = 10, metrics_table: str | None = None) -> DataFrame:
     """Job 7: reload the ranker, score the rows of both-class users, MAP@k / NDCG@k."""
     ens = ranker.Ensemble.load(model)
     va = features.load_split(spark.read.parquet(rows))
-    return _report(metrics.map_ndcg(ens.predict(ranker.prepare(va)), k=k), metrics_table, "evaluate")
+    return _report(metrics.map_ndcg(ens.predict(ranker.prepare(va)), k=k), metrics_table, "evaluate", va.count())

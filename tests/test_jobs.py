@@ -16,21 +16,28 @@ def test_jobs_end_to_end(spark, tmp_path):
     ).write.option("header", True).csv(str(raw / "ratings"))
     fixtures.raw_links(spark, SF).select("movieId", F.lit("tt").alias("imdbId"), "tmdbId").write.option("header", True).csv(str(raw / "links"))
 
+    # a repeated item must not double anything downstream
     items = io.read_items_csv(spark, str(raw / "items"))
-    assert items.count() == fixtures.raw_items(spark, SF).count()
+    items = items.unionByName(items.limit(3))
+    assert items.count() == fixtures.raw_items(spark, SF).count() + 3
     out = str(tmp_path / "out")
     jobs.prepare(spark, items, io.read_credits_csv(spark, str(raw / "credits")), io.read_ratings_csv(spark, str(raw / "ratings")),
                  io.read_links_csv(spark, str(raw / "links")), out)
+    assert spark.read.parquet(f"{out}/items_processed").groupBy("id").count().filter("count > 1").count() == 0
     jobs.build_mf(spark, out, factors=8, iters=3, min_user_cnt=2, min_item_cnt=2)
     jobs.vectorize(spark, out, svd_dim=8)
+    done = spark.read.parquet(f"{out}/items_processed").select("id", "clean_tags")
+    assert jobs.vectorize_new(spark, out, done).first().features is not None
     jobs.index(spark, out)
     for s in jobs.SETS:
         jobs.recall_job(spark, out, s, str(tmp_path / f"cands_{s}"), top_r=30, content_top=30, merge="weighted")
-        jobs.build_features(spark, out, s, str(tmp_path / f"cands_{s}"), str(tmp_path / f"rows_{s}"), hard_neg=5, easy_neg=3)
+        jobs.build_features(spark, out, s, str(tmp_path / f"cands_{s}"), str(tmp_path / f"rows_{s}"), hard_neg=5, easy_neg=3, counters=str(tmp_path / "counters"))
     m = jobs.train(spark, str(tmp_path / "rows_train"), str(tmp_path / "rows_valid"), str(tmp_path / "model"), trees=2,
                    metrics_table=str(tmp_path / "metrics")).first()
     e = jobs.evaluate(spark, str(tmp_path / "rows_valid"), str(tmp_path / "model"), metrics_table=str(tmp_path / "metrics")).first()
-    assert spark.read.parquet(str(tmp_path / "metrics")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "metrics")).filter("n_rows > 0").count() == 2
+    kept = {r.split: r for r in spark.read.parquet(str(tmp_path / "counters")).collect()}
+    assert set(kept) == set(jobs.SETS) and all(r.n_rows > r.n_positive > 0 and r.n_users > 0 for r in kept.values())
     assert 0.0 <= e["ndcg_at_k"] <= 1.0 and 0.0 <= e["map_at_k"] <= 1.0
     assert abs(m["ndcg_at_k"] - e["ndcg_at_k"]) < 1e-9
     cands = io.read_candidates(spark, str(tmp_path / "cands_valid"))
