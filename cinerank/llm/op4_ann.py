@@ -144,8 +144,13 @@ def _usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return v.where(F.size("vec") == (sizes[0]["d"] if sizes else 0))
 
 
-def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, recall: float = 0.97, sample: int = 32_768, branch: int = 16, leaf_rows: int = 32, calibrate: int = 256, block_rows: int = 4096) -> DataFrame:
-    """``query_id, rank, vec_id, score``; ``is_query`` is a condition on the column ``id``."""
+def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, recall: float = 0.97, sample: int = 32_768, branch: int = 8, rows_per_leaf: int = 512, leaf_rows: int = 16, calibrate: int = 256, block_rows: int = 4096) -> DataFrame:
+    """``query_id, rank, vec_id, score``; ``is_query`` is a condition on the column ``id``.
+
+    The tree stops splitting when a leaf would hold about ``rows_per_leaf`` rows of the whole table
+    (and at ``leaf_rows`` of the sample): a query travels once to each leaf that it visits, so leaves
+    are as large as one cheap matrix product.
+    """
     if k < 1 or not 0 < recall <= 1 or branch < 2:
         raise ValueError("k must be at least 1, recall within (0, 1] and branch at least 2")
     spark = df.sparkSession
@@ -161,7 +166,7 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str
     asked = cand.join(queries.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select("h1", "h2", "vec")
 
     fit = np.stack(cand.orderBy(F.xxhash64("h1", "h2"), "h1").limit(sample).select("vec").toPandas()["vec"].to_list()).astype(np.float64)
-    tree = Tree(_lift(fit, top), branch, leaf_rows)
+    tree = Tree(_lift(fit, top), branch, max(leaf_rows, math.ceil(rows_per_leaf * len(fit) / n)))
     shared, leaves = spark.sparkContext.broadcast(vars(tree)), tree.leaves
 
     def place(batches):
