@@ -9,8 +9,7 @@ each; whole texts, no word is left out).
 
 Candidates.  Equal paragraphs (by a 64-bit hash of their words) are one from the
 start, counted with map-side combining however many documents hold them.  Each
-distinct paragraph has a MinHash signature of its five-word shingles, cut into
-bands; ``tune_bands`` picks the rows per band so that a pair at the threshold
+paragraph has a MinHash signature of its five-word shingles, cut into bands; ``tune_bands`` picks the rows per band so that a pair at the threshold
 collides with the asked recall.  A band's paragraphs are paired with the band's
 smallest one (m - 1 pairs, not all).
 
@@ -98,43 +97,55 @@ class _Range:
         self.hash, self.offs = h, offs
 
 
-def _paragraphs(reach: int, bands: int, rows: int):
+def _paragraphs(reach: int):
     def run(batches):
-        names = ["doc_id", "row", "pos", "words", "p", *[f"b{k}" for k in range(bands)]]
         for rb, buf, offs in text_slices(batches):
             c = _Cut(buf, offs, reach)
             cols = [rb.column(rb.schema.get_field_index(x)).take(pa.array(c.doc)) for x in ("doc_id", "row")]
-            out = [*cols, pa.array(c.pos.astype(np.int32)), pa.array((c.last - c.first).astype(np.int32)), pa.array(c.hash.view(np.int64))]
+            cols += [pa.array(c.pos.astype(np.int32)), pa.array((c.last - c.first).astype(np.int32)), pa.array(c.hash.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "row", "pos", "words", "p"])
+
+    return run
+
+
+def _bands(reach: int, bands: int, rows: int):
+    """(band value, paragraph) for each distinct paragraph of a slice of texts."""
+
+    def run(batches):
+        for _, buf, offs in text_slices(batches):
+            c = _Cut(buf, offs, reach)
+            if len(c.hash) == 0:
+                continue
+            one = np.unique(c.hash, return_index=True)[1]
             for b in range(bands):
-                sig = np.zeros(len(c.hash), dtype=np.uint64)
+                sig = np.full(len(one), b + 1, dtype=np.uint64)
                 for r in range(rows):
-                    k = b * rows + r
-                    m = np.minimum.reduceat(mix64(c.grams ^ mix64(np.array([k + 1], dtype=np.uint64))), c.go[:-1]) if len(c.hash) else sig
-                    sig = mix64(sig * np.uint64(31) + m)
-                out.append(pa.array(sig.view(np.int64)))
-            yield pa.RecordBatch.from_arrays(out, names=names)
+                    salt = mix64(np.array([b * rows + r + 1], dtype=np.uint64))
+                    sig = mix64(sig * np.uint64(31) + np.minimum.reduceat(mix64(c.grams ^ salt), c.go[:-1])[one])
+                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(c.hash[one].view(np.int64))], names=["band", "p"])
 
     return run
 
 
-def _shingle_sets(reach: int):
-    """(p, distinct shingles) of the paragraphs asked for in the row's ``want``."""
+def _shingle_lists(reach: int):
+    """(paragraph, its shingles in order) for each distinct paragraph of a slice of texts."""
 
     def run(batches):
-        for rb, buf, offs in text_slices(batches):
+        for _, buf, offs in text_slices(batches):
             c = _Cut(buf, offs, reach)
-            want = rb.column(rb.schema.get_field_index("want"))
-            asked = np.unique(np.concatenate([np.asarray(x.values, dtype=np.int64) for x in want])) if rb.num_rows else np.zeros(0, np.int64)
-            hit = np.flatnonzero(np.isin(c.hash.view(np.int64), asked))
-            sets = [np.unique(c.grams[c.go[i] : c.go[i + 1]]).view(np.int64) for i in hit]
-            so = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c.hash.view(np.int64)[hit]), pa.ListArray.from_arrays(pa.array(so), pa.array(flat))], names=["p", "tokens"])
+            if len(c.hash) == 0:
+                continue
+            one = np.unique(c.hash, return_index=True)[1]
+            count = c.go[one + 1] - c.go[one]
+            so = np.concatenate([[0], np.cumsum(count)])
+            flat = c.grams[np.repeat(c.go[one] - so[:-1], count) + np.arange(so[-1])]
+            lists = pa.ListArray.from_arrays(pa.array(so.astype(np.int32)), pa.array(flat.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(c.hash[one].view(np.int64)), lists], names=["p", "tokens"])
 
     return run
 
 
-def repeated_spans(docs: DataFrame, pct: int = 80, min_words: int = 25, reach: int = 6, hashes: int = 8, recall: float = 0.95) -> DataFrame:
+def repeated_spans(docs: DataFrame, pct: int = 80, min_words: int = 25, reach: int = 6, hashes: int = 6, recall: float = 0.95) -> DataFrame:
     """``doc_id, first_word, n_words, n_paragraphs, cluster_docs, removed``: one row per repeated span,
     with the most documents that share a paragraph of it."""
     if not 1 <= pct <= 100 or min_words < 1 or reach < 1:
@@ -142,38 +153,30 @@ def repeated_spans(docs: DataFrame, pct: int = 80, min_words: int = 25, reach: i
     bands, rows = tune_bands(pct, hashes, recall)
     text = F.col("text").cast("string")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("row"), text.alias("text"))
-    schema = "doc_id long, row long, pos int, words int, p long, " + ", ".join(f"b{k} long" for k in range(bands))
-    par = written(d.mapInArrow(_paragraphs(reach, bands, rows), schema), "paragraphs")
+    par = written(d.mapInArrow(_paragraphs(reach), "doc_id long, row long, pos int, words int, p long"), "paragraphs")
 
-    # distinct paragraphs; b_k is a function of p, so any aggregate of it will do
+    # a band's paragraphs against its smallest one; equal paragraphs come once per slice of texts
     spot = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("d"), "row", "pos")
-    sig = par.groupBy("p").agg(*[F.min(f"b{k}").alias(f"b{k}") for k in range(bands)])
-    band = sig.select("p", F.posexplode(F.array(*[f"b{k}" for k in range(bands)])).alias("k", "b")).select("p", F.xxhash64("k", "b").alias("b"))
-    band = written(band, "bands")
-    lead = band.groupBy("b").agg(F.min("p").alias("q"), F.max("p").alias("z")).where("q <> z").select("b", "q")
-    pairs = written(band.join(lead, "b").where("p <> q").select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), "pairs")
+    band = d.select("text").mapInArrow(_bands(reach, bands, rows), "band long, p long")
+    band = band.withColumn("q", F.min("p").over(Window.partitionBy("band"))).where("p <> q")
+    pairs = written(band.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), "pairs")
     ask = pairs.select(F.col("a").alias("p")).union(pairs.select(F.col("b").alias("p"))).distinct()
-    # one place to read each asked paragraph from
-    at = par.select("p", spot.alias("s")).join(maybe_broadcast(ask, 16), "p").groupBy("p").agg(F.min("s").alias("s"))
-    want = written(at.select("p", "s.d", "s.row").groupBy("d", "row").agg(F.collect_list("p").alias("want")), "wanted")
-    n_want = want.count()
-    src = d.withColumn("d", F.coalesce("doc_id", F.lit(-(2**63))))
-    src = src.join(maybe_broadcast(want, 200, n_want), ["d", "row"]).select("text", "want")
-    sets = written(src.mapInArrow(_shingle_sets(reach), "p long, tokens array<long>").dropDuplicates(["p"]), "sets")
+    lists = d.select("text").mapInArrow(_shingle_lists(reach), "p long, tokens array<long>")
+    sets = lists.join(maybe_broadcast(written(ask, "asked"), 16), "p", "left_semi").dropDuplicates(["p"])
+    sets = written(sets.select("p", F.array_distinct("tokens").alias("tokens")), "sets")
     side = lambda c: sets.select(F.col("p").alias(c), F.col("tokens").alias(f"t{c}"))
     both = F.size(F.array_intersect("ta", "tb"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= pct * (F.size("ta") + F.size("tb") - both)).select("a", "b")
     comp = components(near)
 
     lab = par.join(maybe_broadcast(comp.withColumnRenamed("node", "p"), 24), "p", "left").withColumn("c", F.coalesce("root", "p")).select("doc_id", "row", "pos", "words", "c")
-    lab = written(lab, "labelled")
-    cl = lab.select("c", spot.alias("s"), "row", "doc_id")
-    cl = cl.groupBy("c").agg(F.min("s").alias("s"), F.max("s").alias("z")).where("s <> z").select("c", "s")
-    cl = written(cl, "clusters")
-    hit = lab.join(maybe_broadcast(cl, 48), "c").withColumn("first", F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("d"), "row", "pos") == F.col("s")).drop("s")
-    hit = written(hit.dropDuplicates(["doc_id", "row", "pos"]), "hits")
+    # clusters met more than once, first by a plain count, then without the repeats of alike rows
+    often = written(lab.groupBy("c").count().where("count > 1").select("c"), "often")
+    hit = written(lab.join(maybe_broadcast(often, 16), "c").dropDuplicates(["doc_id", "row", "pos"]), "hits")
+    cl = hit.groupBy("c").agg(F.min(spot).alias("s"), F.count(F.lit(1)).alias("n")).where("n > 1")
     many = hit.select("c", "doc_id", "row").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("docs"))
-    hit = hit.join(maybe_broadcast(many, 24), "c")
+    cl = written(cl.join(many, "c").select("c", "s", "docs"), "clusters")
+    hit = hit.join(maybe_broadcast(cl, 56), "c").withColumn("first", spot == F.col("s")).drop("s")
     # neighbouring hits, at most one short paragraph apart, are one span
     order = Window.partitionBy("doc_id", "row").orderBy("pos")
     gap = F.col("pos") - F.lag(F.col("pos") + F.col("words")).over(order)
