@@ -24,7 +24,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     e = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     e = written(e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    mapping = None
+    steps = []
     for turn in range(200):
         if e.isEmpty():
             break
@@ -32,14 +32,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         order = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(turn)).alias("h"), F.col(c).alias("x"))
         step = both.groupBy("a").agg(F.least(F.min(order("b")), F.min(order("a"))).alias("m")).select(F.col("a").alias("n"), F.col("m.x").alias("p"))
         step = written(step, "step")
+        steps.append(step)
         left = e.join(step.select(F.col("n").alias("a"), F.col("p").alias("pa")), "a").join(step.select(F.col("n").alias("b"), F.col("p").alias("pb")), "b")
         e = written(left.where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "links")
-        if mapping is None:
-            mapping = step.select(F.col("n").alias("node"), F.col("p").alias("root"))
-        else:
-            nxt = step.select(F.col("n").alias("root"), F.col("p").alias("_p"))
-            mapping = mapping.join(nxt, "root", "left").select("node", F.coalesce("_p", "root").alias("root"))
-        mapping = written(mapping, "map")
-    if mapping is None:
+    if not steps:
         return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return mapping
+    mapping = steps[0].select(F.col("n").alias("node"), F.col("p").alias("root"))
+    for step in steps[1:]:  # O(log n) written tables
+        mapping = mapping.join(step.select(F.col("n").alias("root"), F.col("p").alias("_p")), "root", "left").select("node", F.coalesce("_p", "root").alias("root"))
+    return written(mapping, "map")

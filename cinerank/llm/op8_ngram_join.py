@@ -21,12 +21,11 @@ them adds, so a candidate must share that many under each of several orders.
 4. Pairs with enough shared prefix tokens must also meet in the prefixes under
    two further orders; what passes all filters is verified with the exact
    intersection of the whole sets, which are read for those classes alone.
-5. Verified links are contracted to components.  A second turn compares, per
-   token, classes of different components with another, token-specific pivot.
-   These two turns only save work (a pair that they drop comes again).  The last
-   turn takes every pair of classes of different components that share a prefix
-   token and puts it through the filters.  A pair left out is thus always one
-   whose ends are already connected: no component can change, and no cap exists.
+5. Verified links are contracted to components.  (This first turn only saves
+   work: a pair that it drops comes again.)  The last turn takes every pair of
+   classes of different components that share a prefix token and puts it through
+   the filters.  A pair left out is thus always one whose ends are already
+   connected: no component can change, and no cap exists.
 
 Defined results: null text equals empty text (size 0, its own component, linked
 with nothing); fewer than ``n`` words make one shingle of the whole sequence;
@@ -58,6 +57,8 @@ CHUNK_SHINGLES = 1_000_000
 #: classes; at most COMMON_MAX of them (8 bytes each) are sent to the tasks.
 COMMON_DF = 40
 COMMON_MAX = 1_000_000
+#: One prefix token in EXTRA set members is posted beyond the least, and as many must be shared.
+EXTRA = 12
 #: Further token orders that a candidate pair must pass.
 EXTRA_ORDERS = 2
 
@@ -77,13 +78,12 @@ def _class_of(s: np.ndarray) -> int:
 
 
 def _extra(m: int, pct: int) -> int:
-    """Prefix tokens beyond the least; the same rule in SQL is in ``_needed``."""
-    return min(m // 32, (pct * m + 99) // 100 - 1)
+    """Prefix tokens beyond the least; the same rule in SQL is in ``_extra_sql``."""
+    return min(m // EXTRA, (pct * m + 99) // 100 - 1)
 
 
-def _needed(m: str, pct: int) -> str:
-    """Prefix tokens that a linked pair must share when ``m`` is its smaller set size."""
-    return f"1 + least({m} div 32, ({pct}L * {m} + 99) div 100 - 1)"
+def _extra_sql(m: str, pct: int) -> str:
+    return f"least({m} div {EXTRA}, ({pct}L * {m} + 99) div 100 - 1)"
 
 
 def _prefix_sizes(m: int, pct: int) -> tuple[int, int]:
@@ -92,9 +92,9 @@ def _prefix_sizes(m: int, pct: int) -> tuple[int, int]:
     return m - (2 * pct * m + 99 + pct) // (100 + pct) + e, m - (pct * m + 99) // 100 + e
 
 
-def _prefix(s: np.ndarray, common: np.ndarray, k: int, pct: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """The prefix of a set under global order k (common tokens last), which of it are common, and
-    how many of it, from the start, are the inner prefix."""
+def _prefix(s: np.ndarray, common: np.ndarray, k: int, pct: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """The prefix of a set under global order k (common tokens last), which of it are common, how
+    many of it, from the start, are the inner prefix, and its end's place in the order."""
     inner, p = _prefix_sizes(len(s), pct)
     key = mix64(s + np.uint64(2 * k + 1)) >> np.uint64(1)
     is_common = np.zeros(len(s), dtype=bool)
@@ -103,7 +103,7 @@ def _prefix(s: np.ndarray, common: np.ndarray, k: int, pct: int) -> tuple[np.nda
         key |= is_common.astype(np.uint64) << np.uint64(63)
     by = np.argpartition(key, p - 1)[:p] if p < len(s) else np.arange(len(s))
     by = by[np.argsort(key[by])]
-    return s[by], is_common[by], inner
+    return s[by], is_common[by], inner, int(key[by[-1]]) - (1 << 63)
 
 
 def _scan(n: int):
@@ -146,7 +146,8 @@ def _scan(n: int):
 
 
 def _postings(n: int, pct: int, common):
-    """(token, class, size, is common, is inner) of the first order's prefixes, once per class and chunk."""
+    """(token, class, size, is common, is inner) of the first order's prefixes, once per class and
+    chunk; the row of the prefix's last token has its place in the order, ``last``."""
 
     def run(batches):
         seen: set[int] = set()
@@ -154,9 +155,9 @@ def _postings(n: int, pct: int, common):
 
         def flush():
             nonlocal acc, held
-            cols = [np.concatenate([a[j] for a in acc]) if acc else np.zeros(0, d) for j, d in enumerate((np.int64, np.int64, np.int32, bool, bool))]
+            cols = [np.concatenate([a[j] for a in acc]) if acc else np.zeros(0, d) for j, d in enumerate((np.int64, np.int64, np.int32, bool, bool, np.int64, bool))]
             acc, held = [], 0
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "cid", "size", "is_common", "is_inner"])
+            return pa.RecordBatch.from_arrays([*[pa.array(c) for c in cols[:5]], pa.array(cols[5], mask=cols[6])], names=["token", "cid", "size", "is_common", "is_inner", "last"])
 
         for _, s in _sets(batches, n):
             m = len(s)
@@ -168,9 +169,9 @@ def _postings(n: int, pct: int, common):
             seen.add(c)
             if len(seen) > 200_000:
                 seen.clear()
-            tok, com, inner = _prefix(s, common.value, 0, pct)
+            tok, com, inner, last = _prefix(s, common.value, 0, pct)
             p = len(tok)
-            acc.append((tok.view(np.int64), np.full(p, c, np.int64), np.full(p, m, np.int32), com, np.arange(p) < inner))
+            acc.append((tok.view(np.int64), np.full(p, c, np.int64), np.full(p, m, np.int32), com, np.arange(p) < inner, np.full(p, last, np.int64), np.arange(p) < p - 1))
             held += p
             if held >= 200_000:
                 yield flush()
@@ -214,11 +215,20 @@ def _whole(n: int, pct: int, common):
     return run
 
 
-def _pairs(met: DataFrame, pct: int) -> DataFrame:
-    """Distinct pairs from rows (a, na, b, nb), one for each token that is in the inner prefix of ``a``,
-    the smaller by (size, class), and the prefix of ``b``: of sizes that can link, with enough such tokens."""
-    p = met.where(f"100L * na >= {pct}L * nb").groupBy("a", "b", "na").agg(F.count(F.lit(1)).alias("k"))
-    return p.where(f"k >= {_needed('na', pct)}").select("a", "b")
+def _meet(rows: DataFrame, pct: int) -> DataFrame:
+    """Distinct candidate pairs (a, b) from rows (cid, size, most, last, is_inner; x, nx, mx, lx, ix) of
+    two classes that share a token: sizes and possible overlaps that can reach the threshold, the token
+    in the inner prefix of the smaller class (by size, then class), and enough such tokens.
+
+    The class whose prefix ends first has no token of it in the other set but those in both
+    prefixes, so its ``most`` bounds the overlap.
+    """
+    smaller = F.expr("nx < size OR (nx = size AND x < cid)")
+    r = rows.where("x <> cid").where(f"100L * least(nx, size) >= {pct}L * greatest(nx, size)")
+    r = r.where(f"({100 + pct}L) * CASE WHEN lx < last THEN mx ELSE most END >= {pct}L * (nx + size)").where(F.when(smaller, F.col("ix")).otherwise(F.col("is_inner")))
+    r = r.select(*[F.when(smaller, F.col(p)).otherwise(F.col(q)).alias(c) for c, p, q in (("a", "x", "cid"), ("b", "cid", "x"))], F.least("nx", "size").alias("na"))
+    r = r.groupBy("a", "b", "na").agg(F.count(F.lit(1)).alias("k"))
+    return r.where(f"k >= 1 + {_extra_sql('na', pct)}").select("a", "b")
 
 
 def _verify(pairs: DataFrame, whole: DataFrame, pct: int) -> DataFrame:
@@ -276,42 +286,42 @@ def classes_and_links(docs: DataFrame, n: int = 5, pct: int = 80) -> tuple[DataF
     top = df.orderBy(F.desc("df"), "token").limit(COMMON_MAX).select("token").toPandas()["token"].to_numpy(np.int64)
     common = spark.sparkContext.broadcast(np.sort(top.view(np.uint64)))
 
-    post = written(d.mapInArrow(_postings(n, pct, common), "token long, cid long, size int, is_common boolean, is_inner boolean"), "post")
-    # rare tokens: one shuffle, the token's classes meet in one small window; a token
-    # is kept when two classes have it, with the smallest class that has it in its
-    # inner prefix as pivot
-    ends = "struct(min(cid) {0} AS lo, max(cid) {0} AS hi, min(CASE WHEN is_inner THEN struct(size, cid) END) {0} AS pv)"
-    rare = post.where("NOT is_common").selectExpr("token", "cid", "size", "is_inner", ends.format("OVER (PARTITION BY token)") + " AS e")
-    # common tokens: map-side combined, then a join that may be split
-    often = post.where("is_common")
-    often = often.join(often.groupBy("token").agg(F.expr(ends.format("")).alias("e")), "token").select("token", "cid", "size", "is_inner", "e")
-    met = rare.union(often).where("e.lo <> e.hi AND e.pv IS NOT NULL")
-    met = written(met.selectExpr("token", "cid", "size", "is_inner", "e.pv.cid AS pivot", "e.pv.size AS pivot_size").distinct(), "met")
+    post = written(d.mapInArrow(_postings(n, pct, common), "token long, cid long, size int, is_common boolean, is_inner boolean, last long"), "post")
+    # tokens that two classes have.  Rare ones: one shuffle, a token's classes meet in one
+    # small window; common ones, which only near-copy groups have in a prefix, are grouped
+    # with map-side combining and a join that may be split
+    over = "OVER (PARTITION BY token)"
+    rare = post.where("NOT is_common").selectExpr("token", "cid", "size", "is_inner", f"min(cid) {over} AS lo", f"max(cid) {over} AS hi")
+    often = post.where("is_common").distinct()
+    tops = often.groupBy("token").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo <> hi")
+    often = often.join(tops, "token").select("token", "cid", "size", "is_inner", "lo", "hi")
+    met = written(rare.union(often).where("lo <> hi").select("token", "cid", "size", "is_inner"), "met")
+    # the most that a class can share with one whose prefix ends later: all but those prefix
+    # tokens that no other prefix has.  A pair needs one class that can reach the threshold
+    # so, hence a token without such a class links nobody
+    own = f"size - ({pct}L * size + 99) div 100 + 1 + {_extra_sql('size', pct)}"
+    ends = post.where("last IS NOT NULL").groupBy("cid").agg(F.max("last").alias("last"))
+    can = met.groupBy("cid", "size").agg(F.count(F.lit(1)).alias("k")).selectExpr("cid", f"least(size, size - ({own}) + k) AS most").join(ends, "cid")
+    met = met.join(maybe_broadcast(written(can, "can"), 32), "cid")
+    met = written(met.join(met.where(f"100L * most >= {pct}L * size").select("token").distinct(), "token", "left_semi"), "met")
 
     sets, links = _Sets(d, members, n, pct, common), None
-    after = "({0} < {1} OR ({0} = {1} AND {2} < {3}))"
-    for turn in range(3):
-        if turn == 0:
-            more = met.where(after.format("pivot_size", "size", "pivot", "cid")).selectExpr("pivot AS a", "pivot_size AS na", "cid AS b", "size AS nb")
+    for last in (False, True):
+        if not last:
+            # every class against the token's most central one: the one with the least of its own
+            centre = met.where("is_inner").groupBy("token").agg(F.min(F.struct((F.col("size") - F.col("most")).alias("own"), "cid", "size", "most", "last")).alias("c"))
+            more = met.join(centre.selectExpr("token", "c.cid AS x", "c.size AS nx", "c.most AS mx", "c.last AS lx", "true AS ix"), "token")
         else:
             comp = components(links).withColumnRenamed("node", "cid")
-            lab = met.drop("pivot", "pivot_size").join(maybe_broadcast(comp, 24), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
-            # tokens with two components or more, and each token's largest one
-            per = lab.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"), F.min(F.expr("CASE WHEN is_inner THEN struct(xxhash64(cid, token) AS h, cid, size) END")).alias("pv"))
-            open_ = per.groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("m", "comp")).alias("main"), F.min(F.expr("CASE WHEN pv IS NOT NULL THEN struct(pv.h AS h, pv.cid AS cid, pv.size AS size, comp) END")).alias("pv"))
-            open_ = written(open_.where("comps > 1").selectExpr("token", "main.comp AS main", "pv"), "open")
-            if turn == 1:
-                more = lab.join(open_.selectExpr("token", "pv.cid AS a", "pv.size AS na", "pv.comp AS ca"), "token").where("comp <> ca AND " + after.format("na", "size", "a", "cid"))
-                more = more.selectExpr("a", "na", "cid AS b", "size AS nb")
-            else:
-                # every pair of two components has an end outside the token's largest one
-                lab = lab.join(open_.select("token", "main"), "token")
-                out = lab.where("comp <> main").selectExpr("token", "cid AS x", "size AS nx", "is_inner AS ix", "comp AS cx")
-                more = lab.join(out, "token").where("cx <> comp AND (comp = main OR x < cid)")
-                smaller = F.expr(after.format("nx", "size", "x", "cid"))
-                more = more.where(F.when(smaller, F.col("ix")).otherwise(F.col("is_inner")))
-                more = more.select(*[F.when(smaller, F.col(p)).otherwise(F.col(q)).alias(c) for c, p, q in (("a", "x", "cid"), ("na", "nx", "size"), ("b", "cid", "x"), ("nb", "size", "nx"))])
-        more = written(_pairs(more, pct), "pairs")
+            lab = met.join(maybe_broadcast(comp, 24), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
+            # tokens with two components or more, and each token's largest one; every pair
+            # of two components has an end outside it
+            per = lab.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
+            open_ = per.groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("m", "comp")).alias("main"))
+            lab = lab.join(open_.where("comps > 1").selectExpr("token", "main.comp AS main"), "token")
+            out = lab.where("comp <> main").selectExpr("token", "cid AS x", "size AS nx", "most AS mx", "last AS lx", "is_inner AS ix", "comp AS cx")
+            more = lab.join(out, "token").where("cx <> comp AND (comp = main OR x < cid)")
+        more = written(_meet(more, pct), "pairs")
         found = _verify(more, sets.of(more), pct)
         links = written(found if links is None else links.union(found), "links")
     return members, links
