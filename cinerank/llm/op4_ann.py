@@ -10,9 +10,11 @@ How many leaves to visit is calibrated: for a bounded set of queries the true
 neighbours are found by brute force over all rows, and the visits are widened
 to the smallest number at which the measured recall reaches ``recall``.
 
-Queries meet rows by leaf in blocks: a leaf's rows are cut into blocks of at most
-``block_rows`` and its queries into chunks, so neither a crowded leaf nor a
-popular query region ends in one task.  Equal vectors are one candidate with
+Leaves stand on shelves of about ``shelf_rows`` rows.  Queries meet rows by shelf:
+a query goes once to each shelf that holds leaves it visits, is multiplied with
+those leaves only, and leaves with one list.  A crowded shelf's rows are cut into
+blocks and its queries into chunks, so neither a crowded leaf nor a popular query
+region ends in one task.  Equal vectors are one candidate with
 their smallest ``k + 1`` ids (no other id of theirs can be among the nearest) and
 one query, so a vector that a third of all rows share costs as much as any other.
 Scores are the exact double-precision inner products of the original vectors.
@@ -41,6 +43,10 @@ from cinerank.llm.common import maybe_broadcast, written
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+#: Queries multiplied at once inside a task: with a shelf's rows this bounds the score matrix.
+QUERY_ROWS = 64
+
+
 def _lift(x: np.ndarray, top: float) -> np.ndarray:
     y = x / top
     return np.hstack([y, np.sqrt(np.maximum(0.0, 1.0 - (y * y).sum(1)))[:, None]])
@@ -123,14 +129,14 @@ def _lifted_queries(vecs, top: float) -> np.ndarray:
     return np.hstack([q, np.zeros((len(q), 1))])
 
 
-def _best(q: np.ndarray, x: np.ndarray, first_id: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of ``x`` nearest to ``q`` by (score down, id up), and their exact scores."""
-    rough = x @ q
+def _best(rough: np.ndarray, q: np.ndarray, x: np.ndarray, first_id: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``x`` nearest to ``q`` by (score down, id up), and their exact scores; ``rough`` has the
+    products, or -inf for rows that take no part."""
     if len(rough) > k:
         edge = np.partition(rough, len(rough) - k)[len(rough) - k]
-        rows = np.flatnonzero(rough >= edge - 1e-9 * (1.0 + abs(edge)))
+        rows = np.flatnonzero((rough >= edge - 1e-9 * (1.0 + abs(edge))) & (rough > -np.inf))
     else:
-        rows = np.arange(len(rough))
+        rows = np.flatnonzero(rough > -np.inf)
     score = (x[rows] * q[None, :]).sum(axis=1)  # row by row, so equal vectors score equally anywhere
     by = np.lexsort((first_id[rows], -score))[:k]
     return rows[by], score[by]
@@ -144,7 +150,7 @@ def _usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return v.where(F.size("vec") == (sizes[0]["d"] if sizes else 0))
 
 
-def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, recall: float = 0.97, sample: int = 32_768, branch: int = 8, rows_per_leaf: int = 512, leaf_rows: int = 16, calibrate: int = 256, block_rows: int = 4096) -> DataFrame:
+def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, recall: float = 0.97, sample: int = 32_768, branch: int = 8, rows_per_leaf: int = 512, leaf_rows: int = 16, calibrate: int = 256, shelf_rows: int = 16_384) -> DataFrame:
     """``query_id, rank, vec_id, score``; ``is_query`` is a condition on the column ``id``.
 
     The tree stops splitting when a leaf would hold about ``rows_per_leaf`` rows of the whole table
@@ -188,7 +194,7 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str
             if len(pdf) == 0:
                 continue
             x, first = np.stack(pdf["vec"].to_list()), np.array([i[0] for i in pdf["ids"]])
-            got = [_best(q, x, first, k + 1) for q in pq.value]
+            got = [_best(x @ q, q, x, first, k + 1) for q in pq.value]
             yield pd.DataFrame({"q": np.repeat(np.arange(len(got)), [len(r) for r, _ in got]), "leaf": np.concatenate([pdf["leaf"].to_numpy()[r] for r, _ in got]), "first": np.concatenate([first[r] for r, _ in got]), "score": np.concatenate([s for _, s in got])})
 
     best = Window.partitionBy("q").orderBy(F.desc("score"), "first")
@@ -208,29 +214,45 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str
             got = [tree.walk(q, visits) for q in _lifted_queries(pdf["vec"].to_list(), top)]
             yield pdf.assign(leaf=got)
 
-    ask = asked.mapInPandas(plan, "h1 long, h2 long, vec array<double>, leaf array<long>").withColumn("leaf", F.explode("leaf"))
-    ask = written(ask, "visits")
-    # blocks of rows and chunks of queries per leaf (at most one line per leaf)
-    size = rows.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks")).join(ask.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("chunks")), "leaf")
-    size = F.broadcast(written(size, "cuts"))
-    left = ask.join(size, "leaf").select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.pmod("h1", "chunks").alias("chunk"), "h1", "h2", "vec")
-    right = rows.join(size, "leaf").select("leaf", F.pmod("h2", "blocks").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "vec", "ids")
+    shelves = max(1, min(leaves, math.ceil(n / shelf_rows)))
+    ask = asked.mapInPandas(plan, "h1 long, h2 long, vec array<double>, leaf array<long>")
+    ask = ask.withColumn("shelf", F.explode(F.array_distinct(F.transform("leaf", lambda x: x % shelves))))
+    ask = written(ask.withColumn("leaf", F.filter("leaf", lambda x: x % shelves == F.col("shelf"))), "visits")
+    rows = rows.withColumn("shelf", F.col("leaf") % shelves)
+    # blocks of rows and chunks of queries per shelf (at most one line per leaf)
+    cut = lambda df, c: df.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / shelf_rows).alias(c))
+    size = F.broadcast(written(cut(rows, "blocks").join(cut(ask, "chunks"), "shelf"), "cuts"))
+    left = ask.join(size, "shelf").select("shelf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.pmod("h1", "chunks").alias("chunk"), "h1", "h2", "vec", "leaf")
+    right = rows.join(size, "shelf").select("shelf", F.pmod("h2", "blocks").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "leaf", "vec", "ids")
 
     def meet(qs: pd.DataFrame, xs: pd.DataFrame) -> pd.DataFrame:
         out = {c: [] for c in ("h1", "h2", "score", "first", "ids")}
         if len(qs) and len(xs):
-            x, ids = np.stack(xs["vec"].to_list()), xs["ids"].to_numpy()
+            xs = xs.sort_values("leaf", kind="stable")
+            x, ids, leaf = np.stack(xs["vec"].to_list()), xs["ids"].to_numpy(), xs["leaf"].to_numpy()
             first = np.array([i[0] for i in ids])
-            for h1, h2, q in zip(qs["h1"], qs["h2"], qs["vec"]):
-                r, s = _best(np.asarray(q, dtype=np.float64), x, first, k + 1)
-                out["h1"] += [h1] * len(r)
-                out["h2"] += [h2] * len(r)
-                out["score"] += s.tolist()
-                out["first"] += first[r].tolist()
-                out["ids"] += list(ids[r])
+            names, starts = np.unique(leaf, return_index=True)
+            ends = np.append(starts[1:], len(leaf))
+            h1s, h2s = qs["h1"].to_numpy(), qs["h2"].to_numpy()
+            for at in range(0, len(qs), QUERY_ROWS):
+                q = np.stack(qs["vec"].iloc[at : at + QUERY_ROWS].to_list()).astype(np.float64)
+                visits = qs["leaf"].iloc[at : at + QUERY_ROWS].to_list()
+                goes = np.array([np.isin(names, v) for v in visits])
+                rough = np.full((len(q), len(x)), -np.inf)
+                for j in range(len(names)):
+                    who = np.flatnonzero(goes[:, j])
+                    if len(who):
+                        rough[who, starts[j] : ends[j]] = q[who] @ x[starts[j] : ends[j]].T
+                for i in range(len(q)):
+                    r, s = _best(rough[i], q[i], x, first, k + 1)
+                    out["h1"] += [h1s[at + i]] * len(r)
+                    out["h2"] += [h2s[at + i]] * len(r)
+                    out["score"] += s.tolist()
+                    out["first"] += first[r].tolist()
+                    out["ids"] += list(ids[r])
         return pd.DataFrame(out)
 
-    key = ["leaf", "block", "chunk"]
+    key = ["shelf", "block", "chunk"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(meet, "h1 long, h2 long, score double, first long, ids array<long>")
     top_vec = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), "first")
     found = found.withColumn("rn", F.row_number().over(top_vec)).where(F.col("rn") <= k + 1)

@@ -83,7 +83,7 @@ def test_search_recall_and_exact_scores(spark):
     df = read(spark, "embeddings")
     pdf = df.toPandas().sort_values("vec_id")
     ids, x = pdf.vec_id.to_numpy(), np.stack(pdf.embedding.to_list()).astype(np.float64)
-    out = op4.search(df, F.col("id") % 20 == 0, leaf_rows=8, rows_per_leaf=1, branch=4, sample=200, block_rows=16, calibrate=20).toPandas()
+    out = op4.search(df, F.col("id") % 20 == 0, leaf_rows=8, rows_per_leaf=1, branch=4, sample=200, shelf_rows=16, calibrate=20).toPandas()
     hit = tot = 0
     for q in np.flatnonzero(ids % 20 == 0):
         got = out[out.query_id == ids[q]].sort_values("rank")
@@ -99,7 +99,7 @@ def test_search_ties_equal_vectors_and_unusable_rows(spark):
     rows = [(i, [1.0, 0.0, 0.0]) for i in range(0, 300)] + [(1000 + i, [0.5, float(i % 7), 1.0]) for i in range(50)]
     bad = [(None, [1.0, 0.0, 0.0]), (2000, None), (2001, [0.0, 0.0, 0.0]), (2002, [1.0, None, 0.0]), (2003, [float("nan"), 1.0, 0.0]), (2004, [1.0]), (2005, [float("inf"), 0.0, 0.0])]
     df = spark.createDataFrame(rows + bad + [rows[0]], "vec_id long, embedding array<double>")
-    out = op4.search(df, F.col("id") % 20 == 0, k=5, recall=1.0, block_rows=8, leaf_rows=2, rows_per_leaf=1, branch=2).collect()
+    out = op4.search(df, F.col("id") % 20 == 0, k=5, recall=1.0, shelf_rows=8, leaf_rows=2, rows_per_leaf=1, branch=2).collect()
     ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
     for q in np.flatnonzero(ids % 20 == 0):
         got = [(r.vec_id, r.score) for r in sorted((r for r in out if r.query_id == ids[q]), key=lambda r: r.rank)]
