@@ -11,7 +11,9 @@ Candidates.  Equal paragraphs (by a 64-bit hash of their words) are one from the
 start, counted with map-side combining however many documents hold them.  Each
 paragraph has a MinHash signature of its five-word shingles, cut into bands; ``tune_bands`` picks the rows per band so that a pair at the threshold
 collides with the asked recall.  A band's paragraphs are paired with the band's
-smallest one (m - 1 pairs, not all).
+smallest one (m - 1 pairs, not all); once the verified pairs are contracted, those
+of a band that are still in different components are compared as well, dealt by
+the rare shingles that a pair at the threshold must share (an exact filter).
 
 Verification and clusters.  Pairs are verified by the exact Jaccard similarity of
 their shingle sets (``100 * common >= pct * union``), and verified pairs are
@@ -145,6 +147,38 @@ def _shingle_lists(reach: int):
     return run
 
 
+def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+    """The pairs (a, b) whose shingle sets reach the threshold."""
+    side = lambda c: sets.select(F.col("p").alias(c), F.col("tokens").alias(f"t{c}"))
+    both = F.size(F.array_intersect("ta", "tb"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= pct * (F.size("ta") + F.size("tb") - both)).select("a", "b")
+
+
+def _still_apart(band: DataFrame, comp: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+    """Distinct pairs (a, b) of a band in different components that can reach the threshold.
+
+    Such a pair shares one of the rarest ``n - ceil(pct * n / 100) + 1`` shingles of either, so a
+    band is dealt by these; of two components one is not the group's largest.
+    """
+
+    def groups(df: DataFrame, *key: str) -> DataFrame:
+        per = df.groupBy(*key, "comp").agg(F.count(F.lit(1)).alias("m"))
+        most = per.groupBy(*key).agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("m", "comp")).alias("main"))
+        return df.join(most.where("comps > 1").select(*key, F.col("main.comp").alias("main")), [*key])
+
+    lab = band.join(maybe_broadcast(comp.withColumnRenamed("node", "p"), 24), "p", "left").withColumn("comp", F.coalesce("root", "p")).drop("root")
+    lab = written(groups(lab, "band").drop("main"), "open")
+    some = sets.join(maybe_broadcast(written(lab.select("p").distinct(), "open"), 16), "p", "left_semi")
+    tok = some.select("p", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    df = written(tok.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "df")
+    rank = F.row_number().over(Window.partitionBy("p").orderBy("df", "token"))
+    pre = tok.join(maybe_broadcast(df, 24), "token").withColumn("rn", rank).where(f"rn <= n - ({pct}L * n + 99) div 100 + 1").select("p", "n", "token")
+    met = written(groups(lab.join(pre, "p"), "band", "token"), "met")
+    out = met.where("comp <> main").selectExpr("band", "token", "p AS x", "n AS nx", "comp AS cx")
+    more = met.join(out, ["band", "token"]).where("cx <> comp AND (comp = main OR x < p)")
+    return more.where(f"100L * least(n, nx) >= {pct}L * greatest(n, nx)").selectExpr("p AS a", "x AS b").distinct()
+
+
 def repeated_spans(docs: DataFrame, pct: int = 80, min_words: int = 25, reach: int = 6, hashes: int = 6, recall: float = 0.95) -> DataFrame:
     """``doc_id, first_word, n_words, n_paragraphs, cluster_docs, removed``: one row per repeated span,
     with the most documents that share a paragraph of it."""
@@ -155,18 +189,19 @@ def repeated_spans(docs: DataFrame, pct: int = 80, min_words: int = 25, reach: i
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("row"), text.alias("text"))
     par = written(d.mapInArrow(_paragraphs(reach), "doc_id long, row long, pos int, words int, p long"), "paragraphs")
 
-    # a band's paragraphs against its smallest one; equal paragraphs come once per slice of texts
+    # equal paragraphs come once per slice of texts; only bands with two distinct ones matter
     spot = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("d"), "row", "pos")
+    over = "OVER (PARTITION BY band)"
     band = d.select("text").mapInArrow(_bands(reach, bands, rows), "band long, p long")
-    band = band.withColumn("q", F.min("p").over(Window.partitionBy("band"))).where("p <> q")
-    pairs = written(band.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), "pairs")
-    ask = pairs.select(F.col("a").alias("p")).union(pairs.select(F.col("b").alias("p"))).distinct()
+    band = written(band.selectExpr("band", "p", f"min(p) {over} AS lo", f"max(p) {over} AS hi").where("lo <> hi").select("band", "p", "lo").distinct(), "bands")
     lists = d.select("text").mapInArrow(_shingle_lists(reach), "p long, tokens array<long>")
-    sets = lists.join(maybe_broadcast(written(ask, "asked"), 16), "p", "left_semi").dropDuplicates(["p"])
+    sets = lists.join(maybe_broadcast(written(band.select("p").distinct(), "asked"), 16), "p", "left_semi").dropDuplicates(["p"])
     sets = written(sets.select("p", F.array_distinct("tokens").alias("tokens")), "sets")
-    side = lambda c: sets.select(F.col("p").alias(c), F.col("tokens").alias(f"t{c}"))
-    both = F.size(F.array_intersect("ta", "tb"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= pct * (F.size("ta") + F.size("tb") - both)).select("a", "b")
+    # every paragraph against its band's smallest one, then what these links leave apart
+    near = _verified(written(band.where("p <> lo").selectExpr("p AS a", "lo AS b").distinct(), "pairs"), sets, pct)
+    near = written(near, "near")
+    rest = written(_still_apart(band.where("p <> lo").select("band", "p"), components(near), sets, pct), "pairs")
+    near = near.union(_verified(rest, sets, pct))
     comp = components(near)
 
     lab = par.join(maybe_broadcast(comp.withColumnRenamed("node", "p"), 24), "p", "left").withColumn("c", F.coalesce("root", "p")).select("doc_id", "row", "pos", "words", "c")

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from cinerank.llm import op1_substring as op1
@@ -68,6 +69,35 @@ def test_paragraphs_do_not_depend_on_the_batch(make):
     assert a == b and a
 
 
+def one_paragraph(words, reach):
+    """A text of these words that is a single paragraph, found by trying other first words."""
+    rng = random.Random(len(words))
+    while True:
+        buf = np.frombuffer(" ".join(words).encode(), np.uint8)
+        if len(op1._Cut(buf, np.array([0, len(buf)]), reach).first) == 1:
+            return words
+        words = prose(rng, 2) + words[2:]
+
+
+def test_pairs_that_share_a_band_link_whatever_its_smallest_paragraph_is(make):
+    rng = random.Random(3)
+    rows, close = [], set()
+    for g in range(12):
+        base = one_paragraph(prose(rng, 30), 50)
+        last = base[:-1]
+        while len(last) < 30 or one_paragraph(last, 50) != last:  # 25 of 27 shingles
+            last = base[:-1] + prose(rng, 1)
+        rows += [(100 * g, " ".join(base)), (100 * g + 1, " ".join(last))]
+        close |= {100 * g, 100 * g + 1}
+        for k in range(40):  # 16 of 36 with the first
+            w = list(base)
+            while w == base or one_paragraph(w, 50) != w:
+                w[6 + k % 6], w[16 + k % 6] = prose(rng, 2)
+            rows.append((100 * g + 2 + k, " ".join(w)))
+    out = op1.repeated_spans(make(rows), min_words=1, reach=50).collect()
+    assert {r.doc_id for r in out} == close
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100)] + [(500, k) for k in range(501, 560)] + [(9, 9), (None, 4), (700, 701), (701, 700)]
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
