@@ -18,10 +18,10 @@ the rare shingles that a pair at the threshold must share (an exact filter).
 Verification and clusters.  Pairs are verified by the exact Jaccard similarity of
 their shingle sets (``100 * common >= pct * union``), and verified pairs are
 clustered by connected components.  A cluster found more than once is repeated
-text; neighbouring repeated paragraphs of a document (with at most one short
-paragraph between them) join to spans, and spans of ``min_words`` words or more
-are the result.  A span is removed unless some paragraph of it is the cluster's first
-occurrence (smallest document, then position), so one copy of every passage stays.
+text.  Every occurrence but the cluster's first (smallest document, then position)
+is removed, so one copy of every passage stays; neighbouring repeated paragraphs
+of a document (with at most one short paragraph between them) that are alike in
+this join to spans, and spans of ``min_words`` words or more are the result.
 
 Defined results: null text equals empty text, which has no paragraph; texts
 shorter than a paragraph are one; repeats inside one document count as repeats;
@@ -147,6 +147,47 @@ def _shingle_lists(reach: int):
     return run
 
 
+def _cut_spans(hits, gap: int):
+    """(first word, words, paragraphs, most documents, removed) spans of one text's hits
+    (position, words, is first, documents): neighbours at most ``gap`` words apart and alike in
+    being removed.  A word goes when any hit on it is not the cluster's first."""
+    hits = sorted(hits)
+    ends = sorted({x for p, n, _, _ in hits for x in (p, p + n)})
+    spans, live, at = [], [], 0
+    for lo, hi in zip(ends, ends[1:]):
+        live = [h for h in live if h[0] + h[1] > lo]
+        opened = 0
+        while at < len(hits) and hits[at][0] == lo:
+            live.append(hits[at])
+            at, opened = at + 1, opened + 1
+        if not live:
+            continue
+        removed, docs = not all(h[2] for h in live), max(h[3] for h in live)
+        s = spans[-1] if spans else None
+        if s and s[4] == removed and lo - s[5] <= gap:
+            spans[-1] = (s[0], s[1] + hi - lo, s[2] + opened, max(s[3], docs), removed, hi)
+        else:
+            spans.append((lo, hi - lo, opened, docs, removed, hi))
+    return [s[:5] for s in spans]
+
+
+def _spans(gap: int):
+    names = ["first_word", "n_words", "n_paragraphs", "cluster_docs"]
+
+    def run(batches):
+        for rb in batches:
+            got, doc = [], []
+            for i, hits in enumerate(rb.column(rb.schema.get_field_index("hits"))):
+                mine = _cut_spans([(h["pos"], h["words"], h["first"], h["docs"]) for h in hits.as_py()], gap)
+                got += mine
+                doc += [i] * len(mine)
+            cols = [rb.column(rb.schema.get_field_index("doc_id")).take(pa.array(doc, pa.int64()))]
+            cols += [pa.array([g[k] for g in got], pa.int64()) for k in range(4)] + [pa.array([g[4] for g in got], pa.bool_())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", *names, "removed"])
+
+    return run
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets reach the threshold."""
     side = lambda c: sets.select(F.col("p").alias(c), F.col("tokens").alias(f"t{c}"))
@@ -181,7 +222,7 @@ def _still_apart(band: DataFrame, comp: DataFrame, sets: DataFrame, pct: int) ->
 
 def repeated_spans(docs: DataFrame, pct: int = 80, min_words: int = 25, reach: int = 6, hashes: int = 6, recall: float = 0.95) -> DataFrame:
     """``doc_id, first_word, n_words, n_paragraphs, cluster_docs, removed``: one row per repeated span,
-    with the most documents that share a paragraph of it."""
+    with the most documents that share a paragraph of it and whether all of it is removed or all stays."""
     if not 1 <= pct <= 100 or min_words < 1 or reach < 1:
         raise ValueError("pct must be in 1..100, min_words and reach at least 1")
     bands, rows = tune_bands(pct, hashes, recall)
@@ -212,13 +253,6 @@ def repeated_spans(docs: DataFrame, pct: int = 80, min_words: int = 25, reach: i
     many = hit.select("c", "doc_id", "row").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("docs"))
     cl = written(cl.join(many, "c").select("c", "s", "docs"), "clusters")
     hit = hit.join(maybe_broadcast(cl, 56), "c").withColumn("first", spot == F.col("s")).drop("s")
-    # neighbouring hits, at most one short paragraph apart, are one span
-    order = Window.partitionBy("doc_id", "row").orderBy("pos")
-    gap = F.col("pos") - F.lag(F.col("pos") + F.col("words")).over(order)
-    hit = hit.withColumn("new", F.when(gap.isNull() | (gap > 4 * reach), 1).otherwise(0))
-    hit = hit.withColumn("span", F.sum("new").over(order))
-    out = hit.groupBy("doc_id", "row", "span").agg(
-        F.min("pos").cast("long").alias("first_word"), F.sum("words").alias("n_words"), F.count(F.lit(1)).alias("n_paragraphs"),
-        F.max("docs").alias("cluster_docs"), (~F.bool_or("first")).alias("removed"),
-    )
-    return out.where(F.col("n_words") >= min_words).select("doc_id", "first_word", "n_words", "n_paragraphs", "cluster_docs", "removed")
+    per = hit.groupBy("doc_id", "row").agg(F.collect_list(F.struct("pos", "words", "first", "docs")).alias("hits"))
+    out = per.mapInArrow(_spans(4 * reach), "doc_id long, first_word long, n_words long, n_paragraphs long, cluster_docs long, removed boolean")
+    return out.where(F.col("n_words") >= min_words)

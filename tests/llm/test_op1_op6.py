@@ -69,6 +69,18 @@ def test_paragraphs_do_not_depend_on_the_batch(make):
     assert a == b and a
 
 
+def test_an_old_passage_is_removed_next_to_one_that_opens_here(make):
+    rng = random.Random(5)
+    old, new = prose(rng, 120), prose(rng, 120)
+    own = [prose(rng, 80) for _ in range(3)]
+    texts = [own[0] + old, own[1] + old + new, new + own[2]]
+    out = op1.repeated_spans(make([(i, " ".join(t)) for i, t in enumerate(texts)])).collect()
+    got = sorted((r.doc_id, r.removed) for r in out)
+    assert got == [(0, False), (1, False), (1, True), (2, True)]
+    gone = next(r for r in out if r.doc_id == 1 and r.removed)
+    assert 80 <= gone.first_word and gone.first_word + gone.n_words <= 200 and gone.n_words > 60
+
+
 def one_paragraph(words, reach):
     """A text of these words that is a single paragraph, found by trying other first words."""
     rng = random.Random(len(words))
