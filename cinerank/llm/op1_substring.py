@@ -23,6 +23,12 @@ is removed, so one copy of every passage stays; neighbouring repeated paragraphs
 of a document (with at most one short paragraph between them) that are alike in
 this join to spans, and spans of ``min_words`` words or more are the result.
 
+Passages.  The paragraphs at a passage's ends also hold words around it, so what is
+left can be short.  Anchors therefore repeat the search by exact runs of
+``min(min_words, 25)`` words, of which every verbatim passage of ``PASSAGE`` words has
+one in all its copies (winnowing); an anchor is a cluster like a paragraph, and
+both make up the spans.  A repeat of fewer words may fall below ``min_words``.
+
 Defined results: null text equals empty text, which has no paragraph; texts
 shorter than a paragraph are one; repeats inside one document count as repeats;
 rows with a null ``doc_id`` take part and are reported under null; rows alike in
@@ -45,6 +51,9 @@ from cinerank.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Verbatim passages of so many words are found wherever paragraphs end, by an anchor of at most ANCHOR words.
+PASSAGE, ANCHOR = 51, 25
+
 
 def tune_bands(pct: int, hashes: int, recall: float) -> tuple[int, int]:
     """(bands, rows): the most selective banding of ``hashes`` MinHashes that finds a pair at the
@@ -75,6 +84,30 @@ def _starts(h: np.ndarray, offs: np.ndarray, reach: int) -> np.ndarray:
     return np.flatnonzero(opens)
 
 
+def _anchors(h: np.ndarray, offs: np.ndarray, size: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first words, hashes) of runs of ``size`` words such that every passage of ``whole`` words has one
+    that depends on the passage alone: the least hash of each ``whole - size + 1`` neighbouring runs.
+
+    A run of one word over and over is none.
+    """
+    width = whole - size + 1
+    if len(h) < whole:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    s = np.zeros(len(h) - size + 1, dtype=np.uint64)
+    for k in range(size):
+        s += h[k : len(h) - size + 1 + k] * _WORD_MUL[k]
+    s = mix64(s ^ _WORD_MUL[63])
+    alike = np.concatenate([[0], np.cumsum(h[1:] == h[:-1])])
+    plain = alike[size - 1 :] - alike[: len(alike) - size + 1] == size - 1
+    key = np.where(plain, np.uint64(2**64 - 1), s)
+    first = np.arange(len(key) - width + 1)
+    least = first + np.lib.stride_tricks.sliding_window_view(key, width).argmin(axis=1)
+    end = np.repeat(offs[1:], np.diff(offs))
+    at = np.unique(least[first + whole <= end[first]])
+    at = at[~plain[at]]
+    return at, s[at]
+
+
 class _Cut:
     """Paragraphs of a run of texts: word ranges, text numbers, hashes."""
 
@@ -99,13 +132,18 @@ class _Range:
         self.hash, self.offs = h, offs
 
 
-def _paragraphs(reach: int):
+def _paragraphs(reach: int, size: int):
+    """Paragraphs, and the anchors (``whole`` false) of ``size`` words."""
+
     def run(batches):
         for rb, buf, offs in text_slices(batches):
             c = _Cut(buf, offs, reach)
-            cols = [rb.column(rb.schema.get_field_index(x)).take(pa.array(c.doc)) for x in ("doc_id", "row")]
-            cols += [pa.array(c.pos.astype(np.int32)), pa.array((c.last - c.first).astype(np.int32)), pa.array(c.hash.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "row", "pos", "words", "p"])
+            at, key = _anchors(c.w.hash, c.w.offs, size, max(PASSAGE, size))
+            doc = np.searchsorted(c.w.offs, at, side="right") - 1
+            cols = [rb.column(rb.schema.get_field_index(x)).take(pa.array(np.concatenate([c.doc, doc]))) for x in ("doc_id", "row")]
+            cols += [pa.array(np.concatenate([c.pos, at - c.w.offs[doc]]).astype(np.int32)), pa.array(np.concatenate([c.last - c.first, np.full(len(at), size)]).astype(np.int32))]
+            cols += [pa.array(np.concatenate([c.hash, key]).view(np.int64)), pa.array(np.arange(len(c.hash) + len(at)) < len(c.hash))]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "row", "pos", "words", "p", "whole"])
 
     return run
 
@@ -149,17 +187,17 @@ def _shingle_lists(reach: int):
 
 def _cut_spans(hits, gap: int):
     """(first word, words, paragraphs, most documents, removed) spans of one text's hits
-    (position, words, is first, documents): neighbours at most ``gap`` words apart and alike in
+    (position, words, is first, documents, is a paragraph and no anchor): neighbours at most ``gap`` words apart and alike in
     being removed.  A word goes when any hit on it is not the cluster's first."""
     hits = sorted(hits)
-    ends = sorted({x for p, n, _, _ in hits for x in (p, p + n)})
+    ends = sorted({x for p, n, *_ in hits for x in (p, p + n)})
     spans, live, at = [], [], 0
     for lo, hi in zip(ends, ends[1:]):
         live = [h for h in live if h[0] + h[1] > lo]
         opened = 0
         while at < len(hits) and hits[at][0] == lo:
             live.append(hits[at])
-            at, opened = at + 1, opened + 1
+            at, opened = at + 1, opened + hits[at][4]
         if not live:
             continue
         removed, docs = not all(h[2] for h in live), max(h[3] for h in live)
@@ -178,7 +216,7 @@ def _spans(gap: int):
         for rb in batches:
             got, doc = [], []
             for i, hits in enumerate(rb.column(rb.schema.get_field_index("hits"))):
-                mine = _cut_spans([(h["pos"], h["words"], h["first"], h["docs"]) for h in hits.as_py()], gap)
+                mine = _cut_spans([(h["pos"], h["words"], h["first"], h["docs"], h["whole"]) for h in hits.as_py()], gap)
                 got += mine
                 doc += [i] * len(mine)
             cols = [rb.column(rb.schema.get_field_index("doc_id")).take(pa.array(doc, pa.int64()))]
@@ -228,7 +266,7 @@ def repeated_spans(docs: DataFrame, pct: int = 80, min_words: int = 25, reach: i
     bands, rows = tune_bands(pct, hashes, recall)
     text = F.col("text").cast("string")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("row"), text.alias("text"))
-    par = written(d.mapInArrow(_paragraphs(reach), "doc_id long, row long, pos int, words int, p long"), "paragraphs")
+    par = written(d.mapInArrow(_paragraphs(reach, min(min_words, ANCHOR)), "doc_id long, row long, pos int, words int, p long, whole boolean"), "paragraphs")
 
     # equal paragraphs come once per slice of texts; only bands with two distinct ones matter
     spot = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("d"), "row", "pos")
@@ -245,14 +283,14 @@ def repeated_spans(docs: DataFrame, pct: int = 80, min_words: int = 25, reach: i
     near = near.union(_verified(rest, sets, pct))
     comp = components(near)
 
-    lab = par.join(maybe_broadcast(comp.withColumnRenamed("node", "p"), 24), "p", "left").withColumn("c", F.coalesce("root", "p")).select("doc_id", "row", "pos", "words", "c")
+    lab = par.join(maybe_broadcast(comp.withColumnRenamed("node", "p"), 24), "p", "left").withColumn("c", F.coalesce("root", "p")).select("doc_id", "row", "pos", "words", "c", "whole")
     # clusters met more than once, first by a plain count, then without the repeats of alike rows
     often = written(lab.groupBy("c").count().where("count > 1").select("c"), "often")
-    hit = written(lab.join(maybe_broadcast(often, 16), "c").dropDuplicates(["doc_id", "row", "pos"]), "hits")
+    hit = written(lab.join(maybe_broadcast(often, 16), "c").dropDuplicates(["doc_id", "row", "pos", "whole"]), "hits")
     cl = hit.groupBy("c").agg(F.min(spot).alias("s"), F.count(F.lit(1)).alias("n")).where("n > 1")
     many = hit.select("c", "doc_id", "row").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("docs"))
     cl = written(cl.join(many, "c").select("c", "s", "docs"), "clusters")
     hit = hit.join(maybe_broadcast(cl, 56), "c").withColumn("first", spot == F.col("s")).drop("s")
-    per = hit.groupBy("doc_id", "row").agg(F.collect_list(F.struct("pos", "words", "first", "docs")).alias("hits"))
+    per = hit.groupBy("doc_id", "row").agg(F.collect_list(F.struct("pos", "words", "first", "docs", "whole")).alias("hits"))
     out = per.mapInArrow(_spans(4 * reach), "doc_id long, first_word long, n_words long, n_paragraphs long, cluster_docs long, removed boolean")
     return out.where(F.col("n_words") >= min_words)

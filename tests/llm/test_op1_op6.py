@@ -81,6 +81,19 @@ def test_an_old_passage_is_removed_next_to_one_that_opens_here(make):
     assert 80 <= gone.first_word and gone.first_word + gone.n_words <= 200 and gone.n_words > 60
 
 
+def test_every_verbatim_passage_of_51_words_is_reported(make):
+    rng = random.Random(6)
+    rows = []
+    for g in range(150):
+        passage = prose(rng, 51)
+        for k in range(2):
+            rows.append((2 * g + k, " ".join(prose(rng, rng.randrange(80)) + passage + prose(rng, rng.randrange(80)))))
+    out = op1.repeated_spans(make(rows)).collect()
+    assert {(r.doc_id, r.removed) for r in out} == {(i, i % 2 == 1) for i in range(300)}
+    # an end paragraph with a word or two around the passage may still be similar enough
+    assert all(25 <= r.n_words <= 60 and r.cluster_docs == 2 for r in out)
+
+
 def one_paragraph(words, reach):
     """A text of these words that is a single paragraph, found by trying other first words."""
     rng = random.Random(len(words))
