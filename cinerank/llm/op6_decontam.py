@@ -1,7 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
-Numbers, names (capitalised words that do not open a sentence) and units become
-typed placeholders, A-Z is lower-cased and punctuation dropped, so a benchmark
+Numbers (with the sign or currency before them), names and units become typed
+placeholders; names are capitalised words, also where they open a sentence unless
+they are in a fixed list of words that do (not by the rest of the text, on which an
+item's template must not depend).  A-Z is lower-cased and punctuation dropped, so a benchmark
 question and its re-parameterised variants have the same template.  Hashes of
 all ``n``-word template windows of every whole text are hash-joined with the
 windows of the benchmark; a rolling hash built by doubling (1, 2, 4, 8 words ...)
@@ -28,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cinerank.functions.text import english_stop_words
 from cinerank.llm.common import maybe_broadcast, written
 
 #: Placeholders, white space and punctuation.
@@ -43,16 +46,28 @@ UNITS = (
     "second seconds minute minutes hour hours day days week weeks month months year years "
     "dollar dollars cent cents euro euros percent degree degrees"
 ).split()
-_NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
+#: Signs and currency that belong to the number they stand before, also inside a token.
+SIGNS = r"=+\-\u2212\u2013\u00B1$\u20AC\u00A3\u00A5#~\u2264\u2265\u2248@&^|%"
+_DIGITS = r"[0-9]+(?:[.,:/][0-9]+)*"
+_NUMBER = rf"(?<![0-9{SIGNS}])([{SIGNS}]+{_DIGITS})|(?<![\p{{L}}\p{{M}}0-9{SIGNS}])({_DIGITS})"
 _UNIT = r"(?i)(?<![\p{L}\p{M}])(" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{M}])"
-_NAME = r"(?<=[\p{Ll},;] )(\p{Lu}[\p{L}\p{M}'-]+)"
+#: Words that are no name when they open a sentence, besides the English stop words.
+OPENERS = (
+    "after although another assume because before consider calculate compute determine during each every explain "
+    "find first given hence however if imagine initially last let many next now one prove second show since "
+    "solve some sometimes suppose then therefore thus today two using what when where which while who why write yes"
+).split()
+_PART = r"[\p{L}\p{M}'-]"
+_NAME_INSIDE = r"(?<=[\p{Ll},;] )(\p{Lu}[\p{L}\p{M}'-]+)"
+_STOP = "|".join(sorted({*english_stop_words(), *OPENERS}, key=lambda w: (-len(w), w)))
+_NAME = rf"{_NAME_INSIDE}|(?<!{_PART})(?=\p{{Lu}}{_PART}*\p{{Ll}})(?!(?i:{_STOP})(?!{_PART}))({_PART}+)"
 
 
 def annotated(text: Column) -> Column:
     """Tokens with a slot's type before its value (``\\u0001`` + digits and so on)."""
     t = F.translate(text, NUM + UNIT + NAME, "")
-    t = F.regexp_replace(t, _NAME, NAME + "$1")
-    t = F.regexp_replace(t, "(" + _NUMBER + ")", NUM + "$1")
+    t = F.regexp_replace(t, _NAME, NAME + "$1$2")
+    t = F.regexp_replace(t, _NUMBER, " " + NUM + "$1$2")
     t = F.regexp_replace(t, _UNIT, UNIT + "$1")
     return _tokens(t)
 

@@ -212,6 +212,18 @@ def test_variants_slots_names_and_units(spark, make):
     assert sorted(str(x.doc_id) for x in left.collect()) == ["3", "4", "5"] and left.columns == make(docs).columns
 
 
+def test_opening_names_and_signed_numbers_are_slots(spark, make):
+    name = "Anna buys red apples at the market. Anna sells green pears near the river. Anna walks home with an old box. Anna counts all of the fruit again."
+    cash = "A box costs $5 in the shop and $7 at the fair, so x=3 of them with a fee of -$2 come to how much money in all for the buyer."
+    docs = [
+        (1, "Plain words stand here. " + name.replace("Anna", "Maria")),
+        (2, "plain words stand here " + cash.replace("$5", "\u20ac8").replace("$7", "$11").replace("x=3", "x=9").replace("-$2", "-$4")),
+        (3, "The box is here. If all of the apples are sold, nobody counts the fruit near the old river."),
+    ]
+    got = {(r.doc_id, r.item_id): r for r in op6.contaminated(make(docs), items(spark, [(1, name), (2, cash)])).collect()}
+    assert set(got) == {(1, 1), (2, 2)} and all(r.share == 1 and not r.verbatim for r in got.values())
+
+
 def test_rolling_windows_equal_direct_hashes(spark):
     from pyspark.sql import functions as F
 
