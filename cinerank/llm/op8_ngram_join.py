@@ -327,28 +327,58 @@ def classes_and_links(docs: DataFrame, n: int = 5, pct: int = 80) -> tuple[DataF
     return members, links
 
 
-def ngram_components(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+def _labelled(docs: DataFrame, n: int, pct: int) -> tuple[DataFrame, DataFrame]:
+    """(members, labels): every row's (doc_id, size, cid), and (cid, root, component_id) of the classes with words."""
     members, links = classes_and_links(docs, n, pct)
     comp = components(links).withColumnRenamed("node", "cid")
     # an empty set links with nothing: such a row is its own component
     per_class = members.where("size > 0").groupBy("cid").agg(F.min("doc_id").alias("lo"))
     lab = per_class.join(comp, "cid", "left").select("cid", "lo", F.coalesce("root", "cid").alias("root"))
     least = lab.groupBy("root").agg(F.min("lo").alias("component_id"))
-    lab = written(lab.join(least, "root").select("cid", "component_id"), "labels")
+    return members, written(lab.join(least, "root").select("cid", "root", "component_id"), "labels")
+
+
+def ngram_components(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+    members, lab = _labelled(docs, n, pct)
     full = members.where("size > 0").join(lab, "cid").select("doc_id", F.col("size").alias("n_shingles"), "component_id")
     none = members.where("size = 0").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return full.union(none)
 
 
+def _row_classes(n: int):
+    """(doc_id, text hash, class or null) of every row."""
+
+    def run(batches):
+        for rb in batches:
+            cids = [_class_of(s) if len(s) else None for _, s in _sets(iter([rb]), n)]
+            cols = [rb.column(rb.schema.get_field_index(c)) for c in ("doc_id", "th")]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(cids, pa.int64())], names=["doc_id", "th", "cid"])
+
+    return run
+
+
 def keep_one(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
-    """The documents that stay when one of each component is kept: the smallest ``doc_id``.
+    """The rows that stay when one row of each component is kept: the one of the smallest ``doc_id``
+    (null last), then of the smallest text hash; of rows alike in both, any one.
 
-    Rows without words stay, as does one row of a component whose ids are all null.
+    Rows without words stay.
     """
-    lab = ngram_components(docs, n, pct)
-    drop = lab.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(maybe_broadcast(drop, 16), "doc_id", "left_anti")
+    _, lab = _labelled(docs, n, pct)
+    id_, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    th = F.xxhash64(F.coalesce(text, F.lit("")))
+    rows = docs.select(id_.alias("doc_id"), th.alias("th"), text.alias("text")).mapInArrow(_row_classes(n), "doc_id long, th long, cid long")
+    rows = rows.where("cid IS NOT NULL").groupBy("doc_id", "th", "cid").agg(F.count(F.lit(1)).alias("m"))
+    rows = written(rows.join(lab.select("cid", "root"), "cid").select("doc_id", "th", "root", "m"), "rows")
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("k"))
+    rows = rows.join(best, "root").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("th") == F.col("k.th")))
+    odd = written(rows.where("NOT kept OR m > 1").select(F.col("doc_id").alias("_llm_id"), F.col("th").alias("_llm_th"), "kept"), "odd")
+    some = lambda kept: maybe_broadcast(odd.where("kept" if kept else "NOT kept"), 24)
+    on = id_.eqNullSafe(F.col("_llm_id")) & (F.col("_llm_key") == F.col("_llm_th"))
+    left = docs.withColumn("_llm_key", th).join(some(False), on, "left_anti")
+    again = some(True)
+    alike = left.join(again, on, "left_semi").dropDuplicates(["doc_id", "_llm_key"])
+    return left.join(again, on, "left_anti").union(alike).drop("_llm_key")
 
 
 ORACLE = r"""

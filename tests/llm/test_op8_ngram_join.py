@@ -81,6 +81,14 @@ def test_keep_one_keeps_smallest_and_all_columns(make):
     assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "2", "4", "None"]
 
 
+def test_keep_one_of_repeated_rows_null_ids_and_reused_ids(make):
+    text, other, third = "a b c d e f", "g h i j k l", "m n o p q r"
+    rows = [(1, text), (1, text), (5, text), (None, text), (None, other), (None, other), (None, other + " x"), (5, third), (6, None), (6, None)]
+    out = sorted((str(r.doc_id), r.text) for r in op8.keep_one(make(rows), pct=60).collect())
+    assert [x for x in out if x[0] != "None"] == [("1", text), ("5", third), ("6", None), ("6", None)]
+    assert len([x for x in out if x[0] == "None"]) == 1
+
+
 def test_parameters():
     with pytest.raises(ValueError):
         op8.classes_and_links(None, n=0)
