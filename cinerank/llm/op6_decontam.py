@@ -49,7 +49,7 @@ UNITS = (
 #: Signs and currency that belong to the number they stand before, also inside a token.
 SIGNS = r"=+\-\u2212\u2013\u00B1$\u20AC\u00A3\u00A5#~\u2264\u2265\u2248@&^|%"
 _DIGITS = r"[0-9]+(?:[.,:/][0-9]+)*"
-_NUMBER = rf"(?<![0-9{SIGNS}])([{SIGNS}]+{_DIGITS})|(?<![\p{{L}}\p{{M}}0-9{SIGNS}])({_DIGITS})"
+_NUMBER = rf"(?=[0-9{SIGNS}])(?:(?<![0-9{SIGNS}])([{SIGNS}]+{_DIGITS})|(?<![\p{{L}}\p{{M}}0-9{SIGNS}])({_DIGITS}))"
 _UNIT = r"(?i)(?<![\p{L}\p{M}])(" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{M}])"
 #: Words that are no name when they open a sentence, besides the English stop words.
 OPENERS = (
@@ -60,7 +60,7 @@ OPENERS = (
 _PART = r"[\p{L}\p{M}'-]"
 _NAME_INSIDE = r"(?<=[\p{Ll},;] )(\p{Lu}[\p{L}\p{M}'-]+)"
 _STOP = "|".join(sorted({*english_stop_words(), *OPENERS}, key=lambda w: (-len(w), w)))
-_NAME = rf"{_NAME_INSIDE}|(?<!{_PART})(?=\p{{Lu}}{_PART}*\p{{Ll}})(?!(?i:{_STOP})(?!{_PART}))({_PART}+)"
+_NAME = rf"(?=\p{{Lu}})(?:{_NAME_INSIDE}|(?<!{_PART})(?=\p{{Lu}}{_PART}*\p{{Ll}})(?!(?i:{_STOP})(?!{_PART}))({_PART}+))"
 
 
 def annotated(text: Column) -> Column:
