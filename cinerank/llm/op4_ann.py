@@ -108,13 +108,14 @@ class Tree:
             todo += [(ch, rows[near == j]) for j, ch in enumerate(self.children[node]) if (near == j).any()]
         return out
 
-    def walk(self, q: np.ndarray, visits: int) -> list[int]:
-        """The first ``visits`` leaves, best bin first."""
-        heap, out = [(0.0, self.root)], []
-        while heap and len(out) < visits:
+    def walk(self, q: np.ndarray, visits: int, held: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The first ``visits`` leaves, best bin first, and further ones until they hold ``least`` ids."""
+        heap, out, ids = [(0.0, self.root)], [], 0
+        while heap and (len(out) < visits or ids < least):
             _, node = heapq.heappop(heap)
             if node < 0:
                 out.append(-1 - node)
+                ids += 0 if held is None else int(held[-1 - node])
                 continue
             c = self.centres[node]
             d = (c * c).sum(1) - 2.0 * (c @ q)
@@ -206,12 +207,18 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str
     at = np.sort(turn[true["q"].to_numpy(), true["leaf"].to_numpy()])
     visits = int(at[min(len(at) - 1, math.ceil(recall * len(at)) - 1)]) + 1
 
+    # a query goes on until its leaves hold its k neighbours and itself
+    held = np.zeros(leaves, dtype=np.int64)
+    for leaf, ids in rows.groupBy("leaf").agg(F.sum(F.size("ids"))).collect():
+        held[leaf] = ids
+    counts = spark.sparkContext.broadcast(held)
+
     def plan(batches):
         tree = Tree.of(shared.value)
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            got = [tree.walk(q, visits) for q in _lifted_queries(pdf["vec"].to_list(), top)]
+            got = [tree.walk(q, visits, counts.value, k + 1) for q in _lifted_queries(pdf["vec"].to_list(), top)]
             yield pdf.assign(leaf=got)
 
     shelves = max(1, min(leaves, math.ceil(n / shelf_rows)))

@@ -95,6 +95,16 @@ def test_search_recall_and_exact_scores(spark):
     assert hit / tot >= 0.9
 
 
+def test_walk_goes_on_until_the_leaves_hold_enough():
+    x = np.random.default_rng(4).normal(size=(200, 4))
+    tree = op4.Tree(x, 4, 8)
+    held = np.bincount(tree.assign(x), minlength=tree.leaves)
+    for q in x[:40]:
+        went = tree.walk(q, 1, held, 21)
+        assert held[went].sum() >= 21 and went[:1] == tree.walk(q, 1)
+    assert len(tree.walk(x[0], 1, held, 1_000)) == tree.leaves
+
+
 def test_search_ties_equal_vectors_and_unusable_rows(spark):
     rows = [(i, [1.0, 0.0, 0.0]) for i in range(0, 300)] + [(1000 + i, [0.5, float(i % 7), 1.0]) for i in range(50)]
     bad = [(None, [1.0, 0.0, 0.0]), (2000, None), (2001, [0.0, 0.0, 0.0]), (2002, [1.0, None, 0.0]), (2003, [float("nan"), 1.0, 0.0]), (2004, [1.0]), (2005, [float("inf"), 0.0, 0.0])]
