@@ -25,7 +25,7 @@ from cinerank.sources.tables import table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["table", "written", "small_enough", "maybe_broadcast", "held_out", "Words", "text_slices", "mix64", "shingles"]
+__all__ = ["table", "scratch_path", "written", "small_enough", "maybe_broadcast", "held_out", "Words", "text_slices", "mix64", "shingles"]
 
 #: Broadcast bound: a side is broadcast only when its counted rows times the
 #: stated row width stay under this many bytes; otherwise the plan shuffles.
@@ -34,6 +34,11 @@ BROADCAST_BYTES = 32 << 20
 SLICE_BYTES = 1 << 19
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read back.
 
@@ -41,7 +46,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     columns, and stores far less than a row-format checkpoint.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

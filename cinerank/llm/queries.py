@@ -15,7 +15,10 @@ from cinerank.llm import op7_line_dedup as op7
 from cinerank.llm import op8_ngram_join as op8
 from cinerank.llm import op9_sharding as op9
 from cinerank.llm import op10_html as op10
-from cinerank.llm.common import table
+from cinerank.llm import op11_whitening as op11
+from cinerank.llm import op12_negatives as op12
+from cinerank.llm import op13_tokens as op13
+from cinerank.llm.common import scratch_path, table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +68,24 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=4)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return op12.mine(rows, F.col("id") % 50 == 0)
+
+
+def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark, "tokens")
+    op13.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return op13.read_documents(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def digest9(out: DataFrame) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
@@ -80,6 +101,9 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_sharding": op9_sharding,
     "op10_html_extract": op10_html_extract,
+    "op11_whiten": op11_whiten,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_token_ids": op13_token_ids,
 }
 
 ORACLE_SQL: dict[str, str] = {
