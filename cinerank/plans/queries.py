@@ -237,7 +237,7 @@ def map_ndcg(spark: SparkSession, sf: str) -> DataFrame:
 def lambda_gradients(spark: SparkSession, sf: str) -> DataFrame:
     """One round of LambdaRank gradients on the train rows, current score = vote_avg / 10."""
     rows = feat.load_split(chain.features(spark, sf, "train")).withColumn("score", F.col("vote_avg") / 10)
-    g = lambdarank.gradients(lambdarank.ranked_rows(rows.select("userId", "movieId", "label", "score")))
+    g = lambdarank.score_rows(rows.select("userId", "movieId", "label", "score"))
     return g.select("userId", "movieId", "label", "rn", r6("grad").alias("grad"), r6("hess").alias("hess"))
 
 
@@ -335,13 +335,11 @@ def als_recall(spark: SparkSession, sf: str) -> DataFrame:
 
 from cinerank.operators import ranker as ranker_ops  # noqa: E402
 
-RANKER_PATIENCE = 5  # rounds without a gain; the number of trees is the job's default (up to 500)
-
 
 @register("train_ranker")
 def train_ranker(spark: SparkSession, sf: str) -> DataFrame:
     """Rows-only: per-round train / valid NDCG@10 of the LambdaMART ensemble."""
-    _ens, log = chain.ranker(spark, sf, RANKER_PATIENCE)
+    _ens, log = chain.ranker(spark, sf)
     rows = [(r, None if t is None else round(t, 6), round(v, 6)) for r, t, v in log]
     return spark.createDataFrame(rows, "round int, train_ndcg double, valid_ndcg double")
 
@@ -349,7 +347,7 @@ def train_ranker(spark: SparkSession, sf: str) -> DataFrame:
 @register("score_ranker")
 def score_ranker(spark: SparkSession, sf: str) -> DataFrame:
     """Rows-only: save, reload and apply the ensemble to the valid rows; MAP@10 / NDCG@10."""
-    ens, _log = chain.ranker(spark, sf, RANKER_PATIENCE)
+    ens, _log = chain.ranker(spark, sf)
     path = ranker_ops.model_path(spark)
     ens.save(path)
     loaded = ranker_ops.Ensemble.load(path)
@@ -365,7 +363,7 @@ def recommend_topk(spark: SparkSession, sf: str) -> DataFrame:
     features → LambdaMART trained on ALS-based feature rows → top 10 per user by score."""
     from pyspark.sql import Window
 
-    ens, _log = chain.ranker(spark, sf, RANKER_PATIENCE, source="als")
+    ens, _log = chain.ranker(spark, sf, source="als")
     cands = chain.als_candidates(spark, sf, "valid").select("userId", "movieId")
     rows = feat._with_meta(cands, chain.item_meta(spark, sf), 0)
     pred = ens.predict(ranker_ops.prepare(rows))
