@@ -40,9 +40,9 @@ CONTENT_WORDS = frozenset("content article post entry story main body text".spli
 _ATTR = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORD = re.compile(r"[a-zA-Z]+")
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 TEXT = "#"
-#: Trees deeper than this are compared and shown only down to it by the matching; extraction has no limit.
-MATCH_DEPTH = 120
 
 
 class Node:
@@ -155,51 +155,66 @@ def number(root: Node) -> list[Node]:
 MEMO_TABLES = 20_000
 
 
-def _table(a: Node, b: Node, memo: dict, depth: int) -> list[list[int]] | int:
-    """Best match sizes of the first i and j children, or one number when every child has the same shape."""
-    key = (a.shape, b.shape)
-    got = memo.get(key)
-    if got is None:
-        x, y = a.kids, b.kids
-        first = x[0].shape
-        if all(k.shape == first for k in x) and all(k.shape == first for k in y):
-            got = min(len(x), len(y)) * _size(x[0], y[0], memo, depth + 1)
-        else:
-            got = [[0] * (len(y) + 1)]
-            for u in x:
-                prev, row, left = got[-1], [0], 0
-                for j, v in enumerate(y):
-                    w = prev[j] + _size(u, v, memo, depth + 1) if u.tag == v.tag else 0
-                    left = max(left, prev[j + 1], w)
-                    row.append(left)
-                got.append(row)
-        memo[key] = got
-    return got
-
-
-def _size(a: Node, b: Node, memo: dict, depth: int) -> int:
+def _size(a: Node, b: Node, memo: dict) -> int:
+    """Size of the largest match of two subtrees whose tables, if they need one, are in ``memo``."""
     if a.tag != b.tag:
         return 0
-    if not a.kids or not b.kids or depth > MATCH_DEPTH:
+    if not a.kids or not b.kids:
         return 1
-    t = _table(a, b, memo, depth)
+    t = memo[a.shape, b.shape]
     return 1 + (t if isinstance(t, int) else t[-1][-1])
 
 
+def _table(a: Node, b: Node, memo: dict) -> list[list[int]] | int:
+    """Best match sizes of the first i and j children, or one number when every child has the same shape.
+
+    Tables of the children are made first, from a stack, so trees of any depth are matched.
+    """
+    todo = [(a, b)]
+    while todo:
+        u, v = todo[-1]
+        key = (u.shape, v.shape)
+        if key in memo:
+            todo.pop()
+            continue
+        x, y = u.kids, v.kids
+        first = x[0].shape
+        alike = all(k.shape == first for k in x) and all(k.shape == first for k in y)
+        pairs = [(x[0], y[0])] if alike else [(p, q) for p in x for q in y]
+        needed = {(p.shape, q.shape): (p, q) for p, q in pairs if p.tag == q.tag and p.kids and q.kids and (p.shape, q.shape) not in memo}
+        if needed:
+            todo += needed.values()
+            continue
+        todo.pop()
+        if alike:
+            memo[key] = min(len(x), len(y)) * _size(x[0], y[0], memo)
+            continue
+        got = [[0] * (len(y) + 1)]
+        for p in x:
+            prev, row, left = got[-1], [0], 0
+            for j, q in enumerate(y):
+                w = prev[j] + _size(p, q, memo) if p.tag == q.tag else 0
+                left = max(left, prev[j + 1], w)
+                row.append(left)
+            got.append(row)
+        memo[key] = got
+    return memo[a.shape, b.shape]
+
+
 def match(a: Node, b: Node, memo: dict) -> list[tuple[Node, Node]]:
     """Node pairs of the largest order- and level-keeping match of two numbered trees (simple
     tree matching).  ``memo`` may be shared between calls: sizes depend on shapes alone."""
     if len(memo) > MEMO_TABLES:
         memo.clear()
-    out, todo = [], [(a, b, 0)] if a.tag == b.tag else []
+    out, todo = [], [(a, b)] if a.tag == b.tag else []
     while todo:
-        u, v, depth = todo.pop()
+        u, v = todo.pop()
         out.append((u, v))
-        if not u.kids or not v.kids or depth > MATCH_DEPTH:
+        if not u.kids or not v.kids:
             continue
-        t = _table(u, v, memo, depth)
+        t = _table(u, v, memo)
         if isinstance(t, int):
-            todo += [(p, q, depth + 1) for p, q in zip(u.kids, v.kids)]
+            todo += zip(u.kids, v.kids)
             continue
         i, j = len(u.kids), len(v.kids)
         while i and j:
@@ -209,7 +224,16 @@ def match(a: Node, b: Node, memo: dict) -> list[tuple[Node, Node]]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                todo.append((u.kids[i], v.kids[j], depth + 1))
+                todo.append((u.kids[i], v.kids[j]))
+    return out
+
+
+def lengths(order: list[Node]) -> list[int]:
+    """Characters of text under each node of a numbered tree."""
+    out = [len(n.text.strip()) if n.tag == TEXT else 0 for n in order]
+    for n in reversed(order):
+        for k in n.kids:
+            out[n.number] += out[k.number]
     return out
 
 
