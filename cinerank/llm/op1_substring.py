@@ -13,7 +13,7 @@ paragraph has a MinHash signature of its five-word shingles, cut into bands; ``t
 collides with the asked recall.  A band's paragraphs are paired with the band's
 smallest one (m - 1 pairs, not all); once the verified pairs are contracted, those
 of a band that are still in different components are compared as well, dealt by
-the rare shingles that a pair at the threshold must share (an exact filter).
+pairs of the rare shingles that a pair at the threshold must share (an exact filter).
 
 Verification and clusters.  Pairs are verified by the exact Jaccard similarity of
 their shingle sets (``100 * common >= pct * union``), and verified pairs are
@@ -53,6 +53,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Verbatim passages of so many words are found wherever paragraphs end, by an anchor of at most ANCHOR words.
 PASSAGE, ANCHOR = 51, 25
+#: Shingle sets of at most this size are dealt by pairs of rare shingles, larger ones by single ones.
+PAIRED = 24
 
 
 def tune_bands(pct: int, hashes: int, recall: float) -> tuple[int, int]:
@@ -149,7 +151,7 @@ def _paragraphs(reach: int, size: int):
 
 
 def _bands(reach: int, bands: int, rows: int):
-    """(band value, paragraph) for each distinct paragraph of a slice of texts."""
+    """(paragraph, its band values) for each distinct paragraph of a slice of texts."""
 
     def run(batches):
         for _, buf, offs in text_slices(batches):
@@ -157,12 +159,14 @@ def _bands(reach: int, bands: int, rows: int):
             if len(c.hash) == 0:
                 continue
             one = np.unique(c.hash, return_index=True)[1]
+            cols = [pa.array(c.hash[one].view(np.int64))]
             for b in range(bands):
                 sig = np.full(len(one), b + 1, dtype=np.uint64)
                 for r in range(rows):
                     salt = mix64(np.array([b * rows + r + 1], dtype=np.uint64))
                     sig = mix64(sig * np.uint64(31) + np.minimum.reduceat(mix64(c.grams ^ salt), c.go[:-1])[one])
-                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(c.hash[one].view(np.int64))], names=["band", "p"])
+                cols.append(pa.array(sig.view(np.int64)))
+            yield pa.RecordBatch.from_arrays(cols, names=["p", *[f"b{b}" for b in range(bands)]])
 
     return run
 
@@ -233,11 +237,48 @@ def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= pct * (F.size("ta") + F.size("tb") - both)).select("a", "b")
 
 
+def _rarest(sets: DataFrame, pct: int) -> DataFrame:
+    """(p, n, pre): size of each set and its rarest ``n - ceil(pct * n / 100) + 2`` tokens, rarest first."""
+    tok = sets.select("p", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    df = written(tok.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "df")
+    rank = F.row_number().over(Window.partitionBy("p").orderBy("df", "token"))
+    pre = tok.join(maybe_broadcast(df, 24), "token").withColumn("rn", rank).where(f"rn <= n - ({pct}L * n + 99) div 100 + 2")
+    return pre.groupBy("p", "n").agg(F.expr("transform(array_sort(collect_list(struct(rn, token))), x -> x.token)").alias("pre"))
+
+
+# Two sets that share o tokens share 1 + e of each one's rarest n - o + 1 + e, for every e under o.
+
+#: Pairs of a set's first ``{k}`` rarest tokens, or its first ``{k} - 1`` alone, under a tag.
+_PAIRS = "flatten(transform(slice(pre, 1, {k}), (x, i) -> transform(slice(pre, i + 2, greatest({k} - i - 1, 0)), y -> xxhash64({tag}, x, y))))"
+_SINGLE = "transform(slice(pre, 1, {k} - 1), x -> xxhash64({tag}, x))"
+_NONE = "cast(array() AS array<bigint>)"
+
+
+def _any_partner(pct: int) -> str:
+    """Keys that meet in any two sets at the threshold: pairs of rare tokens (e = 1) where both have at most
+    PAIRED tokens and must share two, single ones (e = 0) otherwise."""
+    k = f"int(n - ({pct}L * n + 99) div 100 + 2)"
+    two = f"n <= {PAIRED} AND ({pct}L * n + 99) div 100 >= 2"
+    pairs, single = _PAIRS.format(k=k, tag=1), _SINGLE.format(k=k, tag=0)
+    alone = f"NOT ({two}) OR 100L * n >= {pct}L * ({PAIRED} + 1) OR {pct}L * n <= 100L * (100 div {pct})"
+    return f"concat(CASE WHEN {two} THEN {pairs} ELSE {_NONE} END, CASE WHEN {alone} THEN {single} ELSE {_NONE} END)"
+
+
+def _each_partner(pct: int) -> str:
+    """(partner size, key) for each partner size up to PAIRED: the sizes say how many tokens must be shared, so
+    the part that must meet is shorter."""
+    o = f"(({pct}L * (n + s) + {99 + pct}) div {100 + pct})"
+    k, tag = f"int(least(n - {o} + 2, size(pre)))", "2, least(n, s), greatest(n, s)"
+    keys = f"CASE WHEN {o} >= 2 THEN {_PAIRS.format(k=k, tag=tag)} ELSE {_SINGLE.format(k=k, tag=tag)} END"
+    sizes = f"sequence(int(({pct}L * n + 99) div 100), int(least({PAIRED}L, 100L * n div {pct})))"
+    return f"flatten(transform({sizes}, s -> transform({keys}, key -> struct(s, key))))"
+
+
 def _still_apart(band: DataFrame, comp: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     """Distinct pairs (a, b) of a band in different components that can reach the threshold.
 
-    Such a pair shares one of the rarest ``n - ceil(pct * n / 100) + 1`` shingles of either, so a
-    band is dealt by these; of two components one is not the group's largest.
+    A band is dealt by keys that two such sets share, first by those for any partner, then, up to
+    PAIRED tokens, by those for each partner size; of two components one is not the group's largest.
     """
 
     def groups(df: DataFrame, *key: str) -> DataFrame:
@@ -248,14 +289,21 @@ def _still_apart(band: DataFrame, comp: DataFrame, sets: DataFrame, pct: int) ->
     lab = band.join(maybe_broadcast(comp.withColumnRenamed("node", "p"), 24), "p", "left").withColumn("comp", F.coalesce("root", "p")).drop("root")
     lab = written(groups(lab, "band").drop("main"), "open")
     some = sets.join(maybe_broadcast(written(lab.select("p").distinct(), "open"), 16), "p", "left_semi")
-    tok = some.select("p", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    df = written(tok.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "df")
-    rank = F.row_number().over(Window.partitionBy("p").orderBy("df", "token"))
-    pre = tok.join(maybe_broadcast(df, 24), "token").withColumn("rn", rank).where(f"rn <= n - ({pct}L * n + 99) div 100 + 1").select("p", "n", "token")
-    met = written(groups(lab.join(pre, "p"), "band", "token"), "met")
-    out = met.where("comp <> main").selectExpr("band", "token", "p AS x", "n AS nx", "comp AS cx")
-    more = met.join(out, ["band", "token"]).where("cx <> comp AND (comp = main OR x < p)")
-    return more.where(f"100L * least(n, nx) >= {pct}L * greatest(n, nx)").selectExpr("p AS a", "x AS b").distinct()
+    pre = written(_rarest(some, pct), "rarest")
+    met = written(groups(lab.join(pre.select("p", "n", F.explode(F.expr(_any_partner(pct))).alias("key")), "p"), "band", "key"), "met")
+
+    out = lambda df, *c: df.where("comp <> main").selectExpr("band", "key", "p AS x", "n AS nx", "comp AS cx", *c)
+    large = met.where(f"100L * n >= {pct}L * ({PAIRED} + 1)")
+    more = large.join(out(large), ["band", "key"]).where(f"cx <> comp AND (comp = main OR x < p) AND greatest(n, nx) > {PAIRED}")
+    more = more.where(f"100L * least(n, nx) >= {pct}L * greatest(n, nx)")
+
+    small = met.where(f"n <= {PAIRED}").select("band", "p", "comp").distinct().join(pre, "p")
+    small = small.select("band", "p", "comp", "n", F.explode(F.expr(_each_partner(pct))).alias("k")).select("band", "p", "comp", "n", "k.s", "k.key")
+    small = written(groups(small, "band", "key"), "met")
+    # a row meets the rows of its partner's size, which expect its own
+    other = out(small, "s AS sx")
+    near = small.join(other.withColumnRenamed("nx", "s"), ["band", "key", "s"]).where("sx = n AND cx <> comp AND (comp = main OR x < p)")
+    return more.selectExpr("p AS a", "x AS b").union(near.selectExpr("p AS a", "x AS b")).distinct()
 
 
 def repeated_spans(docs: DataFrame, pct: int = 80, min_words: int = 25, reach: int = 6, hashes: int = 6, recall: float = 0.95) -> DataFrame:
@@ -268,11 +316,14 @@ def repeated_spans(docs: DataFrame, pct: int = 80, min_words: int = 25, reach: i
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("row"), text.alias("text"))
     par = written(d.mapInArrow(_paragraphs(reach, min(min_words, ANCHOR)), "doc_id long, row long, pos int, words int, p long, whole boolean"), "paragraphs")
 
-    # equal paragraphs come once per slice of texts; only bands with two distinct ones matter
     spot = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("d"), "row", "pos")
-    over = "OVER (PARTITION BY band)"
-    band = d.select("text").mapInArrow(_bands(reach, bands, rows), "band long, p long")
-    band = written(band.selectExpr("band", "p", f"min(p) {over} AS lo", f"max(p) {over} AS hi").where("lo <> hi").select("band", "p", "lo").distinct(), "bands")
+    # signatures of equal paragraphs are met with map-side combining, so a paragraph is in a band once
+    names = [f"b{b}" for b in range(bands)]
+    sig = d.select("text").mapInArrow(_bands(reach, bands, rows), "p long, " + ", ".join(f"{b} long" for b in names))
+    sig = written(sig.groupBy("p").agg(*[F.min(b).alias(b) for b in names]), "signatures")
+    band = sig.select("p", F.explode(F.array(*names)).alias("band"))
+    shared = written(band.groupBy("band").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).where("lo <> hi").select("band", "lo"), "shared")
+    band = written(band.join(maybe_broadcast(shared, 24), "band"), "bands")
     lists = d.select("text").mapInArrow(_shingle_lists(reach), "p long, tokens array<long>")
     sets = lists.join(maybe_broadcast(written(band.select("p").distinct(), "asked"), 16), "p", "left_semi").dropDuplicates(["p"])
     sets = written(sets.select("p", F.array_distinct("tokens").alias("tokens")), "sets")
