@@ -149,8 +149,8 @@ def shingles(words: Words, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return res, so
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, bytes, offsets) runs of whole rows with at most SLICE_BYTES of text (or one row); null is empty."""
+def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, bytes, offsets) runs of whole rows with at most ``most`` bytes of text (or one row); null is empty."""
     for rb in batches:
         if rb.num_rows == 0:
             continue
@@ -165,7 +165,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterat
         data = np.frombuffer(bufs[2], dtype=np.uint8) if bufs[2] is not None else np.zeros(0, dtype=np.uint8)
         i = 0
         while i < len(col):
-            j = max(i + 1, int(np.searchsorted(offs, offs[i] + SLICE_BYTES, side="right")) - 1)
+            j = max(i + 1, int(np.searchsorted(offs, offs[i] + most, side="right")) - 1)
             yield rb.slice(i, j - i), data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
             i = j
 

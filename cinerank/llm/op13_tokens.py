@@ -41,6 +41,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import os
 import sys
 from collections.abc import Iterator
 
@@ -51,18 +52,20 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import text_slices
+from cinerank.llm.common import maybe_broadcast, text_slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: A pair becomes a rule only if it is replaced this often (a rule itself takes three numbers).
-MIN_USES = 6
+MIN_USES = 8
 #: Each count takes pairs down to the largest number (or the last threshold) divided by this.
 FALL = 3
 #: Pairs are counted in this many buckets (as a power of two) before the frequent ones are sorted.
-BUCKET_BITS = 18
-#: Distinct words that a task remembers with their ids; forgetting them only costs time.
-REMEMBERED = 1 << 18
+BUCKET_BITS = 19
+#: Distinct words and marks that a task remembers with their ids; forgetting them only costs time.
+REMEMBERED = 1 << 19
+#: Text bytes encoded at once (a single longer text still goes whole): words repeat more in longer runs.
+SLICE_BYTES = 4 << 20
 #: Ranges of the exchange at most; a range is read as a stream, so its size bounds nothing.
 MAX_PARTS = 20_000
 FORMAT = (
@@ -193,62 +196,83 @@ class Shard:
 STEM = r"^(?P<stem>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,;:!?]*)$"
 
 
+class _Known:
+    """Pieces that a task has met, by number, and their ids in one flat array."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {"": 0}
+        self.size, self.flat = [np.zeros(1, dtype=np.int64)], []
+
+    def add(self, pieces: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces))))
+        self.size.append(size)
+        self.flat.append(ids)
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(flat ids, first, size) by number."""
+        self.size, self.flat = [np.concatenate(self.size)], [np.concatenate(self.flat or [np.zeros(0, dtype=np.int64)])]
+        return self.flat[0], np.cumsum(self.size[0]) - self.size[0], self.size[0]
+
+
 class Encoder:
     """Ids of a run of texts, without the end ids, and the number of each text's ids."""
 
     def __init__(self, path: str, by_word: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tok, self.by_word, self.known = Tokenizer.from_file(path), by_word, {}
+        self.tok, self.by_word, self.known = Tokenizer.from_file(path), by_word, _Known()
         self.base = self.tok.get_vocab_size(with_added_tokens=True)
         suffix = getattr(self.tok.model, "end_of_word_suffix", None) or ""
         self.closing = np.zeros(self.base, dtype=bool)
         if by_word and suffix:
             self.closing[[i for t, i in self.tok.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
 
-    def _each(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of each text's ids)."""
+        got = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.array([len(g) for g in got], dtype=np.int64)
+        return np.fromiter(itertools.chain.from_iterable(got), dtype=np.int64, count=int(size.sum())), size
 
-    def _stems(self, stems: list[str]) -> list[list[int]]:
-        """Ids of letter-only words from one encoding of them all; only a word's last id closes a word."""
+    def _stems(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for letter-only words, from one encoding of them all; only a word's last id closes a word."""
         ids = np.array(self.tok.encode(" ".join(stems), add_special_tokens=False).ids, dtype=np.int64)
         ends = np.flatnonzero(self.closing[ids]) + 1
         if len(ends) != len(stems) or (len(ids) and ends[-1] != len(ids)):
             return self._each(stems)
-        all_ids, cut = ids.tolist(), [0, *ends.tolist()]
-        return [all_ids[i:j] for i, j in zip(cut, cut[1:])]
+        return ids, np.diff(ends, prepend=0)
 
-    def _pieces(self, pieces: pa.Array, of) -> tuple[np.ndarray, list[list[int]]]:
-        """(number of each piece, ids by number); pieces that this task has met are not encoded again."""
+    def _numbers(self, pieces: pa.Array, of) -> np.ndarray:
+        """Number of each piece; pieces that this task has met are not encoded again."""
         d = pieces.dictionary_encode()
         names = d.dictionary.to_pylist()
-        fresh = [w for w in names if w not in self.known]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known, fresh = {}, names
-        self.known.update(zip(fresh, of(fresh)))
-        return d.indices.to_numpy(zero_copy_only=False).astype(np.int64), [self.known[w] for w in names]
+        get = self.known.number.get
+        number = np.array([get(w, -1) for w in names], dtype=np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = np.arange(len(self.known.number), len(self.known.number) + len(new))
+            fresh = [names[i] for i in new.tolist()]
+            self.known.add(fresh, *of(fresh))
+        return number[d.indices.to_numpy(zero_copy_only=False)]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.by_word:
-            got = self._each(texts.to_pylist())
-            return np.array([i for g in got for i in g], dtype=np.int64), np.array([len(g) for g in got], dtype=np.int64)
+            return self._each(texts.to_pylist())
+        if len(self.known.number) > REMEMBERED:
+            self.known = _Known()
         lists = pc.ascii_split_whitespace(texts)
         words = lists.flatten().dictionary_encode()
         at, names = words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
         found = pc.extract_regex(names, STEM)
         whole = pc.is_null(found)
-        stem, runs = self._pieces(pc.utf8_lower(found.field("stem").filter(pc.invert(whole))), self._stems)
-        tail, more = self._pieces(pc.if_else(whole, names, found.field("tail")), self._each)
-        # a word is its stem (the last, empty run for none) and its tail or its whole
-        first = np.full(len(names), len(runs), dtype=np.int64)
-        first[~whole.to_numpy(zero_copy_only=False)] = stem
-        both = np.stack([first, tail + len(runs) + 1], axis=1)
-        runs = [*runs, [], *more]
-        size = np.array([len(r) for r in runs], dtype=np.int64)
-        flat = np.fromiter(itertools.chain.from_iterable(runs), dtype=np.int64, count=int(size.sum()))
-        ends = np.concatenate([[0], np.cumsum(size[both].sum(axis=1)[at])])
+        # a word is its stem (the empty piece for none) and its tail or its whole
+        pair = np.zeros((len(names), 2), dtype=np.int64)
+        pair[~whole.to_numpy(zero_copy_only=False), 0] = self._numbers(pc.utf8_lower(found.field("stem").filter(pc.invert(whole))), self._stems)
+        pair[:, 1] = self._numbers(pc.if_else(whole, names, found.field("tail")), self._each)
+        flat, first, size = self.known.arrays()
+        ends = np.concatenate([[0], np.cumsum(size[pair].sum(axis=1)[at])])
         offs = lists.offsets.to_numpy()
-        return gather(both[at].ravel(), flat, np.cumsum(size) - size, size), np.diff(ends[offs - offs[0]])
+        return gather(pair[at].ravel(), flat, first, size), np.diff(ends[offs - offs[0]])
 
 
 def _shard_row(part: int, seq: int, doc_ids: list, ids: np.ndarray, n: np.ndarray, base: int) -> pa.RecordBatch:
@@ -280,7 +304,7 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_col:
         enc, part, seq = Encoder(tokenizer, by_word), TaskContext.get().partitionId(), 0
         base = max(enc.base, end_id + 1)
         held, names, tokens = [], [], 0
-        for rb, _, _ in text_slices(batches):
+        for rb, _, _ in text_slices(batches, most=SLICE_BYTES):
             ids, n = enc(pc.fill_null(rb.column(1), ""))
             held.append((np.insert(ids, np.cumsum(n), end_id), n + 1))
             names += rb.column(0).to_pylist()
@@ -305,7 +329,7 @@ def shards(spark: SparkSession, path: str) -> DataFrame:
     by_part = by_part.select("part", before(Window.orderBy("part")).alias("part_start"))
     at = s.select("part", "seq", "n_tokens").withColumn("in_part", before(Window.partitionBy("part").orderBy("seq")))
     at = at.join(F.broadcast(by_part), "part").select("part", "seq", (F.col("part_start") + F.col("in_part")).alias("start"))
-    return s.join(at, ["part", "seq"])
+    return s.join(maybe_broadcast(at, 32), ["part", "seq"])
 
 
 def _rows(rb: pa.RecordBatch) -> Iterator[dict]:
