@@ -14,11 +14,13 @@ them adds, so a candidate must share that many under each of several orders.
    form a bounded set of *common* shingles, and every order puts common shingles
    last.  Any such set gives valid orders (so it never changes a result); it
    keeps shared passages and boilerplate out of the prefixes.
-3. The first order's prefixes are posted and joined on the token.  A token's
-   classes are first compared with one pivot only (m - 1 pairs, not m^2).
-   Common tokens, which only near-copy groups have in a prefix, are grouped by a
-   map-side-combined aggregate and a join that adaptive execution may split.
-4. Pairs with enough shared prefix tokens must also meet in the prefixes under
+3. The first order's prefixes are posted, each token with its place in them, and joined
+   on the token.  Two sets of known sizes must share ``o`` tokens, hence one within the
+   first ``m - o + 1`` of each, which is shorter than what a set posts for any partner: only such
+   rows make a pair.  A token's classes are first compared with one pivot only (m - 1
+   pairs, not m^2).  Common tokens, which only near-copy groups have in a prefix, are
+   grouped by a map-side-combined aggregate and a join that adaptive execution may split.
+4. Pairs must then share enough tokens of their prefixes and meet in the prefixes under
    two further orders; what passes all filters is verified with the exact
    intersection of the whole sets, which are read for those classes alone.
 5. Verified links are contracted to components.  (This first turn only saves
@@ -146,8 +148,8 @@ def _scan(n: int):
 
 
 def _postings(n: int, pct: int, common):
-    """(token, class, size, is common, is inner) of the first order's prefixes, once per class and
-    chunk; the row of the prefix's last token has its place in the order, ``last``."""
+    """(token, class, size, is common, place in the prefix) of the first order's prefixes, once per class
+    and chunk; the row of the prefix's last token has its place in the order, ``last``."""
 
     def run(batches):
         seen: set[int] = set()
@@ -155,9 +157,9 @@ def _postings(n: int, pct: int, common):
 
         def flush():
             nonlocal acc, held
-            cols = [np.concatenate([a[j] for a in acc]) if acc else np.zeros(0, d) for j, d in enumerate((np.int64, np.int64, np.int32, bool, bool, np.int64, bool))]
+            cols = [np.concatenate([a[j] for a in acc]) if acc else np.zeros(0, d) for j, d in enumerate((np.int64, np.int64, np.int32, bool, np.int32, np.int64, bool))]
             acc, held = [], 0
-            return pa.RecordBatch.from_arrays([*[pa.array(c) for c in cols[:5]], pa.array(cols[5], mask=cols[6])], names=["token", "cid", "size", "is_common", "is_inner", "last"])
+            return pa.RecordBatch.from_arrays([*[pa.array(c) for c in cols[:5]], pa.array(cols[5], mask=cols[6])], names=["token", "cid", "size", "is_common", "pos", "last"])
 
         for _, s in _sets(batches, n):
             m = len(s)
@@ -169,9 +171,9 @@ def _postings(n: int, pct: int, common):
             seen.add(c)
             if len(seen) > 200_000:
                 seen.clear()
-            tok, com, inner, last = _prefix(s, common.value, 0, pct)
+            tok, com, _, last = _prefix(s, common.value, 0, pct)
             p = len(tok)
-            acc.append((tok.view(np.int64), np.full(p, c, np.int64), np.full(p, m, np.int32), com, np.arange(p) < inner, np.full(p, last, np.int64), np.arange(p) < p - 1))
+            acc.append((tok.view(np.int64), np.full(p, c, np.int64), np.full(p, m, np.int32), com, np.arange(p, dtype=np.int32), np.full(p, last, np.int64), np.arange(p) < p - 1))
             held += p
             if held >= 200_000:
                 yield flush()
@@ -215,20 +217,35 @@ def _whole(n: int, pct: int, common):
     return run
 
 
+def _inner_sql(m: str, pct: int) -> str:
+    """How many tokens of a set meet any partner that is not smaller, without the extra ones."""
+    return f"{m} - (2 * {pct}L * {m} + {99 + pct}) div {100 + pct} + 1"
+
+
 def _meet(rows: DataFrame, pct: int) -> DataFrame:
-    """Distinct candidate pairs (a, b) from rows (cid, size, most, last, is_inner; x, nx, mx, lx, ix) of
-    two classes that share a token: sizes and possible overlaps that can reach the threshold, the token
-    in the inner prefix of the smaller class (by size, then class), and enough such tokens.
+    """Distinct pairs (a, b, na) from rows (cid, size, most, last, pos; x, nx, mx, lx, px) of two classes that
+    share a token: sizes and possible overlaps that can reach the threshold, and the token among the first
+    ``m - o + 1`` of either class, o being the overlap that their sizes ask for.
 
     The class whose prefix ends first has no token of it in the other set but those in both
-    prefixes, so its ``most`` bounds the overlap.
+    prefixes, so its ``most`` bounds the overlap.  ``a`` is the smaller class (by size, then class).
     """
     smaller = F.expr("nx < size OR (nx = size AND x < cid)")
+    o = f"({pct}L * (size + nx) + {99 + pct}) div {100 + pct}"
     r = rows.where("x <> cid").where(f"100L * least(nx, size) >= {pct}L * greatest(nx, size)")
-    r = r.where(f"({100 + pct}L) * CASE WHEN lx < last THEN mx ELSE most END >= {pct}L * (nx + size)").where(F.when(smaller, F.col("ix")).otherwise(F.col("is_inner")))
+    r = r.where(f"pos <= size - {o} AND px <= nx - {o}").where(f"CASE WHEN lx < last THEN mx ELSE most END >= {o}")
     r = r.select(*[F.when(smaller, F.col(p)).otherwise(F.col(q)).alias(c) for c, p, q in (("a", "x", "cid"), ("b", "cid", "x"))], F.least("nx", "size").alias("na"))
-    r = r.groupBy("a", "b", "na").agg(F.count(F.lit(1)).alias("k"))
-    return r.where(f"k >= 1 + {_extra_sql('na', pct)}").select("a", "b")
+    return r.distinct()
+
+
+def _share_enough(pairs: DataFrame, met: DataFrame, pct: int) -> DataFrame:
+    """The pairs (a, b) that share ``1 + e`` tokens of the smaller one's inner prefix and the other's prefix."""
+    ids = written(pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct(), "asked")
+    inner = F.when(F.expr(f"pos < {_inner_sql('size', pct)} + {_extra_sql('size', pct)}"), F.col("token"))
+    own = met.join(maybe_broadcast(ids, 16), "cid", "left_semi").groupBy("cid").agg(F.collect_set("token").alias("all"), F.collect_set(inner).alias("inner"))
+    own = written(own, "prefixes")
+    both = pairs.join(own.select(F.col("cid").alias("a"), "inner"), "a").join(own.select(F.col("cid").alias("b"), "all"), "b")
+    return both.where(f"size(array_intersect(inner, all)) >= 1 + {_extra_sql('na', pct)}").select("a", "b")
 
 
 def _verify(pairs: DataFrame, whole: DataFrame, pct: int) -> DataFrame:
@@ -286,16 +303,18 @@ def classes_and_links(docs: DataFrame, n: int = 5, pct: int = 80) -> tuple[DataF
     top = df.orderBy(F.desc("df"), "token").limit(COMMON_MAX).select("token").toPandas()["token"].to_numpy(np.int64)
     common = spark.sparkContext.broadcast(np.sort(top.view(np.uint64)))
 
-    post = written(d.mapInArrow(_postings(n, pct, common), "token long, cid long, size int, is_common boolean, is_inner boolean, last long"), "post")
+    post = written(d.mapInArrow(_postings(n, pct, common), "token long, cid long, size int, is_common boolean, pos int, last long"), "post")
     # tokens that two classes have.  Rare ones: one shuffle, a token's classes meet in one
     # small window; common ones, which only near-copy groups have in a prefix, are grouped
-    # with map-side combining and a join that may be split
+    # with map-side combining and a join that may be split.  A class that several tasks
+    # have posted counts once from here on
     over = "OVER (PARTITION BY token)"
-    rare = post.where("NOT is_common").selectExpr("token", "cid", "size", "is_inner", f"min(cid) {over} AS lo", f"max(cid) {over} AS hi")
-    often = post.where("is_common").distinct()
+    rare = post.where("NOT is_common").selectExpr("token", "cid", "size", "pos", f"min(cid) {over} AS lo", f"max(cid) {over} AS hi")
+    rare = rare.where("lo <> hi").dropDuplicates(["token", "cid"])
+    often = post.where("is_common").dropDuplicates(["token", "cid"])
     tops = often.groupBy("token").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo <> hi")
-    often = often.join(tops, "token").select("token", "cid", "size", "is_inner", "lo", "hi")
-    met = written(rare.union(often).where("lo <> hi").select("token", "cid", "size", "is_inner"), "met")
+    often = often.join(tops.select("token"), "token", "left_semi")
+    met = written(rare.select("token", "cid", "size", "pos").union(often.select("token", "cid", "size", "pos")), "met")
     # the most that a class can share with one whose prefix ends later: all but those prefix
     # tokens that no other prefix has.  A pair needs one class that can reach the threshold
     # so, hence a token without such a class links nobody
@@ -305,23 +324,26 @@ def classes_and_links(docs: DataFrame, n: int = 5, pct: int = 80) -> tuple[DataF
     met = met.join(maybe_broadcast(written(can, "can"), 32), "cid")
     met = written(met.join(met.where(f"100L * most >= {pct}L * size").select("token").distinct(), "token", "left_semi"), "met")
 
+    # rows that can make a pair with some partner
+    front = met.where(f"pos <= size - ({pct}L * size + 99) div 100")
     sets, links = _Sets(d, members, n, pct, common), None
     for last in (False, True):
         if not last:
             # every class against the token's most central one: the one with the least of its own
-            centre = met.where("is_inner").groupBy("token").agg(F.min(F.struct((F.col("size") - F.col("most")).alias("own"), "cid", "size", "most", "last")).alias("c"))
-            more = met.join(centre.selectExpr("token", "c.cid AS x", "c.size AS nx", "c.most AS mx", "c.last AS lx", "true AS ix"), "token")
+            centre = front.groupBy("token").agg(F.min(F.struct((F.col("size") - F.col("most")).alias("own"), "cid", "size", "most", "last", "pos")).alias("c"))
+            more = front.join(centre.selectExpr("token", "c.cid AS x", "c.size AS nx", "c.most AS mx", "c.last AS lx", "c.pos AS px"), "token")
         else:
             comp = components(links).withColumnRenamed("node", "cid")
-            lab = met.join(maybe_broadcast(comp, 24), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
+            lab = front.join(maybe_broadcast(comp, 24), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
             # tokens with two components or more, and each token's largest one; every pair
             # of two components has an end outside it
             per = lab.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
             open_ = per.groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("m", "comp")).alias("main"))
             lab = lab.join(open_.where("comps > 1").selectExpr("token", "main.comp AS main"), "token")
-            out = lab.where("comp <> main").selectExpr("token", "cid AS x", "size AS nx", "most AS mx", "last AS lx", "is_inner AS ix", "comp AS cx")
+            out = lab.where("comp <> main").selectExpr("token", "cid AS x", "size AS nx", "most AS mx", "last AS lx", "pos AS px", "comp AS cx")
             more = lab.join(out, "token").where("cx <> comp AND (comp = main OR x < cid)")
         more = written(_meet(more, pct), "pairs")
+        more = written(_share_enough(more, met, pct), "pairs")
         found = _verify(more, sets.of(more), pct)
         links = written(found if links is None else links.union(found), "links")
     return members, links
