@@ -32,6 +32,10 @@ __all__ = ["table", "scratch_path", "written", "small_enough", "maybe_broadcast"
 BROADCAST_BYTES = 32 << 20
 #: Text bytes handled at once inside a task (a single longer text still goes whole).
 SLICE_BYTES = 1 << 19
+#: Rows handled at once inside a task, however short their texts are.
+SLICE_ROWS = 1024
+#: Bytes of an Arrow batch that a Python worker is sent at once while a table is written (a longer row goes whole).
+BATCH_BYTES = 4 << 20
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -47,7 +51,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -149,8 +159,8 @@ def shingles(words: Words, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return res, so
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, bytes, offsets) runs of whole rows with at most ``most`` bytes of text (or one row); null is empty."""
+def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, bytes, offsets) runs of at most ``rows`` whole rows with at most ``most`` bytes of text (or one row); null is empty."""
     for rb in batches:
         if rb.num_rows == 0:
             continue
@@ -165,7 +175,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int
         data = np.frombuffer(bufs[2], dtype=np.uint8) if bufs[2] is not None else np.zeros(0, dtype=np.uint8)
         i = 0
         while i < len(col):
-            j = max(i + 1, int(np.searchsorted(offs, offs[i] + most, side="right")) - 1)
+            j = max(i + 1, min(i + rows, int(np.searchsorted(offs, offs[i] + most, side="right")) - 1))
             yield rb.slice(i, j - i), data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
             i = j
 

@@ -65,7 +65,7 @@ BUCKET_BITS = 19
 #: Distinct words and marks that a task remembers with their ids; forgetting them only costs time.
 REMEMBERED = 1 << 19
 #: Text bytes encoded at once (a single longer text still goes whole): words repeat more in longer runs.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES, SLICE_ROWS = 4 << 20, 16_384
 #: Ranges of the exchange at most; a range is read as a stream, so its size bounds nothing.
 MAX_PARTS = 20_000
 FORMAT = (
@@ -304,7 +304,7 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_col:
         enc, part, seq = Encoder(tokenizer, by_word), TaskContext.get().partitionId(), 0
         base = max(enc.base, end_id + 1)
         held, names, tokens = [], [], 0
-        for rb, _, _ in text_slices(batches, most=SLICE_BYTES):
+        for rb, _, _ in text_slices(batches, most=SLICE_BYTES, rows=SLICE_ROWS):
             ids, n = enc(pc.fill_null(rb.column(1), ""))
             held.append((np.insert(ids, np.cumsum(n), end_id), n + 1))
             names += rb.column(0).to_pylist()
