@@ -3,57 +3,59 @@
 The reference stores nested metadata as text that is sometimes JSON and
 sometimes a Python literal (single quotes, ``None``); anything unparsable,
 a lone object or null becomes an empty list, and only object elements are
-kept.  Everything here is a built-in expression, so it runs inside codegen.
+kept.  A text is parsed once, to a VARIANT, and its fields are read by path.
+Only texts that are no JSON go to Python, in Arrow batches, to be read as
+Python reads its literals.
 """
 
 from __future__ import annotations
 
+import ast
+import json
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def _empty() -> Column:
-    return F.array().cast("array<string>")
-
-
-# A quoted string of either kind, and a mark that occurs in no text.
-_STRING = r"""('(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+")"""
-_MARK = "\ue000"
-# Python-literal forms outside strings and their JSON spelling.
-_LITERALS = ((r"\bNone\b", "null"), (r"\bTrue\b", "true"), (r"\bFalse\b", "false"), (r"\(", "["), (r"\)", "]"), (r",(?=\s*[\]}])", ""))
 
+def literal_as_json(text: str | None) -> str | None:
+    """The JSON form of a text that Python's JSON reader or literal syntax accepts, else None."""
+    if text is None:
+        return None
+    for read in (json.loads, ast.literal_eval):
+        try:
+            return json.dumps(read(text), default=str, skipkeys=True, allow_nan=False)
+        except (ValueError, TypeError, SyntaxError, RecursionError, MemoryError):
+            continue
+    return None
 
-def _outside_strings(text: Column, pattern: str, to: str) -> Column:
-    """Replace ``pattern`` by ``to`` outside quoted strings.
 
-    Every string and every match gets a mark behind it (a match is dropped, a
-    string kept); a mark behind a quote is then removed, the others become ``to``.
-    """
-    marked = F.regexp_replace(text, f"{_STRING}|{pattern}", "$1" + _MARK)
-    return F.replace(F.regexp_replace(marked, f"([\"']){_MARK}", "$1"), F.lit(_MARK), F.lit(to))
+@F.pandas_udf(StringType())
+def _literals(texts: pd.Series) -> pd.Series:
+    return texts.map(literal_as_json)
 
 
 def object_list(text: Column) -> Column:
-    """``array<string>`` of the raw JSON text of each object element; never null."""
-    fixed = F.replace(text, F.lit(_MARK), F.lit(""))
-    for pattern, to in _LITERALS:
-        fixed = _outside_strings(fixed, pattern, to)
-    parsed = F.from_json(fixed, "array<string>", {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})
-    objs = F.filter(parsed, lambda x: x.isNotNull() & x.startswith("{"))
-    return F.coalesce(objs, _empty())
+    """``array<variant>`` of the object elements; never null."""
+    v = F.try_parse_json(text)
+    other = _literals(F.when(v.isNull(), text))
+    items = F.try_variant_get(F.coalesce(v, F.try_parse_json(other)), "$", "array<variant>")
+    objs = F.filter(items, lambda x: F.schema_of_variant(x).startswith("OBJECT"))
+    return F.coalesce(objs, F.array().cast("array<variant>"))
 
 
 def _field(obj: Column, key: str) -> Column:
-    return F.from_json(obj, "map<string,string>")[key]
-
-
-def _has(obj: Column, key: str) -> Column:
-    return F.map_contains_key(F.from_json(obj, "map<string,string>"), F.lit(key))
+    return F.try_variant_get(obj, f"$.{key}", "string")
 
 
 def names(objs: Column) -> Column:
     """``name`` of every object; a missing key gives '' and an explicit null stays null."""
-    return F.transform(objs, lambda o: F.when(_has(o, "name"), _field(o, "name")).otherwise(F.lit("")))
+    return F.transform(objs, lambda o: F.when(F.try_variant_get(o, "$.name", "variant").isNull(), F.lit("")).otherwise(_field(o, "name")))
 
 
 def names_where(objs: Column, key: str, value: str) -> Column:

@@ -50,7 +50,7 @@ def build_mf(spark: SparkSession, out: str, factors: int = 128, iters: int = 20,
     ids = spark.read.parquet(_p(out, "items_processed")).select("id")
     conf = interactions.confidences(interactions.prune_sparse(mapped, ids, min_user_cnt, min_item_cnt), alpha)
     model, users, items = als_ops.train(conf, factors, iters, alpha, reg, seed)
-    model.write().overwrite().save(_p(out, "als_model"))
+    model.save(_p(out, "als_model"))
     io.write_table(users, _p(out, "user_index"))
     io.write_table(items, _p(out, "item_index"))
     uf, itf = als_ops.factors_by_id(model, users, items)

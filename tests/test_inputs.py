@@ -61,3 +61,31 @@ def test_nested_literals(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)], "i int, t string")
     rows = df.select("i", nested.names(nested.object_list(F.col("t"))).alias("n")).orderBy("i").collect()
     assert [r.n for r in rows] == [want for _, want in CASES]
+
+
+def test_literals_as_python_reads_them(spark):
+    """Whatever Python's JSON reader or literal syntax accepts, and nothing else."""
+    import ast
+    import json
+
+    texts = [
+        "[{u'name': u'x'}]", r"[{'name': '\x41é'}]", "[{'name': 'a' 'b'}]", "({'name': 'x'}, {'name': None})", "[{'name': 'it\\'s'}, {'id': 1}]",
+        "{'name': 'lone'}", "'name'", "[{'name': 'x',},]", "[{'name': true}]", '[{"name": NaN}]', '[{"name": "a", "name": "b"}]', '[{"name": "[(None)]"}]',
+        "[[{'name': 'deep'}]]", "[1, 'x', {'name': 'y'}]", "[{'name': 'x'}", "__import__('os')", "[" * 500, "", "[{'name': 'tab\\t'}]", '[{"name": "\\u0041"}]',
+    ]
+
+    def python(t):
+        try:
+            v = json.loads(t)
+        except Exception:  # noqa: BLE001
+            try:
+                v = ast.literal_eval(t)
+            except Exception:  # noqa: BLE001
+                return []
+        return [o.get("name", "") for o in v if isinstance(o, dict)] if isinstance(v, (list, tuple)) else []
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r.n for r in df.select("i", nested.names(nested.object_list(F.col("t"))).alias("n")).orderBy("i").collect()]
+    want = [python(t) for t in texts]
+    want[9] = []  # a NaN has no JSON form
+    assert got == want

@@ -94,22 +94,6 @@ def test_training_with_a_heavy_user_nominal_column_and_early_stop(spark, tmp_pat
     assert a == b
 
 
-def test_array_trees_equal_sparks_prediction(spark):
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import DecisionTreeRegressor
-
-    df = ranker.prepare(_rows(spark, 30, 50)).withColumn("lang_idx", F.col("lang_idx").alias("lang_idx", metadata={"ml_attr": {"type": "nominal", "name": "lang_idx", "num_vals": 5}}))
-    feats = ["runtime_z", "lang_idx", "popularity"]
-    x = VectorAssembler(inputCols=feats, outputCol="fv").transform(df)
-    model = DecisionTreeRegressor(featuresCol="fv", labelCol="label", maxDepth=4, leafCol="leaf").fit(x)
-    tree = ranker.Tree.of(model, feats)
-    want = model.transform(x).select(*feats, "prediction", "leaf").toPandas()
-    got = tree.predict({f: want[f].to_numpy() for f in feats}, len(want))
-    assert np.allclose(got, want["prediction"])
-    leaves = tree.leaves()
-    assert all(np.isclose(tree.value[leaves[int(k)]], v) for k, v in zip(want["leaf"], want["prediction"]))
-
-
 def test_svd_with_huge_ids_transforms_new_documents_alike(spark):
     base = 3 * 10**12
     docs = spark.createDataFrame([(base + i, f"alpha beta w{i % 4} w{i % 3} gamma{i % 2}") for i in range(40)], "id long, clean_tags string")
