@@ -11,16 +11,21 @@ costs a few array passes.  Matches are grouped by document, item and alignment.
 
 Slot check: under one alignment, equal slot values of the item must stand for
 equal values in the document (3 apples ... 3 pears may become 7 apples ... 7
-pears, not 7 apples ... 9 pears).  Alignments that fail are ignored.  A document
-is contaminated by an item when consistent alignments cover ``min_share`` of the
-item's windows, or ``enough`` windows of a long one.
+pears, not 7 apples ... 9 pears).  Where they do not, the value that most of an item
+value's places have (on a tie the unchanged one) counts as its stand-in, and only windows
+over other places are rejected.  A document is contaminated by an item when consistent
+windows cover ``min_share`` of the item's, or ``enough`` of a long one, or when
+neighbouring windows repeat a run of ``literal_run`` words word for word.
+
+Items without a window of their own (fewer than ``n`` words, or too few literals in every
+window) are matched whole and word for word, from ``min_literal`` words on: their first words
+are hash-joined like a window and the rest is compared.
 
 Everything is DataFrame expressions.  The benchmark's windows are broadcast only
 under a size bound, otherwise the join shuffles on the window hash.
 
 Defined results: a null or empty text or item has no window and matches
-nothing, like an item of fewer than ``n`` words or one whose windows hold fewer
-than ``min_literal`` literal words (no evidence); rows with equal id and text are
+nothing, like an item of fewer than ``min_literal`` words (no evidence); rows with equal id and text are
 reported once; a null id is reported as null; empty tables give an empty table;
 other columns are ignored.
 """
@@ -108,10 +113,27 @@ def windows(template: Column, n: int) -> Column:
     return _let(F.transform(template, lambda x: F.xxhash64(x)), lambda x: grow({1: x}, 1))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 8, min_literal: int = 4, min_share: float = 0.5, enough: int = 40) -> DataFrame:
+def _whole_items(d: DataFrame, b: DataFrame, w: DataFrame, n: int, min_literal: int) -> DataFrame | None:
+    """Word-for-word matches (doc_id, text_hash, item_id, item_key, first_word) of the items without a window."""
+    size = F.least(F.size("toks"), F.lit(n))
+    some = b.where(F.size("toks") >= max(1, min_literal)).join(w.select(F.col("item_id").alias("i_"), F.col("item_key").alias("k_")).distinct(), F.col("item_id").eqNullSafe(F.col("i_")) & (F.col("item_key") == F.col("k_")), "left_anti")
+    bare = lambda c: F.transform(c, lambda x: F.translate(x, NUM + UNIT + NAME, ""))
+    some = some.select("item_id", "item_key", bare(F.col("toks")).alias("toks"))
+    sizes = sorted(r[0] for r in some.select(size).distinct().collect())  # n values at most
+    found = None
+    for k in sizes:
+        mine = some.where(size == k).select("item_id", "item_key", "toks", F.element_at(windows(F.slice("toks", 1, k), k), 1).alias("w"))
+        seen = d.select("doc_id", "text_hash", bare(annotated(F.col("text"))).alias("doc_toks")).select("doc_id", "text_hash", "doc_toks", F.posexplode(windows(F.col("doc_toks"), k)).alias("pos", "w"))
+        hits = seen.join(maybe_broadcast(mine, 4096), "w").where(F.slice("doc_toks", F.col("pos") + 1, F.size("toks")) == F.col("toks"))
+        hits = hits.groupBy("doc_id", "text_hash", "item_id", "item_key").agg(F.min("pos").cast("long").alias("first_word"))
+        found = hits if found is None else found.union(hits)
+    return found
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 8, min_literal: int = 4, min_share: float = 0.5, enough: int = 40, literal_run: int = 13) -> DataFrame:
     """``doc_id, item_id, n_windows, n_matched, share, first_word, verbatim, text_hash``, one row per document and item."""
-    if n < 1 or not 0 < min_share <= 1 or not 0 <= min_literal <= n:
-        raise ValueError("n must be positive, min_share within (0, 1] and min_literal within 0..n")
+    if n < 1 or not 0 < min_share <= 1 or not 0 <= min_literal <= n or literal_run < n:
+        raise ValueError("n must be positive, min_share within (0, 1], min_literal within 0..n and literal_run at least n")
     mark = lambda x: F.substring(x, 1, 1).isin(NUM, UNIT, NAME)
     b = benchmark.select("item_id", F.col("text").cast("string").alias("text")).dropDuplicates().withColumn("toks", annotated(F.coalesce("text", F.lit(""))))
     b = b.withColumn("tmpl", canonical("toks"))
@@ -136,18 +158,33 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 8, min_literal:
     r = runs.join(texts, same("doc_id", "id_") & (F.col("text_hash") == F.col("th_")))
     items = b.select(F.col("item_id").alias("it_"), F.col("item_key").alias("ik_"), "toks")
     r = r.join(maybe_broadcast(items, 4096), same("item_id", "it_") & same("item_key", "ik_"))
-    covered = lambda p: F.exists("at", lambda q: (q <= p) & (p < q + n))
-    spots = F.filter(F.sequence(F.lit(0), F.size("toks") - 1), lambda p: mark(F.element_at("toks", p + 1)) & covered(p))
-    pair = lambda p: F.struct(F.element_at("toks", p + 1).alias("i"), F.element_at("doc_toks", p + F.col("shift") + 1).alias("d"))
-    r = r.withColumn("slots", F.array_distinct(F.transform(spots, pair)))
-    r = r.where(F.size("slots") == F.size(F.array_distinct(F.col("slots.i"))))
-    r = r.withColumn("same", F.forall("slots", lambda s: s["i"] == s["d"])).withColumn("start", F.element_at("at", 1) + F.col("shift"))
-    g = r.select("doc_id", "text_hash", "item_id", "item_key", "same", "start", F.explode("at").alias("p")).groupBy("doc_id", "text_hash", "item_id", "item_key")
-    g = g.agg(F.countDistinct("p").alias("n_matched"), F.min("start").cast("long").alias("first_word"), F.min("same").alias("verbatim"))
+    r = r.select("*", *_consistent(n)).where("size(at_) > 0")
+    # windows that are the same word for word, and the longest run of neighbouring ones
+    plain = f"filter(at_, q -> slice(toks, q + 1, {n}) = slice(doc_toks, q + shift + 1, {n}))"
+    longest = f"aggregate({plain}, named_struct('last', -2, 'run', 0, 'best', 0), (a, q) -> named_struct('last', q, 'run', if(q = a.last + 1, a.run + 1, 1), 'best', greatest(a.best, if(q = a.last + 1, a.run + 1, 1))), a -> a.best)"
+    r = r.withColumn("run", F.expr(longest)).withColumn("same", F.expr(f"size({plain}) = size(at_)")).withColumn("start", F.element_at("at_", 1) + F.col("shift"))
+    g = r.select("doc_id", "text_hash", "item_id", "item_key", "same", "start", "run", F.explode("at_").alias("p")).groupBy("doc_id", "text_hash", "item_id", "item_key")
+    g = g.agg(F.countDistinct("p").alias("n_matched"), F.min("start").cast("long").alias("first_word"), F.min("same").alias("verbatim"), F.max("run").alias("run"))
     nw = n_windows.select(F.col("item_id").alias("it_"), F.col("item_key").alias("ik_"), "n_windows")
     g = g.join(maybe_broadcast(nw, 48), same("item_id", "it_") & same("item_key", "ik_"))
-    g = g.where((F.col("n_matched") >= min_share * F.col("n_windows")) | (F.col("n_matched") >= enough))
-    return g.select("doc_id", "item_id", "n_windows", "n_matched", (F.col("n_matched") / F.col("n_windows")).alias("share"), "first_word", "verbatim", "text_hash")
+    g = g.where((F.col("n_matched") >= min_share * F.col("n_windows")) | (F.col("n_matched") >= enough) | (F.col("run") >= literal_run - n + 1))
+    g = g.select("doc_id", "item_id", "n_windows", "n_matched", (F.col("n_matched") / F.col("n_windows")).alias("share"), "first_word", "verbatim", "text_hash")
+    whole = _whole_items(d, b, w, n, min_literal)
+    if whole is None:
+        return g
+    one = F.lit(1).cast("long")
+    return g.union(whole.select("doc_id", "item_id", one, one, F.lit(1.0), "first_word", F.lit(True), "text_hash"))
+
+
+def _consistent(n: int) -> list[Column]:
+    """``at_``: the windows of an alignment that cover no place whose value is not its item value's stand-in."""
+    spots = f"filter(sequence(0, size(toks) - 1), p -> substring(toks[p], 1, 1) IN ('{NUM}', '{UNIT}', '{NAME}') AND exists(at, q -> q <= p AND p < q + {n}))"
+    pairs = f"transform({spots}, p -> struct(p AS p, toks[p] AS i, doc_toks[p + shift] AS d))"
+    # values by their places, the unchanged one first on a tie
+    scored = "transform(array_distinct(transform(l, x -> struct(x.i AS i, x.d AS d))), k -> struct(k.i AS i, k.d AS d, 2 * size(filter(l, x -> x.i = k.i AND x.d = k.d)) + int(k.i = k.d) AS s))"
+    stand_in = "filter(k, x -> NOT exists(k, o -> o.i = x.i AND o.d <> x.d AND (o.s > x.s OR (o.s = x.s AND o.d < x.d))))"
+    wrong = f"element_at(transform(array({pairs}), l -> element_at(transform(array({scored}), k -> element_at(transform(array({stand_in}), ok -> filter(l, x -> NOT exists(ok, y -> y.i = x.i AND y.d = x.d))), 1)), 1)), 1)"
+    return [F.expr(f"element_at(transform(array({wrong}), bad -> filter(at, q -> NOT exists(bad, x -> q <= x.p AND x.p < q + {n}))), 1) AS at_")]
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:

@@ -140,35 +140,54 @@ def items(spark, rows):
     return spark.createDataFrame([(*r, "extra") for r in rows], "item_id long, text string, doc_id string")
 
 
-def brute_hits(docs, bench, n=8, share=0.5, enough=40):
-    """Verbatim or slot-consistent windows by plain token lists (digits are the only slots here)."""
+def brute_hits(docs, bench, n=8, share=0.5, enough=40, run=13):
+    """Items matched word for word, or by slot-consistent windows, by plain token lists; slots are numbers, names
+    inside sentences and units."""
     import re
 
     def toks(t):
-        t = re.sub(r"([0-9]+(?:[.,:/][0-9]+)*)", "\x01\\1", t or "")
+        t = re.sub(r"(?<=[a-z,;] )([A-Z][a-z]+)", "\x03\\1", t or "")
+        t = re.sub(r"([0-9]+(?:[.,:/][0-9]+)*)", "\x01\\1", t)
+        t = re.sub(r"\b(km|kg|miles|pounds)\b", "\x02\\1", t)
         t = "".join(c for c in t if c not in op6.PUNCT).lower()
         return [x for x in re.split(op6.SPACE, t) if x]
 
-    tmpl = lambda w: ["\x01" if x[0] == "\x01" else x for x in w]
+    slot = lambda x: x[0] in "\x01\x02\x03"
+    tmpl = lambda w: [x[0] if slot(x) else x for x in w]
     out = set()
     for i, bt in bench:
         b = toks(bt)
         bw = [tuple(tmpl(b)[k : k + n]) for k in range(len(b) - n + 1)]
-        ok = [k for k, w in enumerate(bw) if sum(x != "\x01" for x in w) >= 4]
+        ok = [k for k, w in enumerate(bw) if sum(x not in "\x01\x02\x03" for x in w) >= 4]
         for d, dt in docs:
             w = toks(dt)
+            if not ok:
+                bare = lambda v: [x.lstrip("\x01\x02\x03") for x in v]
+                if len(b) >= 4 and any(bare(w[p : p + len(b)]) == bare(b) for p in range(len(w) - len(b) + 1)):
+                    out.add((d, i, 1, 1))
+                continue
             shifts = {}
             dw = [tuple(tmpl(w)[k : k + n]) for k in range(len(w) - n + 1)]
             for p, x in enumerate(dw):
                 for k in ok:
                     if bw[k] == x:
                         shifts.setdefault(p - k, set()).add(k)
-            hit = set()
+            hit, best = set(), 0
             for s, ks in shifts.items():
-                pairs = {(b[p], w[p + s]) for p in range(len(b)) if b[p][0] == "\x01" and any(k <= p < k + n for k in ks)}
-                if len(pairs) == len({a for a, _ in pairs}):
-                    hit |= ks
-            if ok and (len(hit) >= share * len(ok) or len(hit) >= enough):
+                spots = [p for p in range(len(b)) if slot(b[p]) and any(k <= p < k + n for k in ks)]
+                votes = {}
+                for p in spots:
+                    votes.setdefault(b[p], []).append(w[p + s])
+                stands = {v: min(set(ds), key=lambda x: (-2 * ds.count(x) - (x == v), x)) for v, ds in votes.items()}
+                wrong = [p for p in spots if stands[b[p]] != w[p + s]]
+                ks = {k for k in ks if not any(k <= p < k + n for p in wrong)}
+                hit |= ks
+                plain = sorted(k for k in ks if b[k : k + n] == w[k + s : k + s + n])
+                length = 0
+                for j, k in enumerate(plain):
+                    length = length + 1 if j and k == plain[j - 1] + 1 else 1
+                    best = max(best, length)
+            if len(hit) >= share * len(ok) or len(hit) >= enough or best >= run - n + 1:
                 out.add((d, i, len(ok), len(hit)))
     return out
 
@@ -176,22 +195,46 @@ def brute_hits(docs, bench, n=8, share=0.5, enough=40):
 def test_contamination_equals_brute_force(spark, make):
     rng = random.Random(8)
     vocab = ["red", "green", "tree", "apples", "walks", "toward", "box", "holds", "sum", "of", "the", "and", "river", "seven"]
-    sent = lambda n: " ".join(rng.choice(vocab) if rng.random() > 0.15 else str(rng.randrange(5)) for _ in range(n))
-    bench = [(i, sent(rng.randrange(5, 60))) for i in range(15)] + [(50, None), (51, ""), (52, "1 2 3 4 5 6 7 8 9")]
+    names, units = ["Anna", "Tomas", "Berta"], ["km", "kg", "miles", "pounds"]
+
+    def word():
+        x = rng.random()
+        return str(rng.randrange(5)) if x < 0.12 else rng.choice(names) if x < 0.17 else rng.choice(units) if x < 0.2 else rng.choice(vocab)
+
+    def sent(n):
+        w = ["the", *(word() for _ in range(n))]
+        return " ".join(x if not (x in names and p[-1].isdigit()) else "and" for p, x in zip(w, w[1:]))
+
+    bench = [(i, sent(rng.randrange(3, 60))) for i in range(20)] + [(50, None), (51, ""), (52, "1 2 3 4 5 6 7 8 9"), (53, "a short question"), (54, "where does the river end")]
     docs = []
-    for i in range(60):
-        t = sent(rng.randrange(0, 120))
-        if i % 2:
-            b = rng.choice(bench[:15])[1].split()
+    for i in range(90):
+        t = sent(rng.randrange(1, 120))
+        if i % 3:
+            b = rng.choice(bench[:20] + bench[-3:])[1].split()
             cut = b[: rng.randrange(len(b) // 3, len(b) + 1)]
-            if i % 3:  # another number for each number, consistently or not
-                new = {str(k): str(10 + k) for k in range(5)}
-                cut = [new.get(x, x) if i % 5 else (str(rng.randrange(90)) if x in new else x) for x in cut]
-            t = f"{t} {' '.join(cut)}, {sent(20)}"
+            if i % 4:  # another value for each slot, consistently or not
+                new = {str(k): str(10 + k) for k in range(5)} | {"Anna": "Maria", "Tomas": "Ivan", "km": "miles"}
+                cut = [new.get(x, x) if i % 5 else (rng.choice([x, new[x]]) if x in new else x) for x in cut]
+            t = f"{t} and {' '.join(cut)}, {sent(20)}"
         docs.append((i, t))
     got = {(r.doc_id, r.item_id, r.n_windows, r.n_matched) for r in op6.contaminated(make(docs), items(spark, bench)).collect()}
     assert got == brute_hits(docs, bench)
-    assert len(got) > 15
+    assert len(got) > 25 and any(r[2] == r[3] == 1 for r in got)
+
+
+def test_short_items_excerpts_and_one_changed_slot(spark, make):
+    short = "which river is the longest in europe"  # seven words
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(67)]
+    item = " ".join(words)
+    twice = "the old mill sells 3 bags of white flour to the baker and the young baker sells 3 loaves of bread to the mill on every market day in the town"
+    docs = [
+        (1, "someone asked: Which river is the longest in Europe? nobody knew"),
+        (2, "plain start " + " ".join(words[20:54]) + " plain end"),  # 34 of 67 words
+        (3, "so " + twice.replace("sells 3 loaves", "sells 8 loaves") + " it is said"),
+        (4, "which river is the widest in europe and which " + " ".join(words[:11])),
+    ]
+    got = {(r.doc_id, r.item_id) for r in op6.contaminated(make(docs), items(spark, [(1, short), (2, item), (3, twice)])).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3)}
 
 
 def test_variants_slots_names_and_units(spark, make):
@@ -200,7 +243,7 @@ def test_variants_slots_names_and_units(spark, make):
     docs = [
         (1, "intro words here " + q + " and more"),
         (2, q.replace("Anna", "Maria").replace("3", "7").replace("5 km", "9 miles").replace("Tom", "Paul")),
-        (3, q.replace("Anna gives 3", "Anna gives 8")),  # one 3 became 8: the slots contradict each other
+        (3, q.replace("Anna gives 3", "Anna gives 8").replace("friend", "good old friend")),  # one 3 became 8: windows over it do not count
         (4, "Nothing of the kind stands here, only 3 apples and some plain words about walking."),
         (5, None),
         (None, q),
