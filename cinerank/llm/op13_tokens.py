@@ -63,7 +63,7 @@ FALL = 3
 #: Pairs are counted in this many buckets (as a power of two) before the frequent ones are sorted.
 BUCKET_BITS = 19
 #: Distinct words and marks that a task remembers with their ids; forgetting them only costs time.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 #: Text bytes encoded at once (a single longer text still goes whole): words repeat more in longer runs.
 SLICE_BYTES, SLICE_ROWS = 4 << 20, 16_384
 #: Ranges of the exchange at most; a range is read as a stream, so its size bounds nothing.
@@ -288,7 +288,7 @@ def _shard_row(part: int, seq: int, doc_ids: list, ids: np.ndarray, n: np.ndarra
     return pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(row.values(), kinds)], names=list(row))
 
 
-def encode(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", by_word: bool = True, shard_tokens: int = 1 << 20, part_bytes: int = 16 << 20) -> None:
+def encode(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", by_word: bool = True, shard_tokens: int = 1 << 20, part_bytes: int = 64 << 20) -> None:
     """Write the ids of all ``docs`` to ``path`` in the format above."""
     if shard_tokens < 1 or part_bytes < 1 or end_id < 0:
         raise ValueError("shard_tokens and part_bytes must be at least 1 and end_id not negative")
