@@ -542,3 +542,20 @@ ORACLE["tfidf_weights"] = _q(f"""
 SELECT doc_id, term, {R6('w / CASE WHEN nrm = 0 THEN 1.0 ELSE nrm END')} AS weight
 FROM (SELECT doc_id, term, w, sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS nrm FROM tw) x
 """, TFIDF_CTES)
+
+
+# ─── invariants of learned results ───────────────────────────────────────
+
+ORACLE["als_factors_checks"] = _q("""
+SELECT 'user' AS kind, count(DISTINCT userId) AS n_rows, count(DISTINCT userId) AS n_ids, CAST(0 AS BIGINT) AS n_other_dim, CAST(0 AS BIGINT) AS n_not_finite FROM pruned
+UNION ALL SELECT 'item', count(DISTINCT movieId), count(DISTINCT movieId), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM pruned
+""")
+ORACLE["als_recall_checks"] = _q2("""
+SELECT split, count(*) AS n_users, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(n) AS BIGINT) AS n_pairs, CAST(0 AS BIGINT) AS n_seen, CAST(0 AS BIGINT) AS n_unknown, CAST(0 AS BIGINT) AS n_rank_gaps, CAST(0 AS BIGINT) AS n_out_of_order
+FROM (SELECT u.split, u.userId,
+             least(300, (SELECT count(DISTINCT id) FROM items_joined) - (SELECT count(DISTINCT s.movieId) FROM seen s WHERE s.split = u.split AND s.userId = u.userId AND s.movieId IN (SELECT id FROM items_joined))) AS n
+      FROM (SELECT DISTINCT split, userId FROM ratings_split WHERE userId IN (SELECT userId FROM pruned)) u) t
+GROUP BY split
+""")
+ORACLE["svd_checks"] = _q("SELECT count(DISTINCT doc_id) AS n_docs, CAST(0 AS BIGINT) AS n_too_long, CAST(0 AS BIGINT) AS n_rising, true AS orthogonal FROM tw", TFIDF_CTES)
+ORACLE["ranker_checks"] = _q2("SELECT count(*) AS n_rows, count(DISTINCT userId) AS n_users, CAST(0 AS BIGINT) AS n_bad FROM loaded WHERE split = 'valid'")

@@ -370,3 +370,61 @@ def recommend_topk(spark: SparkSession, sf: str) -> DataFrame:
     w = Window.partitionBy("userId").orderBy(F.desc("pred"), F.asc("movieId"))
     top = pred.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= metrics.K)
     return top.select("userId", "movieId", "rank", r6("pred").alias("score"))
+
+
+# ─── invariants of learned results (each has an SQL oracle; the results themselves have none) ────
+
+
+def _count_if(c) -> Column:
+    return F.count(F.when(c, 1))
+
+
+@register("als_factors_checks")
+def als_factors_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows on either side of the factors, and how many have another length or a non-finite value."""
+    bad = F.exists("features", lambda x: F.isnan(x) | (F.abs(x) == float("inf")))
+    return als_factors(spark, sf).groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"), _count_if(F.col("dim") != 128).alias("n_other_dim"), _count_if(bad).alias("n_not_finite"))
+
+
+@register("als_recall_checks")
+def als_recall_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Per split: users, rows, and rows that break a rule of recall (seen, unknown, out of rank or score order)."""
+    from pyspark.sql import Window
+
+    def one(w):
+        r = chain.als_candidates(spark, sf, w)
+        seen = recall.seen_pairs(chain.split_ratings(spark, sf, w)).select("userId", "movieId").distinct().withColumn("is_seen", F.lit(True))
+        items = chain.items_joined(spark, sf).select(F.col("id").alias("movieId")).distinct().withColumn("known", F.lit(True))
+        by = Window.partitionBy("userId").orderBy("rank")
+        r = r.withColumn("rn", F.row_number().over(by)).withColumn("before", F.lag("score").over(by)).join(seen, ["userId", "movieId"], "left").join(items, "movieId", "left")
+        return r.agg(
+            F.countDistinct("userId").alias("n_users"), F.count(F.lit(1)).alias("n_rows"), F.countDistinct("userId", "movieId").alias("n_pairs"), _count_if(F.col("is_seen")).alias("n_seen"),
+            _count_if(F.col("known").isNull()).alias("n_unknown"), _count_if(F.col("rn") != F.col("rank")).alias("n_rank_gaps"), _count_if(F.col("score") > F.col("before")).alias("n_out_of_order"))
+
+    return chain.per_split(one, spark, sf)
+
+
+@register("svd_checks")
+def svd_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents, rows longer than the (unit) TF-IDF rows they project, and whether U·Σ has orthogonal, falling columns."""
+    x = svd_vectors(spark, sf)
+    long = x.select("doc_id", F.posexplode("features").alias("i", "v"))
+    size = long.groupBy("i").agg(F.sum(F.col("v") * F.col("v")).alias("s"))
+    near = long.join(long.select("doc_id", F.col("i").alias("j"), F.col("v").alias("u")).where("j < 8"), "doc_id").where("i < 8 AND i < j")
+    cross = near.groupBy("i", "j").agg(F.abs(F.sum(F.col("v") * F.col("u"))).alias("c")).agg(F.max("c").alias("c"))
+    top = size.agg(F.max("s").alias("top"), _count_if(F.col("s") < -1).alias("z"))
+    order = size.alias("a").join(size.alias("b"), F.col("b.i") == F.col("a.i") + 1).agg(_count_if(F.col("b.s") > F.col("a.s") * 1.000001).alias("n_rising"))
+    rows = x.agg(F.count(F.lit(1)).alias("n_docs"), _count_if(F.col("sq_norm") > 1.000001).alias("n_too_long"))
+    one = lambda df: df.withColumn("_k", F.lit(1))
+    out = one(rows).join(one(order), "_k").join(one(cross), "_k").join(one(top), "_k")
+    return out.select("n_docs", "n_too_long", "n_rising", (F.col("c") <= 1e-6 * F.col("top")).alias("orthogonal"))
+
+
+@register("ranker_checks")
+def ranker_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Scored validation rows and users, and rows without a finite score."""
+    ens, _log = chain.ranker(spark, sf)
+    p = ens.predict(ranker_ops.prepare(feat.load_split(chain.features(spark, sf, "valid"))))
+    bad = F.col("pred").isNull() | F.isnan("pred") | (F.abs("pred") == float("inf"))
+    return p.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("userId").alias("n_users"), _count_if(bad).alias("n_bad"))
