@@ -72,14 +72,29 @@ def content_tokens(df: DataFrame, text_col: str, out: str = "lemmas") -> DataFra
     """SCL8 re-aimed: word tokens minus English stop words, in text order.
 
     The reference runs a neural lemmatiser; here tokens stay as written
-    (identity lemma).  Stop words are removed by ``StopWordsRemover``
-    (JVM-side hash-set lookup).
+    (identity lemma) unless a dictionary is joined by ``lemmatised``.  Stop words
+    are removed by ``StopWordsRemover`` (JVM-side hash-set lookup).
     """
     with_tokens = df.withColumn("_tokens", tokens(F.col(text_col), WORD))
     remover = StopWordsRemover(inputCol="_tokens", outputCol=out)
     return remover.transform(with_tokens).drop("_tokens")
 
 
+def lemmatised(df: DataFrame, dictionary: DataFrame, key: str, lemma_col: str = "lemmas") -> DataFrame:
+    """SCL8: every token of ``lemma_col`` replaced by its lemma in ``dictionary`` (token, lemma), in place.
+
+    ``key`` identifies a row.  Tokens are joined by value, so the dictionary may be of any size (the planner
+    broadcasts a small one, adaptive execution splits frequent tokens), and put back by position.  Tokens
+    that the dictionary does not have, or has without a lemma, stay; the smallest of several lemmas counts.
+    """
+    d = dictionary.where("token IS NOT NULL AND lemma IS NOT NULL").groupBy("token").agg(F.min("lemma").alias("lemma"))
+    at = df.select(F.col(key).alias("_key"), F.posexplode(lemma_col).alias("_pos", "token")).join(d, "token", "left")
+    at = at.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("lemma", "token").alias("t")))).alias("_at"))
+    out = df.join(at, df[key].eqNullSafe(at["_key"]), "left")
+    done = F.coalesce(F.transform("_at", lambda x: x["t"]), F.array().cast("array<string>"))
+    return out.withColumn(lemma_col, done).drop("_key", "_at")
+
+
 def df_cut(df: DataFrame, lemma_col: str = "lemmas", out: str = "clean_tags", cut: float = DF_CUT) -> DataFrame:
     """AGG1-2 + JN20 + SCL9: drop tokens found in more than ``cut`` of the rows.
 

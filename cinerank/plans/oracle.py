@@ -159,6 +159,17 @@ ORACLE["tag_string"] = _q("SELECT id, tags_raw FROM items_tagged")
 
 ORACLE["token_df_cut"] = _q("SELECT doc_id, clean_tags FROM doc_clean", _df_cut_ctes("doc", "documents", "doc_id", "text"))
 
+_LEMMA_CTES = [
+    ("lm_tok", f"SELECT doc_id, list_filter(regexp_extract_all(lower(coalesce(text, '')), '{WORD}'), lambda t: NOT list_contains({STOP}, t)) AS toks FROM documents"),
+    ("lm_words", "SELECT DISTINCT unnest(toks) AS token FROM lm_tok"),
+    ("lm_dict", "SELECT p.token, s.token AS lemma FROM lm_words p JOIN lm_words s ON s.token = left(p.token, length(p.token) - 1) WHERE length(p.token) >= 4 AND p.token LIKE '%s'"),
+    ("lm_at", "SELECT doc_id, toks[i] AS token, i FROM (SELECT doc_id, toks, unnest(range(1, len(toks) + 1)) AS i FROM lm_tok) x"),
+    ("lm_done", "SELECT a.doc_id, a.i, coalesce(d.lemma, a.token) AS tok FROM lm_at a LEFT JOIN lm_dict d ON a.token = d.token"),
+    ("lm_drop", "SELECT tok FROM (SELECT DISTINCT doc_id, tok FROM lm_done) x GROUP BY tok HAVING count(*) > 0.5 * (SELECT count(*) FROM lm_tok)"),
+    ("lm_kept", "SELECT doc_id, string_agg(tok, ' ' ORDER BY i) AS clean FROM lm_done WHERE tok NOT IN (SELECT tok FROM lm_drop) GROUP BY doc_id"),
+]
+ORACLE["lemma_tokens"] = _q("SELECT t.doc_id, coalesce(k.clean, '') AS clean_tags FROM lm_tok t LEFT JOIN lm_kept k ON k.doc_id = t.doc_id", _LEMMA_CTES)
+
 ORACLE["item_clean_tags"] = _q("SELECT id, clean_tags FROM item_clean", _df_cut_ctes("item", "items_tagged", "id", "tags_raw"))
 
 ORACLE["language_index"] = _q("SELECT * FROM items_lang")

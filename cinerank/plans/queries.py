@@ -74,6 +74,17 @@ def token_df_cut(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "clean_tags")
 
 
+@register("lemma_tokens")
+def lemma_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Document tokens with plurals mapped to the singular where the documents hold both."""
+    toks = catalog.content_tokens(fixtures.documents(spark, sf), "text")
+    words = toks.select(F.explode("lemmas").alias("token")).distinct()
+    stem = F.expr("substring(token, 1, length(token) - 1)")
+    plural = words.where("length(token) >= 4 AND endswith(token, 's')").select("token", stem.alias("lemma"))
+    pairs = plural.join(words.select(F.col("token").alias("lemma")), "lemma", "left_semi")
+    return catalog.df_cut(catalog.lemmatised(toks, pairs, "doc_id")).select("doc_id", "clean_tags")
+
+
 @register("item_clean_tags")
 def item_clean_tags(spark: SparkSession, sf: str) -> DataFrame:
     items = chain.items_processed(spark, sf)

@@ -227,3 +227,13 @@ def test_tfidf_transform_matches_fit_on_same_corpus(spark):
     a = {(r.doc_id, r.term): round(r.weight, 12) for r in w.collect()}
     b = {(r.doc_id, r.term): round(r.weight, 12) for r in again.collect()}
     assert a == b
+
+
+def test_lemmas_are_put_back_in_place(spark):
+    from cinerank.operators import catalog
+
+    df = spark.createDataFrame([(1, ["cats", "run", "cats", "ran"]), (2, []), (3, ["x"])], "id long, lemmas array<string>")
+    words = spark.createDataFrame([("cats", "cat"), ("ran", "run"), ("ran", "rune"), ("x", None), (None, "y")], "token string, lemma string")
+    got = {r.id: r.lemmas for r in catalog.lemmatised(df, words, "id").collect()}
+    assert got == {1: ["cat", "run", "cat", "run"], 2: [], 3: ["x"]}
+    assert {r.id: r.lemmas for r in catalog.lemmatised(df, words.limit(0), "id").collect()} == {1: ["cats", "run", "cats", "ran"], 2: [], 3: ["x"]}
