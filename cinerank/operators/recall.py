@@ -15,8 +15,18 @@ from cinerank.operators.interactions import popularity
 TOP_R = 300
 CONTENT_TOP = 300
 MERGES = ("union", "interleave", "weighted")
-#: Copies of the popularity ranking in the rank join.
-SALTS = 16
+#: Rows that one key of a recall join should bring to a task; a hotter key's other side is copied.
+KEY_ROWS = 100_000
+
+
+def _copied(left: DataFrame, right: DataFrame, key: str, hottest: int) -> DataFrame:
+    """Join on ``key``, of which ``left`` has up to ``hottest`` rows: ``right`` is copied once per KEY_ROWS of
+    them (not at all where no key is that hot) and users are spread over the copies."""
+    salts = min(1024, 1 + (hottest - 1) // KEY_ROWS)
+    if salts <= 1:
+        return left.join(right, key)
+    left = left.withColumn("salt", F.pmod(F.xxhash64("userId"), F.lit(salts)).cast("int"))
+    return left.join(right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), [key, "salt"]).drop("salt")
 
 
 def seen_pairs(ratings: DataFrame) -> DataFrame:
@@ -46,10 +56,8 @@ def popular_unseen(ratings: DataFrame, top_r: int = TOP_R) -> DataFrame:
     slots = per_user.select(
         "userId", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(top_r) + F.col("m"), n_items))).alias("prank")
     )
-    # every user asks for the first ranks: copy the ranking SALTS times so that a rank is not one hot key
-    salts = F.array(*[F.lit(i) for i in range(SALTS)])
-    slots = slots.withColumn("salt", F.pmod(F.xxhash64("userId"), F.lit(SALTS)).cast("int"))
-    cand = slots.join(ranking.withColumn("salt", F.explode(salts)), ["prank", "salt"]).drop("salt")
+    # every user asks for the first ranks
+    cand = _copied(slots, ranking, "prank", per_user.count())
     cand = cand.join(seen, ["userId", "movieId"], "left_anti")
     w = Window.partitionBy("userId").orderBy("prank")
     return (
@@ -63,12 +71,11 @@ def seed_lists(seeds: DataFrame, neighbours: DataFrame) -> DataFrame:
     """JN18: (userId, seed) x (qid, iid, rank, score) -> (userId, movieId, rank, score).
 
     Most users share a few popular seeds, so the neighbour lists (at most k rows
-    for each distinct seed) are copied SALTS times and the users spread over them.
+    for each distinct seed) are copied where a seed has many users.
     """
-    salts = F.array(*[F.lit(i) for i in range(SALTS)])
-    s = seeds.withColumn("salt", F.pmod(F.xxhash64("userId"), F.lit(SALTS)).cast("int"))
-    nb = neighbours.withColumn("salt", F.explode(salts)).withColumnRenamed("qid", "seed")
-    return s.join(nb, ["seed", "salt"]).select("userId", F.col("iid").alias("movieId"), "rank", "score")
+    hottest = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    nb = neighbours.withColumnRenamed("qid", "seed")
+    return _copied(seeds, nb, "seed", hottest).select("userId", F.col("iid").alias("movieId"), "rank", "score")
 
 
 def merge_lists(mf: DataFrame, ct: DataFrame, how: str = "union", w_mf: float = 0.5, w_ct: float = 0.5, top_r: int = TOP_R) -> DataFrame:

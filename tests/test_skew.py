@@ -56,3 +56,18 @@ def test_hard_negatives_hot_user(spark):
     for u, g in c.groupby("userId"):
         exp = g.sort_values("rank")["movieId"].tolist()[:20]
         assert hard[hard.userId == u].sort_values("rank")["movieId"].tolist() == exp
+
+
+def test_copies_for_hot_keys_do_not_change_recall(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cinerank.operators import recall
+
+    ratings = spark.createDataFrame([(u, (u * i) % 50) for u in range(1, 40) for i in range(1, 9)], "userId long, movieId long")
+    seeds = spark.createDataFrame([(u, u % 3) for u in range(60)], "userId long, seed long")
+    near = spark.createDataFrame([(s, 100 + r, r, 1.0 / r) for s in range(3) for r in range(1, 6)], "qid long, iid long, rank long, score double")
+    run = lambda: (sorted(map(tuple, recall.popular_unseen(ratings, top_r=10).collect())), sorted(map(tuple, recall.seed_lists(seeds, near).collect())))
+    plain = run()
+    monkeypatch.setattr(recall, "KEY_ROWS", 4)
+    assert run() == plain and len(plain[0]) == 390 and len(plain[1]) == 300
+    assert recall.seed_lists(seeds.where(F.lit(False)), near).count() == 0
