@@ -109,3 +109,22 @@ def test_svd_with_huge_ids_transforms_new_documents_alike(spark):
 def test_unbounded_vocabulary_is_refused(spark, bad):
     with pytest.raises((ValueError, TypeError)):
         text.vocabulary(spark.createDataFrame([], "term string, tf long"), max_features=bad)
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_knn_keeps_a_running_top_and_moves_no_other_scores(spark, metric):
+    """The tops of item blocks do not leave their task: no window over them, and blocks do not change the result."""
+    n = knn.Q_CHUNK * 2 * spark.sparkContext.defaultParallelism
+    e = spark.range(n).select(F.col("id").alias("qid"), F.array((F.col("id") % 97).cast("float"), (F.col("id") % 89).cast("float"), F.lit(1.0).cast("float")).alias("features"))
+    i = e.select(F.col("qid").alias("iid"), "features").where("iid < 600")
+    out = knn.knn(e, i, 5, metric, i_block=64)
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    whole = knn.knn(e, i, 5, metric)
+    assert out.count() == 5 * n and out.exceptAll(whole).isEmpty()
+
+
+def test_knn_leaves_out_rows_without_a_usable_vector(spark):
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (None, [1.0, 1.0]), (6, [0.0, 1.0])]
+    e = spark.createDataFrame(rows, "qid long, features array<double>")
+    got = knn.knn(e, e.withColumnRenamed("qid", "iid"), 5, "l2").collect()
+    assert sorted((r.qid, r.iid) for r in got) == [(1, 1), (1, 6), (6, 1), (6, 6)]
