@@ -71,3 +71,23 @@ def test_copies_for_hot_keys_do_not_change_recall(spark, monkeypatch):
     monkeypatch.setattr(recall, "KEY_ROWS", 4)
     assert run() == plain and len(plain[0]) == 390 and len(plain[1]) == 300
     assert recall.seed_lists(seeds.where(F.lit(False)), near).count() == 0
+
+
+def test_recall_lists_are_expanded_where_they_are_used(spark, monkeypatch):
+    """Runs of ranks are materialised, linear in the ratings; lists take no shuffle of their own."""
+    df, rows = _ratings(spark)
+    ranking = recall.popularity_ranking(df)
+    runs = recall.unseen_runs(recall.seen_pairs(df), ranking, 50)
+    assert runs.count() <= len(rows) + 61
+    assert runs.select(F.sum(F.col("last") - F.col("first") + 1)).first()[0] == recall.popular_unseen(df, top_r=50).count()
+    plan = recall.popular_unseen(df, top_r=50)._jdf.queryExecution().executedPlan().toString()
+    lists = plan[: plan.index("Generate")]
+    assert "SortMergeJoin" not in lists and "Window" not in lists
+
+
+def test_hard_negatives_beyond_the_head_of_the_list(spark):
+    cands = spark.createDataFrame([(u, 10 + r, r) for u in (1, 2) for r in range(1, 21)], "userId long, movieId long, rank int")
+    seen = spark.createDataFrame([(1, 10 + r) for r in range(1, 9)] + [(2, 11)], "userId long, movieId long")
+    ids = spark.createDataFrame([(10 + r,) for r in range(1, 21) if r != 9], "id long")
+    out = sorted(map(tuple, negatives.hard_negatives(cands, seen, ids, n=3).collect()))
+    assert out == [(1, 20, 1), (1, 21, 2), (1, 22, 3), (2, 12, 1), (2, 13, 2), (2, 14, 3)]
