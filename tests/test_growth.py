@@ -67,3 +67,17 @@ def test_als_lets_go_of_old_messages(spark, monkeypatch):
     conf = spark.createDataFrame([(u, m, 1.0 + (u * m) % 5) for u in range(20) for m in range(15) if (u + m) % 3], "userId long, movieId long, confidence double")
     als.train(conf, factors=4, iters=3, blocks=2)
     assert len(calls) == 6
+
+
+def test_lists_are_dealt_by_their_own_size(spark, monkeypatch):
+    ratings = spark.createDataFrame([(u, (u * i) % 90) for u in range(1, 60) for i in range(1, 9)], "userId long, movieId long")
+    whole = recall.popular_unseen(ratings, 30)
+    monkeypatch.setattr(recall, "LIST_ROWS", 200)
+    spread = recall.popular_unseen(ratings, 30)
+    assert spread.rdd.getNumPartitions() == -(-whole.count() // 200)  # the runs alone would fit one task
+    assert sorted(spread.collect()) == sorted(whole.collect())
+    merged = recall.merge_lists(spread, spread.withColumn("movieId", F.col("movieId") + 7), "union", top_r=40)
+    assert "SortAggregate" not in _plan(merged) and "hashpartitioning(userId, movieId" not in _plan(merged)
+    first = {(r.userId, r.movieId): r.rank for r in spread.collect()}
+    got = {(r.userId, r.movieId): r.pos for r in merged.collect()}
+    assert all(got[k] == v for k, v in first.items())
