@@ -81,3 +81,24 @@ def test_lists_are_dealt_by_their_own_size(spark, monkeypatch):
     first = {(r.userId, r.movieId): r.rank for r in spread.collect()}
     got = {(r.userId, r.movieId): r.pos for r in merged.collect()}
     assert all(got[k] == v for k, v in first.items())
+
+
+def test_hard_negatives_expand_the_head_of_the_lists_only(spark):
+    rows = [(u, (u * i) % 90) for u in range(1, 60) for i in range(1, 9)] + [(99, m) for m in range(85)]
+    ratings = spark.createDataFrame(rows, "userId long, movieId long")
+    lists, seen = recall.unseen_lists(ratings, 30), recall.seen_pairs(ratings)
+    whole = lists()
+    assert sorted(lists(4, 9).collect()) == sorted(whole.where("rank > 4 AND rank <= 9").collect())
+    asked = []
+
+    def parts(after=0, upto=None, pick=lambda d: d):
+        made = lists(after, upto, pick)
+        asked.append((after, upto, made.count()))
+        return made
+
+    ids = spark.range(0, 90, 1).select(F.col("id")).where("id % 9 != 1")
+    users = spark.createDataFrame([(u,) for u in [*range(1, 40), 99]], "userId long")
+    got = negatives.hard_negatives(parts, seen, ids, 5, users)
+    assert sorted(got.collect()) == sorted(negatives.hard_negatives(whole.join(users, "userId", "left_semi"), seen, ids, 5).collect())
+    n_users = users.join(seen.select("userId").distinct(), "userId", "left_semi").count()
+    assert asked[0][2] <= 10 * n_users and asked[1][2] <= 20 * 2  # the rest is made for users who lack items
