@@ -64,6 +64,8 @@ FALL = 3
 BUCKET_BITS = 19
 #: Distinct words and marks that a task remembers with their ids; forgetting them only costs time.
 REMEMBERED = 1 << 20
+#: Distinct words that the tokenizer gets at once.
+WORDS = 8_192
 #: Text bytes encoded at once (a single longer text still goes whole): words repeat more in longer runs.
 SLICE_BYTES, SLICE_ROWS = 4 << 20, 16_384
 #: Ranges of the exchange at most; a range is read as a stream, so its size bounds nothing.
@@ -84,7 +86,7 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np
     made, least, mark = 0, None, 1 << BUCKET_BITS
     while len(seq) > 1:
         # a bucket's count bounds the count of each of its pairs from above
-        bucket = ((seq[:-1] * np.uint32(0x9E3779B1)) ^ (seq[1:] * np.uint32(0x85EBCA77))) >> np.uint32(32 - BUCKET_BITS)
+        bucket = _bucket(seq[:-1], seq[1:])
         bucket[last[:-1]] = mark
         full = np.bincount(bucket, minlength=mark + 1)
         full[mark] = 0
@@ -93,11 +95,12 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np
         key = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
         pairs, n = np.unique(key, return_counts=True)
         pairs, n = pairs[n >= least], n[n >= least]
-        go, p = _choose(at, key, pairs, n)
+        go, p = _choose(at, key, bucket[at], pairs, n)
         if len(go):
             # numbers of the pairs that are replaced, in the order of the pairs
-            used = np.unique(p)
-            seq[go] = (base + made + np.searchsorted(used, p)).astype(np.uint32)
+            taken = np.bincount(p, minlength=len(pairs)) > 0
+            used, number = np.flatnonzero(taken), np.cumsum(taken) - 1
+            seq[go] = (base + made + number[p]).astype(np.uint32)
             names = pairs[used]
             rules.append(np.stack([names >> np.uint64(32), names & np.uint64(0xFFFFFFFF)], axis=1))
             made += len(names)
@@ -111,11 +114,23 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np
     return seq.astype("<u4"), out.astype("<u4")
 
 
-def _choose(at: np.ndarray, key: np.ndarray, pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _bucket(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(32 - BUCKET_BITS)
+
+
+def _choose(at: np.ndarray, key: np.ndarray, bucket: np.ndarray, pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places to replace and the number of the pair at each; where two overlap the more frequent pair goes first, then the left one."""
     if len(pairs) == 0:
         return at[:0], at[:0]
-    where = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+    # nearly every bucket holds one of the pairs at most; the others are looked for among them all
+    of = _bucket((pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32))
+    table = np.zeros(1 << BUCKET_BITS, dtype=np.int32)
+    table[of] = np.arange(len(pairs))
+    shared = np.zeros(1 << BUCKET_BITS, dtype=bool)
+    shared[of[table[of] != np.arange(len(pairs))]] = True
+    where = table[bucket]
+    again = np.flatnonzero(shared[bucket])
+    where[again] = np.minimum(np.searchsorted(pairs, key[again]), len(pairs) - 1)
     hit = pairs[where] == key
     at, where = at[hit], where[hit]
     rank = np.empty(len(pairs), dtype=np.int64)
@@ -230,28 +245,38 @@ class Encoder:
 
     def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of each text's ids)."""
+        return self._in_runs(texts, self._each_of)
+
+    def _stems(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for letter-only words, from one encoding of a run of them; only a word's last id closes a word."""
+        return self._in_runs(stems, self._stems_of)
+
+    def _in_runs(self, texts: list[str], of) -> tuple[np.ndarray, np.ndarray]:
+        """The tokenizer keeps far more of a text than its ids, so it gets a bounded number of words at once."""
+        made = [of(texts[i : i + WORDS]) for i in range(0, len(texts), WORDS)] or [(np.zeros(0, dtype=np.int64),) * 2]
+        return np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made])
+
+    def _each_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
         size = np.array([len(g) for g in got], dtype=np.int64)
         return np.fromiter(itertools.chain.from_iterable(got), dtype=np.int64, count=int(size.sum())), size
 
-    def _stems(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for letter-only words, from one encoding of them all; only a word's last id closes a word."""
-        ids = np.array(self.tok.encode(" ".join(stems), add_special_tokens=False).ids, dtype=np.int64)
+    def _stems_of(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(self.tok.encode_batch_fast([" ".join(stems)], add_special_tokens=False)[0].ids, dtype=np.int64)
         ends = np.flatnonzero(self.closing[ids]) + 1
         if len(ends) != len(stems) or (len(ids) and ends[-1] != len(ids)):
-            return self._each(stems)
+            return self._each_of(stems)
         return ids, np.diff(ends, prepend=0)
 
     def _numbers(self, pieces: pa.Array, of) -> np.ndarray:
         """Number of each piece; pieces that this task has met are not encoded again."""
         d = pieces.dictionary_encode()
-        names = d.dictionary.to_pylist()
-        get = self.known.number.get
-        number = np.array([get(w, -1) for w in names], dtype=np.int64)
+        names = d.dictionary.to_numpy(zero_copy_only=False)
+        number = np.fromiter(map(self.known.number.get, names, itertools.repeat(-1)), dtype=np.int64, count=len(names))
         new = np.flatnonzero(number < 0)
         if len(new):
             number[new] = np.arange(len(self.known.number), len(self.known.number) + len(new))
-            fresh = [names[i] for i in new.tolist()]
+            fresh = names[new].tolist()
             self.known.add(fresh, *of(fresh))
         return number[d.indices.to_numpy(zero_copy_only=False)]
 

@@ -250,3 +250,27 @@ def test_token_digest_query(spark, tokenizer):
         ids = [*tokenizer.encode(d.text or "", add_special_tokens=False).ids, 1]
         assert tuple(r) == (d.doc_id, at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
         at += len(ids)
+
+
+@pytest.mark.parametrize("bits", [1, 3, 19])
+def test_pairs_that_share_a_bucket_are_all_replaced(monkeypatch, bits):
+    monkeypatch.setattr(op13, "BUCKET_BITS", bits)
+    ids = np.tile(np.random.default_rng(4).integers(0, 50, 40), 60)
+    last = np.zeros(len(ids), dtype=bool)
+    last[39::40] = True
+    symbols, rules = op13.repair(ids, last, 50)
+    assert (op13.expand(symbols, rules, 50) == ids).all() and len(symbols) + 3 * len(rules) < len(ids) // 3
+
+
+def test_stems_are_encoded_without_offsets(monkeypatch):
+    enc = op13.Encoder(public_tokenizers.path("word_bpe_49k.json"), True)
+    words = ["alpha", "betaworthy", "zürich", "ok"]
+
+    class Fast:  # offers what needs no offsets only
+        encode_batch_fast = staticmethod(enc.tok.encode_batch_fast)
+
+    want = enc._each(words)
+    enc.tok = Fast()
+    monkeypatch.setattr(op13, "WORDS", 3)
+    got = enc._stems(words)
+    assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
