@@ -40,9 +40,11 @@ longer shard.
 from __future__ import annotations
 
 import itertools
+import json
 import math
 import os
 import sys
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,7 +67,7 @@ BUCKET_BITS = 19
 #: Distinct words and marks that a task remembers with their ids; forgetting them only costs time.
 REMEMBERED = 1 << 20
 #: Distinct words that the tokenizer gets at once.
-WORDS = 8_192
+WORDS = 1_024
 #: Text bytes encoded at once (a single longer text still goes whole): words repeat more in longer runs.
 SLICE_BYTES, SLICE_ROWS = 4 << 20, 16_384
 #: Ranges of the exchange at most; a range is read as a stream, so its size bounds nothing.
@@ -81,21 +83,26 @@ FORMAT = (
 
 def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules) of ``ids``; ``last`` marks ids that end a document, ``rules`` has a row (left, right) each."""
-    seq, last = ids.astype(np.uint32), last.copy()
+    seq, ends = ids.astype(np.uint32), np.flatnonzero(last)
     rules: list[np.ndarray] = []
-    made, least, mark = 0, None, 1 << BUCKET_BITS
+    made, least, mark, at = 0, None, 1 << BUCKET_BITS, None
     while len(seq) > 1:
-        # a bucket's count bounds the count of each of its pairs from above
-        bucket = _bucket(seq[:-1], seq[1:])
-        bucket[last[:-1]] = mark
-        full = np.bincount(bucket, minlength=mark + 1)
-        full[mark] = 0
-        least = max(MIN_USES, min(int(full.max()), least or 1 << 40) // FALL)
-        at = np.flatnonzero((full >= least)[bucket])
+        if at is None:
+            # a bucket's count bounds the count of each of its pairs from above
+            bucket = _bucket(seq[:-1], seq[1:])
+            bucket[ends[ends < len(bucket)]] = mark
+            full = np.bincount(bucket, minlength=mark + 1)
+            full[mark] = 0
+            least = max(MIN_USES, min(int(full.max()), least or 1 << 40) // FALL)
+            at = np.flatnonzero((full >= least)[bucket])
+            bucket = bucket[at]
+        else:
+            bucket = _bucket(seq[at], seq[at + 1])
         key = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
         pairs, n = np.unique(key, return_counts=True)
         pairs, n = pairs[n >= least], n[n >= least]
-        go, p = _choose(at, key, bucket[at], pairs, n)
+        at, go, p = _choose(at, key, bucket, pairs, n)
+        again = None
         if len(go):
             # numbers of the pairs that are replaced, in the order of the pairs
             taken = np.bincount(p, minlength=len(pairs)) > 0
@@ -104,10 +111,21 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np
             names = pairs[used]
             rules.append(np.stack([names >> np.uint64(32), names & np.uint64(0xFFFFFFFF)], axis=1))
             made += len(names)
-            last[go] = last[go + 1]
+            # where a right half ended a document, its nonterminal does
+            ends = ends - np.searchsorted(go + 1, ends, side="right")
             keep = np.ones(len(seq), dtype=bool)
             keep[go + 1] = False
-            seq, last = seq[keep], last[keep]
+            seq = seq[keep]
+            if least == MIN_USES:
+                # at the same threshold only pairs that were frequent just now, or hold a new nonterminal, can be frequent
+                new = go - np.arange(len(go))
+                left = np.zeros(len(keep), dtype=bool)
+                left[at] = True
+                left = left[keep]
+                left[new], left[new[new > 0] - 1] = True, True
+                left[ends], left[-1] = False, False
+                again = np.flatnonzero(left)
+        at = again
         if least == MIN_USES and len(go) <= len(seq) // 256:
             break
     out = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.uint64)
@@ -115,13 +133,16 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np
 
 
 def _bucket(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(32 - BUCKET_BITS)
+    out = left * np.uint32(0x9E3779B1)
+    out ^= right * np.uint32(0x85EBCA77)
+    out >>= np.uint32(32 - BUCKET_BITS)
+    return out.astype(np.intp)
 
 
-def _choose(at: np.ndarray, key: np.ndarray, bucket: np.ndarray, pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places to replace and the number of the pair at each; where two overlap the more frequent pair goes first, then the left one."""
+def _choose(at: np.ndarray, key: np.ndarray, bucket: np.ndarray, pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of all the pairs, those to replace and the number of the pair at each of these; where two overlap the more frequent pair goes first, then the left one."""
     if len(pairs) == 0:
-        return at[:0], at[:0]
+        return at[:0], at[:0], at[:0]
     # nearly every bucket holds one of the pairs at most; the others are looked for among them all
     of = _bucket((pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32))
     table = np.zeros(1 << BUCKET_BITS, dtype=np.int32)
@@ -140,9 +161,9 @@ def _choose(at: np.ndarray, key: np.ndarray, bucket: np.ndarray, pairs: np.ndarr
     touch = np.flatnonzero(at[1:] == at[:-1] + 1)
     good[touch + 1] &= p[touch + 1] < p[touch]
     good[touch] &= p[touch] <= p[touch + 1]
-    at, where = at[good], where[good]
+    go, where = at[good], where[good]
     enough = np.bincount(where, minlength=len(pairs)) >= MIN_USES
-    return at[enough[where]], where[enough[where]]
+    return at, go[enough[where]], where[enough[where]]
 
 
 def rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
@@ -168,11 +189,13 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     return s.astype("<u4")
 
 
-def gather(rows: np.ndarray, flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The runs ``flat[first[r] : first[r] + size[r]]`` of all ``rows``, one after another."""
-    w = size[rows]
-    ends = np.cumsum(w)
-    return flat[np.repeat(first[rows] - (ends - w), w) + np.arange(int(ends[-1]) if len(ends) else 0)]
+def gather(rows: pa.Array, flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, offsets): the runs of ids of all ``rows``, one after another; run r is the r-th of the lengths ``size`` in ``flat``."""
+    offs = np.concatenate([[0], np.cumsum(size, dtype=np.int64)]) * 4
+    runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offs), pa.py_buffer(np.ascontiguousarray(flat, dtype="<u4"))])
+    _, ends, data = runs.take(rows).buffers()
+    ends = np.frombuffer(ends, dtype=np.int64)[: len(rows) + 1] // 4 if len(rows) else np.zeros(1, dtype=np.int64)
+    return np.frombuffer(data, dtype="<u4", count=ends[-1]) if ends[-1] else np.zeros(0, dtype="<u4"), ends
 
 
 class Shard:
@@ -190,7 +213,7 @@ class Shard:
             return self.symbols.astype("<u4")
         flat = np.concatenate([np.arange(self.base, dtype="<u4"), expand(np.arange(self.base, self.base + len(self.rules)), self.rules, self.base)])
         size = np.concatenate([np.ones(self.base, dtype=np.int64), self.rule_lengths])
-        return gather(self.symbols, flat, np.cumsum(size) - size, size)
+        return gather(pa.array(self.symbols), flat, size)[0]
 
     def run(self, start: int, stop: int) -> np.ndarray:
         """Ids ``start`` to ``stop``, from the symbols that hold them."""
@@ -209,24 +232,42 @@ class Shard:
 #: A word of Latin-1 letters and closing marks: the marks are a piece of their own for the pre-splitter,
 #: and the letters are the same to the normaliser in lower case.
 STEM = r"^(?P<stem>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,;:!?]*)$"
+#: A normaliser and pre-splitter that leave a lower-case stem as it is, and take any run of ASCII marks behind it whole.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+STEM_ANY_MARKS = r"^(?P<stem>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
 
 
 class _Known:
     """Pieces that a task has met, by number, and their ids in one flat array."""
 
     def __init__(self):
-        self.number: dict[str, int] = {"": 0}
+        #: a piece that is asked for gets the next number if it has none
+        self.number: dict[str, int] = defaultdict(itertools.count().__next__)
+        self.number[""]  # number 0, without ids
         self.size, self.flat = [np.zeros(1, dtype=np.int64)], []
 
-    def add(self, pieces: list[str], ids: np.ndarray, size: np.ndarray) -> None:
-        self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces))))
+    def numbers(self, pieces: pa.Array) -> tuple[np.ndarray, list[str]]:
+        """(number of each piece, pieces not met before); the ids of the latter are to be added next."""
+        met, d = len(self.number), pieces.dictionary_encode()
+        names = d.dictionary.to_numpy(zero_copy_only=False)
+        number = np.fromiter(map(self.number.__getitem__, names), dtype=np.int64, count=len(names))
+        return number[d.indices.to_numpy(zero_copy_only=False)], names[number >= met].tolist()
+
+    def add(self, ids: np.ndarray, size: np.ndarray) -> None:
         self.size.append(size)
         self.flat.append(ids)
 
-    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(flat ids, first, size) by number."""
-        self.size, self.flat = [np.concatenate(self.size)], [np.concatenate(self.flat or [np.zeros(0, dtype=np.int64)])]
-        return self.flat[0], np.cumsum(self.size[0]) - self.size[0], self.size[0]
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, size) by number."""
+        self.size, self.flat = [np.concatenate(self.size)], [np.concatenate(self.flat or [np.zeros(0, dtype=np.uint32)])]
+        return self.flat[0], self.size[0]
 
 
 class Encoder:
@@ -234,7 +275,7 @@ class Encoder:
 
     def __init__(self, path: str, by_word: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok, self.by_word, self.known = Tokenizer.from_file(path), by_word, _Known()
         self.base = self.tok.get_vocab_size(with_added_tokens=True)
@@ -242,6 +283,15 @@ class Encoder:
         self.closing = np.zeros(self.base, dtype=bool)
         if by_word and suffix:
             self.closing[[i for t, i in self.tok.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
+        self.plain, self.stem = self.tok, STEM
+        if by_word and self._takes_stems_whole():
+            # the same model; only what changes nothing of a stem is left out
+            self.plain, self.stem = Tokenizer(self.tok.model), STEM_ANY_MARKS
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+
+    def _takes_stems_whole(self) -> bool:
+        parts = self.tok.normalizer, self.tok.pre_tokenizer
+        return all(parts) and [json.loads(p.__getstate__()) for p in parts] == [NORMALIZER, SPLITTER]
 
     def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of each text's ids)."""
@@ -253,16 +303,16 @@ class Encoder:
 
     def _in_runs(self, texts: list[str], of) -> tuple[np.ndarray, np.ndarray]:
         """The tokenizer keeps far more of a text than its ids, so it gets a bounded number of words at once."""
-        made = [of(texts[i : i + WORDS]) for i in range(0, len(texts), WORDS)] or [(np.zeros(0, dtype=np.int64),) * 2]
+        made = [of(texts[i : i + WORDS]) for i in range(0, len(texts), WORDS)] or [(np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64))]
         return np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made])
 
     def _each_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
         size = np.array([len(g) for g in got], dtype=np.int64)
-        return np.fromiter(itertools.chain.from_iterable(got), dtype=np.int64, count=int(size.sum())), size
+        return np.fromiter(itertools.chain.from_iterable(got), dtype=np.uint32, count=int(size.sum())), size
 
     def _stems_of(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array(self.tok.encode_batch_fast([" ".join(stems)], add_special_tokens=False)[0].ids, dtype=np.int64)
+        ids = np.array(self.plain.encode_batch_fast([" ".join(stems)], add_special_tokens=False)[0].ids, dtype=np.uint32)
         ends = np.flatnonzero(self.closing[ids]) + 1
         if len(ends) != len(stems) or (len(ids) and ends[-1] != len(ids)):
             return self._each_of(stems)
@@ -270,15 +320,10 @@ class Encoder:
 
     def _numbers(self, pieces: pa.Array, of) -> np.ndarray:
         """Number of each piece; pieces that this task has met are not encoded again."""
-        d = pieces.dictionary_encode()
-        names = d.dictionary.to_numpy(zero_copy_only=False)
-        number = np.fromiter(map(self.known.number.get, names, itertools.repeat(-1)), dtype=np.int64, count=len(names))
-        new = np.flatnonzero(number < 0)
-        if len(new):
-            number[new] = np.arange(len(self.known.number), len(self.known.number) + len(new))
-            fresh = names[new].tolist()
-            self.known.add(fresh, *of(fresh))
-        return number[d.indices.to_numpy(zero_copy_only=False)]
+        number, fresh = self.known.numbers(pieces)
+        if fresh:
+            self.known.add(*of(fresh))
+        return number
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.by_word:
@@ -287,17 +332,19 @@ class Encoder:
             self.known = _Known()
         lists = pc.ascii_split_whitespace(texts)
         words = lists.flatten().dictionary_encode()
-        at, names = words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
-        found = pc.extract_regex(names, STEM)
+        names = words.dictionary
+        found = pc.extract_regex(names, self.stem)
         whole = pc.is_null(found)
         # a word is its stem (the empty piece for none) and its tail or its whole
         pair = np.zeros((len(names), 2), dtype=np.int64)
         pair[~whole.to_numpy(zero_copy_only=False), 0] = self._numbers(pc.utf8_lower(found.field("stem").filter(pc.invert(whole))), self._stems)
         pair[:, 1] = self._numbers(pc.if_else(whole, names, found.field("tail")), self._each)
-        flat, first, size = self.known.arrays()
-        ends = np.concatenate([[0], np.cumsum(size[pair].sum(axis=1)[at])])
+        flat, size = self.known.arrays()
+        # the ids of each distinct word, then those of each word
+        own, _ = gather(pa.array(pair.ravel()), flat, size)
+        ids, ends = gather(words.indices, own, size[pair[:, 0]] + size[pair[:, 1]])
         offs = lists.offsets.to_numpy()
-        return gather(pair[at].ravel(), flat, first, size), np.diff(ends[offs - offs[0]])
+        return ids, np.diff(ends[offs - offs[0]])
 
 
 def _shard_row(part: int, seq: int, doc_ids: list, ids: np.ndarray, n: np.ndarray, base: int) -> pa.RecordBatch:

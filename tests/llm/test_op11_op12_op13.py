@@ -274,3 +274,55 @@ def test_stems_are_encoded_without_offsets(monkeypatch):
     monkeypatch.setattr(op13, "WORDS", 3)
     got = enc._stems(words)
     assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+
+
+def test_marks_behind_a_stem_make_no_new_word(monkeypatch, tokenizer):
+    import pyarrow as pa
+
+    enc, asked = op13.Encoder(TOKENIZER, True), []
+    each = enc._each_of
+    monkeypatch.setattr(enc, "_each_of", lambda pieces: asked.extend(pieces) or each(pieces))
+    texts = ["alpha*** Betaworthy$% zürich_ ok. a' b's", "alpha### ok!? Éa<|"]
+    ids, n = enc(pa.array(texts))
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert [p for p in asked if any(c.isalpha() for c in p)] == ["b's"]
+
+
+def test_all_marks_encode_like_whole_texts(tokenizer):
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    alphabet = "abSTlmÀß" + "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "    "
+    texts = ["".join(rng.choice(alphabet) for _ in range(40)) for _ in range(400)]
+    texts += [f"wörd{a}{b}" for a in alphabet for b in "'_<|"] + ["don't It's we'LL a's* b'", "x<|endoftext|> y<|endoftext|>*"]
+    ids, n = op13.Encoder(TOKENIZER, True)(pa.array(texts))
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_other_splitters_get_their_own_words(tmp_path):
+    import pyarrow as pa
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    tok, path = Tokenizer.from_file(TOKENIZER), str(tmp_path / "other.json")
+    tok.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Whitespace(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    tok.save(path)
+    texts = ["ab_ ab cd_* cd. ef?!", "Zürich_ zürich ab_"]
+    ids, _ = op13.Encoder(path, True)(pa.array(texts))
+    assert ids.tolist() == [i for e in tok.encode_batch(texts, add_special_tokens=False) for i in e.ids]
+
+
+def test_rounds_at_the_last_threshold_look_at_few_places(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [rng.integers(0, 40, 24) for _ in range(60)]
+    ids = np.concatenate([np.concatenate([words[k], rng.integers(100, 20_000, 60)]) for k in rng.integers(0, 60, 900)])
+    last = np.zeros(len(ids), dtype=bool)
+    last[83::84] = True
+    looked, bucket = [], op13._bucket
+    monkeypatch.setattr(op13, "_bucket", lambda a, b: looked.append(len(a)) or bucket(a, b))
+    symbols, rules = op13.repair(ids, last, 20_000)
+    assert (op13.expand(symbols, rules, 20_000) == ids).all()
+    whole = [n for n in looked if n > len(symbols) * 0.9]
+    # one whole count for each threshold (the first at most the most frequent pair) and no more
+    assert len(whole) <= 8 and len(looked) > 2 * len(whole) + 2
