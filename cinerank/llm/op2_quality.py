@@ -29,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import Words, held_out, shingles, text_slices
+from cinerank.llm.common import Words, held_out, shingles, text_slices, written
 from cinerank.llm.linear import class_prior, fit_nnpu, sigmoid
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -123,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_positi
     # at most max_positive + max_unlabelled ids
     pick = pos.join(unl, "doc_id", "full").select("doc_id", F.coalesce("p", F.lit(0)).alias("p"), F.coalesce("u", F.lit(0)).alias("u"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(pick), "doc_id")
-    got = d.mapInArrow(_sample_features, "doc_id long, p int, u int, x binary").toPandas().sort_values("doc_id", kind="stable")
+    got = written(d.mapInArrow(_sample_features, "doc_id long, p int, u int, x binary"), "features").toPandas().sort_values("doc_id", kind="stable")
     x = np.stack([np.frombuffer(r, dtype=np.float32) for r in got["x"]]).astype(np.float64) if len(got) else np.zeros((0, N_FEATURES))
     mean = x.mean(0) if len(x) else np.zeros(N_FEATURES)
     inv = 1.0 / np.maximum(x.std(0), 0.02) if len(x) else np.ones(N_FEATURES)
@@ -152,10 +152,14 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataF
 
 
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` (all columns as they are) that score at least ``threshold``."""
+    """The rows of ``docs`` (all columns as they are) that score at least ``threshold``.
+
+    They are written at once: whole rows go to Python in the small batches of ``written`` only so,
+    and an executor holds a batch several times over.
+    """
 
     def run(batches):
         for rb, x in _featured(batches):
             yield rb.filter(pa.array(model.score(x) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return written(docs.mapInArrow(run, docs.schema), "good")

@@ -10,6 +10,7 @@ from cinerank.llm import op2_quality as op2
 from cinerank.llm import op4_ann as op4
 from cinerank.llm import op5_toxicity as op5
 from cinerank.llm import op10_html as op10
+from cinerank.llm.common import BATCH_BYTES
 from cinerank.llm.linear import class_prior, fit_nnpu
 from pyspark.sql import functions as F
 
@@ -213,3 +214,26 @@ def test_query_equals_its_sql(spark, name):
     df = e.queries()[name](spark, SF)
     cols, rows = duck(SF, e.oracle_sql()[name])
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(cols, rows)
+
+
+def test_quality_sends_python_small_batches(monkeypatch, spark):
+    """A partition of 30 MB in few rows is not one batch, neither for the fit nor for the rows kept."""
+
+    def sized(batches):
+        for rb in batches:
+            x = np.zeros((rb.num_rows, op2.N_FEATURES), dtype=np.float32)
+            x[:, 0] = rb.nbytes
+            yield rb, x
+
+    class Small:
+        def score(self, x):
+            return (x[:, 0] < 2 * BATCH_BYTES).astype(float)
+
+    seen = []
+    monkeypatch.setattr(op2, "_featured", sized)
+    monkeypatch.setattr(op2, "_expand", lambda x, mean, inv: seen.append(x[:, 0].max()) or np.zeros_like(x))
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab cd efgh\n"), 1000).alias("text"))
+    labels = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    op2.train(docs, labels)
+    assert 0 < seen[0] < 2 * BATCH_BYTES
+    assert op2.keep_good(docs, Small()).count() == 3000
