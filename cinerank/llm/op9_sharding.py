@@ -29,10 +29,11 @@ from __future__ import annotations
 import bisect
 import hashlib
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import maybe_broadcast, written
+from cinerank.llm.common import empty_frame, maybe_broadcast, written
 
 RING_BITS = 60
 #: Rows that one ranking bin should hold.
@@ -90,7 +91,9 @@ def ring_shards(docs: DataFrame, shards: int = 16, vnodes: int = 64) -> DataFram
     arcs = [p for p, _ in points]
     top = 1 << 16
     lo = [bisect.bisect_left(arcs, b << (RING_BITS - 16)) for b in range(top + 1)]
-    guide = spark.createDataFrame([(b, lo[b], arcs[lo[b] : lo[b + 1]]) for b in range(top)], "top int, lo int, inside array<long>")
+    # an Arrow table needs no Python workers, which would stay beside the later work of the executors
+    inside = [arcs[lo[b] : lo[b + 1]] for b in range(top)]
+    guide = spark.createDataFrame(pa.table({"top": pa.array(range(top), pa.int32()), "lo": pa.array(lo[:top], pa.int32()), "inside": pa.array(inside, pa.list_(pa.int64()))}))
     d = d.withColumn("h", h).withColumn("top", F.shiftright("h", RING_BITS - 16).cast("int")).join(F.broadcast(guide), "top")
     arc = F.pmod(F.col("lo") + F.size(F.filter("inside", lambda p: p < F.col("h"))), F.lit(len(points)))
     d = written(d.select("doc_id", "size", "text_crc32", "h", arc.cast("int").alias("arc")), "keys")
@@ -106,8 +109,12 @@ def ring_shards(docs: DataFrame, shards: int = 16, vnodes: int = 64) -> DataFram
 
     by_arc: dict[int, list] = {}
     for a, rank, s, slot in walk(counts, points, shards):
-        by_arc.setdefault(a, []).append((rank, s, slot))
-    pieces = spark.createDataFrame(list(by_arc.items()), "arc int, pieces array<struct<first:long,shard:int,slot:long>>")
+        by_arc.setdefault(a, []).append({"first": rank, "shard": s, "slot": slot})
+    if by_arc:
+        piece = pa.struct([("first", pa.int64()), ("shard", pa.int32()), ("slot", pa.int64())])
+        pieces = spark.createDataFrame(pa.table({"arc": pa.array(list(by_arc), pa.int32()), "pieces": pa.array(list(by_arc.values()), pa.list_(piece))}))
+    else:
+        pieces = empty_frame(spark, "arc int, pieces array<struct<first:long,shard:int,slot:long>>")
     d = d.join(F.broadcast(pieces), "arc")
     hit = F.element_at(F.filter("pieces", lambda p: p["first"] <= F.col("rank")), -1)
     return d.withColumn("p", hit).select("doc_id", "size", "text_crc32", F.col("p.shard").alias("shard"), (F.col("p.slot") + F.col("rank") - F.col("p.first")).alias("slot"))

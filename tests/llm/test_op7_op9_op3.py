@@ -138,3 +138,9 @@ def test_mix_edges(make):
     assert rows.columns == df.columns and rows.count() == 15
     with pytest.raises(ValueError):
         op3.mix(df, share=3.0)
+
+
+def test_ring_tables_need_no_python_workers(make):
+    plan = op9.ring_shards(make([(i, "a b") for i in range(20)]).limit(20), shards=3)._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in plan
+    assert op9.ring_shards(make([])).collect() == []
