@@ -25,7 +25,7 @@ from cinerank.sources.tables import table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["table", "scratch_path", "written", "small_enough", "maybe_broadcast", "held_out", "Words", "text_slices", "mix64", "shingles"]
+__all__ = ["table", "scratch_path", "written", "small_enough", "maybe_broadcast", "held_out", "Words", "text_slices", "mix64", "shingles", "column"]
 
 #: Broadcast bound: a side is broadcast only when its counted rows times the
 #: stated row width stay under this many bytes; otherwise the plan shuffles.
@@ -36,6 +36,12 @@ SLICE_BYTES = 1 << 19
 SLICE_ROWS = 1024
 #: Bytes of an Arrow batch that a Python worker is sent at once while a table is written (a longer row goes whole).
 BATCH_BYTES = 4 << 20
+#: The same and ``SLICE_BYTES`` for steps that share an executor with much else: a batch is held several times
+#: over outside the heap, and words take some fifty times their slice while they are hashed.
+SMALL_BATCH_BYTES, SMALL_SLICE_BYTES = 1 << 20, 1 << 17
+#: Off while a table is written: a vectored read copies whole column chunks through buffers outside the heap,
+#: which the reading threads keep.
+VECTORED_READS = "parquet.hadoop.vectored.io.enabled"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -43,7 +49,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read back.
 
     Cuts lineage in a way that survives executor loss, lets later steps prune
@@ -51,13 +57,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(BATCH_BYTES))
+    wanted = {"spark.sql.execution.arrow.maxBytesPerBatch": str(batch_bytes), VECTORED_READS: "false"}
+    before = {key: spark.conf.get(key, None) for key in wanted}
     try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
         df.write.parquet(path)
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -180,5 +188,15 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int
             i = j
 
 
+def column(x: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:
+    """Numbers or booleans as an Arrow column, null where not ``valid``.
+
+    ``pa.array`` looks for pandas objects and so imports pandas, 24 MB in every Python worker.
+    """
+    bits = lambda b: pa.py_buffer(np.packbits(b, bitorder="little"))
+    data = bits(x) if x.dtype == bool else pa.py_buffer(np.ascontiguousarray(x))
+    return pa.Array.from_buffers(pa.from_numpy_dtype(x.dtype), len(x), [None if valid is None else bits(valid), data])
+
+
 def empty_frame(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)

@@ -29,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import Words, held_out, shingles, text_slices, written
+from cinerank.llm.common import SMALL_BATCH_BYTES, SMALL_SLICE_BYTES, Words, column, held_out, shingles, text_slices, written
 from cinerank.llm.linear import class_prior, fit_nnpu, sigmoid
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -87,7 +87,7 @@ def features(words: Words, grams: np.ndarray, so: np.ndarray, buf: np.ndarray, o
 
 
 def _featured(batches):
-    for rb, buf, offs in text_slices(batches):
+    for rb, buf, offs in text_slices(batches, most=SMALL_SLICE_BYTES):
         w = Words(buf, offs)
         g, so = shingles(w, 5)
         yield rb, features(w, g, so, buf, offs)
@@ -96,7 +96,9 @@ def _featured(batches):
 def _sample_features(batches):
     for rb, x in _featured(batches):
         cols = [rb.column(rb.schema.get_field_index(c)) for c in ("doc_id", "p", "u")]
-        yield pa.RecordBatch.from_arrays([*cols, pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "p", "u", "x"])
+        ends = np.arange(len(x) + 1, dtype=np.int32) * np.int32(x.itemsize * x.shape[1])
+        rows = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(x))])
+        yield pa.RecordBatch.from_arrays([*cols, rows], names=["doc_id", "p", "u", "x"])
 
 
 def _expand(x: np.ndarray, mean: np.ndarray, inv: np.ndarray) -> np.ndarray:
@@ -123,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_positi
     # at most max_positive + max_unlabelled ids
     pick = pos.join(unl, "doc_id", "full").select("doc_id", F.coalesce("p", F.lit(0)).alias("p"), F.coalesce("u", F.lit(0)).alias("u"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(pick), "doc_id")
-    got = written(d.mapInArrow(_sample_features, "doc_id long, p int, u int, x binary"), "features").toPandas().sort_values("doc_id", kind="stable")
+    got = written(d.mapInArrow(_sample_features, "doc_id long, p int, u int, x binary"), "features", SMALL_BATCH_BYTES).toPandas().sort_values("doc_id", kind="stable")
     x = np.stack([np.frombuffer(r, dtype=np.float32) for r in got["x"]]).astype(np.float64) if len(got) else np.zeros((0, N_FEATURES))
     mean = x.mean(0) if len(x) else np.zeros(N_FEATURES)
     inv = 1.0 / np.maximum(x.std(0), 0.02) if len(x) else np.ones(N_FEATURES)
@@ -145,7 +147,7 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataF
         for rb, x in _featured(batches):
             s = model.score(x)
             cols = [rb.column(rb.schema.get_field_index(c)) for c in ("doc_id", "held_out")]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*cols, column(s), column((s >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     return d.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
@@ -160,6 +162,6 @@ def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> D
 
     def run(batches):
         for rb, x in _featured(batches):
-            yield rb.filter(pa.array(model.score(x) >= threshold))
+            yield rb.filter(column(model.score(x) >= threshold))
 
-    return written(docs.mapInArrow(run, docs.schema), "good")
+    return written(docs.mapInArrow(run, docs.schema), "good", SMALL_BATCH_BYTES)

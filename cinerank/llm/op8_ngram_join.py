@@ -48,13 +48,15 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import Words, maybe_broadcast, mix64, shingles, text_slices, written
+from cinerank.llm.common import SMALL_BATCH_BYTES, SMALL_SLICE_BYTES, Words, column, maybe_broadcast, mix64, shingles, text_slices, written
 from cinerank.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Shingles counted together inside a task before shared ones are emitted.
 CHUNK_SHINGLES = 1_000_000
+#: Rows that a task hands to Spark at once.
+OUT_ROWS = 16_384
 #: A shingle is common when its chunk counts (of 2 or more) sum to this many
 #: classes; at most COMMON_MAX of them (8 bytes each) are sent to the tasks.
 COMMON_DF = 40
@@ -67,7 +69,7 @@ EXTRA_ORDERS = 2
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int):
     """(doc_id or None, set) for each row; the set is sorted and distinct."""
-    for rb, buf, offs in text_slices(batches):
+    for rb, buf, offs in text_slices(batches, most=SMALL_SLICE_BYTES):
         h, so = shingles(Words(buf, offs), n)
         ids = rb.column(rb.schema.get_field_index("doc_id"))
         for i in range(rb.num_rows):
@@ -118,14 +120,21 @@ def _scan(n: int):
 
         def shared():
             nonlocal pend, held
-            tok, cnt = np.unique(np.concatenate(pend), return_counts=True) if pend else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            tok = np.concatenate(pend) if pend else np.zeros(0, np.uint64)
             pend, held = [], 0
-            keep = cnt >= 2
-            k = int(keep.sum())
-            return pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(tok[keep].view(np.int64)), pa.array(cnt[keep])], names=["doc_id", "size", "cid", "token", "df"])
+            tok.sort()
+            # a shared token's first and last place: its neighbour on one side only is the same
+            same = tok[1:] == tok[:-1]
+            at = np.flatnonzero(same & ~np.append(False, same[:-1]))
+            df = np.flatnonzero(same & ~np.append(same[1:], False)) - at + 2
+            for i in range(0, len(at), OUT_ROWS):
+                t, none = tok[at[i : i + OUT_ROWS]].view(np.int64), pa.nulls(min(OUT_ROWS, len(at) - i), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, none, column(t), column(df[i : i + OUT_ROWS])], names=["doc_id", "size", "cid", "token", "df"])
 
         def flush():
-            out = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64())], names=["doc_id", "size", "cid", "token", "df"])
+            known = np.array([r[0] is not None for r in rows], dtype=bool)
+            cols = [np.array([r[j] or 0 for r in rows], dtype=np.int64) for j in range(3)]
+            out = pa.RecordBatch.from_arrays([column(cols[0], known), column(cols[1]), column(cols[2]), *[pa.nulls(len(rows), pa.int64())] * 2], names=["doc_id", "size", "cid", "token", "df"])
             rows.clear()
             return out
 
@@ -137,12 +146,12 @@ def _scan(n: int):
                 pend.append(s)
                 held += len(s)
                 if held >= CHUNK_SHINGLES:
-                    yield shared()
+                    yield from shared()
                     seen.clear()
-            if len(rows) >= 20_000:
+            if len(rows) >= OUT_ROWS:
                 yield flush()
         yield flush()
-        yield shared()
+        yield from shared()
 
     return run
 
@@ -159,7 +168,7 @@ def _postings(n: int, pct: int, common):
             nonlocal acc, held
             cols = [np.concatenate([a[j] for a in acc]) if acc else np.zeros(0, d) for j, d in enumerate((np.int64, np.int64, np.int32, bool, np.int32, np.int64, bool))]
             acc, held = [], 0
-            return pa.RecordBatch.from_arrays([*[pa.array(c) for c in cols[:5]], pa.array(cols[5], mask=cols[6])], names=["token", "cid", "size", "is_common", "pos", "last"])
+            return pa.RecordBatch.from_arrays([*[column(c) for c in cols[:5]], column(cols[5], ~cols[6])], names=["token", "cid", "size", "is_common", "pos", "last"])
 
         for _, s in _sets(batches, n):
             m = len(s)
@@ -175,7 +184,7 @@ def _postings(n: int, pct: int, common):
             p = len(tok)
             acc.append((tok.view(np.int64), np.full(p, c, np.int64), np.full(p, m, np.int32), com, np.arange(p, dtype=np.int32), np.full(p, last, np.int64), np.arange(p) < p - 1))
             held += p
-            if held >= 200_000:
+            if held >= OUT_ROWS:
                 yield flush()
         yield flush()
 
@@ -189,14 +198,14 @@ def _whole(n: int, pct: int, common):
         acc, held = [], 0
         names = ["cid", "tokens", *[f"p{k}" for k in range(1, EXTRA_ORDERS + 1)]]
 
-        def column(j):
+        def listed(j):
             parts = [a[j] for a in acc]
             offs = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-            return pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(parts)))
+            return pa.ListArray.from_arrays(column(offs), column(np.concatenate(parts)))
 
         def flush():
             nonlocal acc, held
-            out = pa.RecordBatch.from_arrays([pa.array([a[0] for a in acc], pa.int64()), *[column(j) for j in range(1, EXTRA_ORDERS + 2)]], names=names)
+            out = pa.RecordBatch.from_arrays([column(np.array([a[0] for a in acc], dtype=np.int64)), *[listed(j) for j in range(1, EXTRA_ORDERS + 2)]], names=names)
             acc, held = [], 0
             return out
 
@@ -280,7 +289,7 @@ class _Sets:
         keys = written(want.join(self.first, "cid").select("doc_key").distinct(), "wanted")
         some = self.docs.join(maybe_broadcast(keys, 16), "doc_key", "left_semi").select("doc_id", "text")
         schema = "cid long, tokens array<long>, " + ", ".join(f"p{k} array<int>" for k in range(1, EXTRA_ORDERS + 1))
-        new = written(some.mapInArrow(_whole(self.n, self.pct, self.common), schema), "whole")
+        new = written(some.mapInArrow(_whole(self.n, self.pct, self.common), schema), "whole", SMALL_BATCH_BYTES)
         if self.have is not None:
             new = new.join(self.have.select("cid"), "cid", "left_anti")
         # a class has one first document, so only repeated ids can bring a class twice
@@ -297,13 +306,13 @@ def classes_and_links(docs: DataFrame, n: int = 5, pct: int = 80) -> tuple[DataF
         raise ValueError("pct must be in 1..100 and n in 1..60")
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scan = written(d.mapInArrow(_scan(n), "doc_id long, size long, cid long, token long, df long"), "scan")
+    scan = written(d.mapInArrow(_scan(n), "doc_id long, size long, cid long, token long, df long"), "scan", SMALL_BATCH_BYTES)
     members = scan.where("cid IS NOT NULL").select("doc_id", "size", "cid")
     df = scan.where("token IS NOT NULL").groupBy("token").agg(F.sum("df").alias("df")).where(f"df >= {COMMON_DF}")
     top = df.orderBy(F.desc("df"), "token").limit(COMMON_MAX).select("token").toPandas()["token"].to_numpy(np.int64)
     common = spark.sparkContext.broadcast(np.sort(top.view(np.uint64)))
 
-    post = written(d.mapInArrow(_postings(n, pct, common), "token long, cid long, size int, is_common boolean, pos int, last long"), "post")
+    post = written(d.mapInArrow(_postings(n, pct, common), "token long, cid long, size int, is_common boolean, pos int, last long"), "post", SMALL_BATCH_BYTES)
     # tokens that two classes have.  Rare ones: one shuffle, a token's classes meet in one
     # small window; common ones, which only near-copy groups have in a prefix, are grouped
     # with map-side combining and a join that may be split.  A class that several tasks
@@ -375,7 +384,8 @@ def _row_classes(n: int):
         for rb in batches:
             cids = [_class_of(s) if len(s) else None for _, s in _sets(iter([rb]), n)]
             cols = [rb.column(rb.schema.get_field_index(c)) for c in ("doc_id", "th")]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(cids, pa.int64())], names=["doc_id", "th", "cid"])
+            cid = column(np.array([c or 0 for c in cids], dtype=np.int64), np.array([c is not None for c in cids], dtype=bool))
+            yield pa.RecordBatch.from_arrays([*cols, cid], names=["doc_id", "th", "cid"])
 
     return run
 
@@ -391,7 +401,7 @@ def keep_one(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
     th = F.xxhash64(F.coalesce(text, F.lit("")))
     rows = docs.select(id_.alias("doc_id"), th.alias("th"), text.alias("text")).mapInArrow(_row_classes(n), "doc_id long, th long, cid long")
     rows = rows.where("cid IS NOT NULL").groupBy("doc_id", "th", "cid").agg(F.count(F.lit(1)).alias("m"))
-    rows = written(rows.join(lab.select("cid", "root"), "cid").select("doc_id", "th", "root", "m"), "rows")
+    rows = written(rows.join(lab.select("cid", "root"), "cid").select("doc_id", "th", "root", "m"), "rows", SMALL_BATCH_BYTES)
     best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("k"))
     rows = rows.join(best, "root").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("th") == F.col("k.th")))
     odd = written(rows.where("NOT kept OR m > 1").select(F.col("doc_id").alias("_llm_id"), F.col("th").alias("_llm_th"), "kept"), "odd")

@@ -3,9 +3,15 @@
 import itertools
 import random
 import re
+import subprocess
+import sys
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
+from cinerank.llm import common
 from cinerank.llm import op8_ngram_join as op8
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -92,3 +98,75 @@ def test_keep_one_of_repeated_rows_null_ids_and_reused_ids(make):
 def test_parameters():
     with pytest.raises(ValueError):
         op8.classes_and_links(None, n=0)
+
+
+class NoCommon:
+    value = np.zeros(0, np.uint64)
+
+
+def test_steps_hand_over_small_batches():
+    """Shared shingles and prefixes leave a task in batches under 1 MB, with the counts of the whole chunk."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(4000)) for _ in range(20)]
+    rb = pa.record_batch({"doc_id": pa.array(range(41), pa.int64()), "text": pa.array([*texts, *[t + " end" for t in texts], ""])})
+    sets = [s for _, s in op8._sets(iter([rb]), 5)]
+    out = list(op8._scan(5)(iter([rb])))
+    assert max(b.nbytes for b in out) < 1 << 20
+    rows = pa.Table.from_batches(out)
+    tok, cnt = np.unique(np.concatenate(sets), return_counts=True)
+    shared = rows.filter(pc.is_valid(rows["token"]))
+    assert shared["token"].to_numpy().view(np.uint64).tolist() == tok[cnt > 1].tolist()
+    assert shared["df"].to_pylist() == cnt[cnt > 1].tolist()
+    docs = rows.filter(pc.is_valid(rows["cid"]))
+    assert docs["doc_id"].to_pylist() == list(range(41)) and docs["size"].to_pylist() == [len(s) for s in sets]
+    out = list(op8._postings(5, 80, NoCommon)(iter([rb.slice(0, 40)])))
+    assert max(b.nbytes for b in out) < 1 << 20 and sum(b.num_rows for b in out) == sum(op8._prefix_sizes(len(s), 80)[1] for s in sets[:40])
+
+
+WITHOUT_PANDAS = """
+import sys
+import numpy as np
+import pyarrow as pa
+from cinerank.llm import common, op2_quality as op2, op8_ngram_join as op8
+
+class NoCommon:
+    value = np.zeros(0, np.uint64)
+
+class Model:
+    def score(self, x):
+        return x[:, 0].astype(float)
+
+rb = next(pa.ipc.open_stream(sys.stdin.buffer))
+for step in (op8._scan(5), op8._postings(5, 80, NoCommon), op8._whole(5, 80, NoCommon), op8._row_classes(5), op2._sample_features):
+    assert sum(b.num_rows for b in step(iter([rb])))
+assert op2.N_FEATURES * 4 == len(next(op2._sample_features(iter([rb]))).column(3)[0].as_py())
+assert "pandas" not in sys.modules
+"""
+
+
+def test_steps_leave_pandas_out_of_a_python_worker():
+    text = "some words of a text that is long enough"
+    ids = pa.array([1, 2], pa.int64())
+    rb = pa.record_batch({"doc_id": ids, "text": pa.array([text, text + " end"]), "th": ids, "p": pa.array([1, 0], pa.int32()), "u": pa.array([0, 1], pa.int32())})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rb.schema) as w:
+        w.write_batch(rb)
+    done = subprocess.run([sys.executable, "-c", WITHOUT_PANDAS], input=sink.getvalue().to_pybytes(), capture_output=True, check=False)
+    assert done.returncode == 0, done.stderr.decode()
+
+
+def test_column():
+    x = np.arange(20)
+    assert common.column(x[::2]).to_pylist() == list(range(0, 20, 2))
+    assert common.column(x, x % 3 > 0).to_pylist() == [i if i % 3 else None for i in range(20)]
+    assert common.column(x % 3 == 0).to_pylist() == [i % 3 == 0 for i in range(20)]
+    assert common.column(x[:0]).to_pylist() == []
+
+
+def test_written_reads_without_copies_and_restores_the_session(monkeypatch, spark):
+    keys = ("spark.sql.execution.arrow.maxBytesPerBatch", common.VECTORED_READS)
+    before, seen, writer = [spark.conf.get(k, None) for k in keys], [], type(spark.range(1).write)
+    plain = writer.parquet
+    monkeypatch.setattr(writer, "parquet", lambda self, path, *a, **b: seen.append([spark.conf.get(k, None) for k in keys]) or plain(self, path, *a, **b))
+    assert common.written(spark.range(5), "small", common.SMALL_BATCH_BYTES).count() == 5
+    assert seen == [[str(common.SMALL_BATCH_BYTES), "false"]] and [spark.conf.get(k, None) for k in keys] == before
