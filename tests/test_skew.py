@@ -91,3 +91,26 @@ def test_hard_negatives_beyond_the_head_of_the_list(spark):
     ids = spark.createDataFrame([(10 + r,) for r in range(1, 21) if r != 9], "id long")
     out = sorted(map(tuple, negatives.hard_negatives(cands, seen, ids, n=3).collect()))
     assert out == [(1, 20, 1), (1, 21, 2), (1, 22, 3), (2, 12, 1), (2, 13, 2), (2, 14, 3)]
+
+
+def test_weighted_draws_are_never_broadcast(spark):
+    """Exploded draws look as small as the users to the planner."""
+    df, _ = _ratings(spark)
+    users = df.select("userId").distinct()
+    slots = df.select("movieId").withColumn("slot", F.monotonically_increasing_id())
+    got = negatives._first_new(negatives._walk(users, 30, 101, 42), slots, recall.seen_pairs(df), 10)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    at = plan.index("[slot#")
+    assert "SortMergeJoin" in plan[plan.rindex("\n", 0, at) : at] and "Generate" in plan[at:]
+
+
+def test_weighted_negatives_whole_walk_for_users_short_of_items(spark, monkeypatch):
+    """Looking up the head of the walk first changes no draw, for users with few unseen items either."""
+    df, _ = _ratings(spark)
+    seen, users = recall.seen_pairs(df), df.select("userId").distinct()
+    run = lambda: sorted(map(tuple, negatives.weighted_negatives(users, seen, df, n=10).collect()))
+    monkeypatch.setattr(negatives, "HEAD", negatives.WALK)
+    whole = run()
+    monkeypatch.setattr(negatives, "HEAD", 1)
+    assert run() == whole
+    assert any(10 <= draw < 200 for _, _, draw in whole)  # some user needed more than the head
