@@ -237,3 +237,25 @@ def test_lemmas_are_put_back_in_place(spark):
     got = {r.id: r.lemmas for r in catalog.lemmatised(df, words, "id").collect()}
     assert got == {1: ["cat", "run", "cat", "run"], 2: [], 3: ["x"]}
     assert {r.id: r.lemmas for r in catalog.lemmatised(df, words.limit(0), "id").collect()} == {1: ["cats", "run", "cats", "ran"], 2: [], 3: ["x"]}
+
+
+def test_knn_candidates_in_single_precision_lose_no_close_neighbour():
+    """Scores closer together than floats are told apart; numbers too large for floats are too."""
+    from cinerank.operators import knn
+
+    rng = np.random.default_rng(1)
+    for metric, scale in (("cosine", 1.0), ("l2", 1.0), ("l2", 1e20)):
+        q = rng.standard_normal((3, 64)) * scale
+        x = q[rng.integers(0, 3, 4000)] + rng.standard_normal((4000, 64)) * 1e-7 * scale
+        if metric == "cosine":
+            q, x = knn._unit(q), knn._unit(x)
+        none = np.zeros(0, np.int64)
+        t = knn._Tops(20, metric, np.arange(3), q, none, none)
+        assert t.kind is (np.float64 if scale > 1 else np.float32)
+        for a in range(0, 4000, 500):
+            t.add(np.arange(a, a + 500), x[a : a + 500])
+        got = [np.concatenate(v) for v in zip(*t.rows())]
+        for i in range(3):
+            exact = np.round(knn._exact(metric, q[i], x), knn.RANK_DECIMALS)
+            want = np.lexsort((np.arange(4000), exact if metric == "l2" else -exact))[:20]
+            assert got[1][got[0] == i].tolist() == want.tolist()
