@@ -114,3 +114,29 @@ def test_weighted_negatives_whole_walk_for_users_short_of_items(spark, monkeypat
     monkeypatch.setattr(negatives, "HEAD", 1)
     assert run() == whole
     assert any(10 <= draw < 200 for _, _, draw in whole)  # some user needed more than the head
+
+
+def test_merged_lists_take_no_shuffle(spark, monkeypatch):
+    """Lists dealt by user alike are merged where they are expanded, in as many tasks as the lists need."""
+    monkeypatch.setattr(recall, "LIST_ROWS", 400)
+    df, _ = _ratings(spark)
+    lists = recall.unseen_lists(df, 50)
+    near = spark.createDataFrame([(s, 1000 + 7 * r % 400, r, 1.0 / r) for s in range(1000, 1400) for r in range(1, 31)], "qid long, iid long, rank int, score double")
+    seeds = lists(upto=1, whole=True).select("userId", F.col("movieId").alias("seed"))
+    for how in recall.MERGES:
+        out = recall.merge_lists(lists(), recall.seed_lists(seeds, near), how, top_r=50)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[: plan.index("Union")]
+        assert out.rdd.getNumPartitions() > 1 and out.select("userId").distinct().count() == 61
+
+
+def test_merges_of_users_with_one_list_and_without_id(spark):
+    s = "userId long, movieId long, rank int"
+    mf = spark.createDataFrame([(1, 10, 1), (1, 11, 2), (1, 12, 3), (2, 10, 1), (None, 13, 1)], s)
+    ct = spark.createDataFrame([(1, 12, 1), (1, 14, 2), (3, 15, 1), (None, 16, 1)], s)
+    got = {how: sorted(map(tuple, recall.merge_lists(mf, ct, how).where("userId IS NOT NULL").collect())) for how in recall.MERGES}
+    assert got["union"] == [(1, 10, 1), (1, 11, 2), (1, 12, 3), (1, 14, 4), (2, 10, 1)]
+    assert got["interleave"] == [(1, 10, 1), (1, 11, 3), (1, 12, 2), (1, 14, 4)]
+    assert got["weighted"] == [(1, 10, 1), (1, 11, 3), (1, 12, 2), (1, 14, 4), (2, 10, 1)]
+    nulls = {how: recall.merge_lists(mf, ct, how).where("userId IS NULL").collect() for how in recall.MERGES}
+    assert [tuple(r) for r in nulls["union"]] == [(None, 13, 1)] and not nulls["interleave"] and not nulls["weighted"]
